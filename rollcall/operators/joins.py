@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from ..schemas import MEMBER_KEY
 from .projection import MEMBER_COLUMNS, PAYMENT_COLUMNS, REGTYPE_COLUMNS, without_member_amount
-from .skew import PART, HotKeys, spread
+from .skew import PART, HotKeys, is_broadcast, spread
 
 WINDOW = "10 minutes"
 SMALL_WINDOW = "10 seconds"
@@ -43,12 +43,15 @@ def left_join_chain(
 ) -> DataFrame:
     """left ⟕ rights[0] ⟕ rights[1] ..., all on the same keys, all pairs.
 
-    Every input is shuffled once: the joins share the partitioning. In a batch
-    hot keys are spread first; a stream is joined as it is.
+    Every input is shuffled at most once: the joins share the partitioning. In a
+    batch hot keys are spread first, unless Spark broadcasts the right sides and
+    shuffles nothing; a stream is joined as it is.
     """
     rights = [(side.select(*keys, *columns), list(columns)) for side, columns in rights]
     streaming = left.isStreaming or any(side.isStreaming for side, _ in rights)
-    if hot_keys is None or streaming:
+    as_they_are = hot_keys is None or streaming or (
+        not hot_keys.even_if_small and all(is_broadcast(side) for side, _ in rights))
+    if as_they_are:
         joined = left
         for side, _ in rights:
             joined = joined.join(side, list(keys), "left")
@@ -57,8 +60,8 @@ def left_join_chain(
     joined = dealt[0]
     for number, side in enumerate(dealt[1:], start=1):
         hit = f"_hit{number}"
-        joined = joined.join(side.withColumn(hit, F.lit(True)), [*keys, PART], "left")
-        joined = joined.where(~F.col(f"_split{number}") | F.col(hit).isNotNull()).drop(hit)
+        joined = joined.join(side.selectExpr("*", f"true AS {hit}"), [*keys, PART], "left")
+        joined = joined.where(f"NOT _split{number} OR {hit}")
     return joined.select(*left.columns, *[c for _, columns in rights for c in columns])
 
 

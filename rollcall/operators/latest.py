@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
-def _order(columns: Sequence[str]) -> Column:
-    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+def _order(columns: Sequence[str]) -> str:
+    quoted = [f"`{c}`" for c in columns]
+    return quoted[0] if len(quoted) == 1 else f"struct({', '.join(quoted)})"
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key. Reduced before the shuffle, so a hot key costs one row per task."""
-    others = [c for c in df.columns if c not in keys]
-    last = F.max_by(F.struct(*others), _order(order)).alias("_last")
-    return df.groupBy(*keys).agg(last).select(
-        *[F.col(c) if c in keys else F.col("_last")[c].alias(c) for c in df.columns]
+    others = ", ".join(f"`{c}`" for c in df.columns if c not in keys)
+    last = F.expr(f"max_by(struct({others}), {_order(order)}) AS _last")
+    return df.groupBy(*keys).agg(last).selectExpr(
+        *[f"`{c}`" if c in keys else f"_last.`{c}`" for c in df.columns]
     )
 
 
@@ -25,10 +26,12 @@ def latest_values(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
     The order columns come out as those of the last row.
     """
-    others = [c for c in df.columns if c not in keys and c not in order]
     when = _order(order)
-    values = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), when)).alias(c) for c in others]
-    reduced = df.groupBy(*keys).agg(*values, F.max(F.struct(*order)).alias("_order"))
-    return reduced.select(
-        *[F.col("_order")[c].alias(c) if c in order else F.col(c) for c in df.columns]
+    values = [
+        F.expr(f"max_by(`{c}`, {when}) FILTER (WHERE `{c}` IS NOT NULL) AS `{c}`")
+        for c in df.columns if c not in keys and c not in order
+    ]
+    last = F.expr(f"max(struct({', '.join(f'`{c}`' for c in order)})) AS _order")
+    return df.groupBy(*keys).agg(*values, last).selectExpr(
+        *[f"_order.`{c}`" if c in order else f"`{c}`" for c in df.columns]
     )

@@ -38,10 +38,10 @@ def wide_row(df: DataFrame, mask: Iterable[str] = (), keep: Iterable[str] = ())
     unknown = hidden - set(WIDE_MEMBER.fieldNames())
     if unknown:
         raise ValueError(f"not in the wide row: {sorted(unknown)}")
-    return df.select(
+    return df.selectExpr(
         *[
-            F.mask(F.col(f.name).cast("string")).alias(f.name) if f.name in hidden
-            else F.col(f.name).cast(f.dataType).alias(f.name)
+            f"mask(CAST(`{f.name}` AS string)) AS `{f.name}`" if f.name in hidden
+            else f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
             for f in WIDE_MEMBER
         ],
         *keep,

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 PART = "_part"
 
@@ -26,10 +26,21 @@ class HotKeys:
     the broadcast list: the most frequent keys are taken, and a key past the
     bound has less than 1/max_keys of the rows, which is a task's fair share.
     Keys left out are joined as they are, so the bound changes no result.
+
+    Right sides that Spark broadcasts need no spreading, since the left rows then
+    stay where they are; ``even_if_small`` spreads all the same.
     """
 
     rows_per_part: int = 500_000
     max_keys: int = 10_000
+    even_if_small: bool = False
+
+
+def is_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate lets it broadcast ``df`` in a join."""
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(estimate) <= limit
 
 
 def hot_key_parts(sides: Sequence[DataFrame], keys: Sequence[str], policy: HotKeys) -> DataFrame:
@@ -39,33 +50,29 @@ def hot_key_parts(sides: Sequence[DataFrame], keys: Sequence[str], policy: HotKe
     counts are exact and the order is total, so that a recomputed task sees the
     same list.
     """
+    numbers = range(len(sides))
     counted = reduce(
         DataFrame.unionByName,
-        [
-            side.select(*keys, *[F.lit(1 if i == j else 0).cast("bigint").alias(f"_c{j}")
-                                 for j in range(len(sides))])
-            for i, side in enumerate(sides)
-        ],
+        [side.selectExpr(*keys, *[f"{int(i == j)}L AS _c{j}" for j in numbers]) for i, side in enumerate(sides)],
     )
-    sums = counted.groupBy(*keys).agg(*[F.sum(f"_c{j}").alias(f"_c{j}") for j in range(len(sides))])
-    largest = F.greatest(*[F.col(f"_c{j}") for j in range(len(sides))])
+    sums = counted.groupBy(*keys).agg(*[F.expr(f"sum(_c{j}) AS _c{j}") for j in numbers])
+    largest = F.expr(f"greatest({', '.join(f'_c{j}' for j in numbers)})")
     hot = (
         sums.where(largest > policy.rows_per_part)
         .orderBy(largest.desc(), *keys).limit(policy.max_keys)
     )
-    return hot.select(
-        *keys,
-        *[
-            F.greatest(F.lit(1), F.ceil(F.col(f"_c{j}") / policy.rows_per_part)).cast("int").alias(f"_n{j}")
-            for j in range(len(sides))
-        ],
-    )
+    return hot.selectExpr(
+        *keys, *[f"CAST(greatest(1, ceil(_c{j} / {policy.rows_per_part})) AS int) AS _n{j}" for j in numbers])
+
+
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{name}`" for name in names]
 
 
-def _own_part(side: DataFrame, parts: Column) -> Column:
+def _row_hash(columns: Sequence[str]) -> str:
     # The input partition goes into the hash so that equal rows spread as well.
     # It does not depend on the order of rows, so a repeated task deals alike.
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *side.columns), parts).cast("int")
+    return f"xxhash64(spark_partition_id(), {', '.join(_quoted(columns))})"
 
 
 def spread(sides: Sequence[DataFrame], keys: Sequence[str], policy: HotKeys) -> list[DataFrame]:
@@ -75,34 +82,27 @@ def spread(sides: Sequence[DataFrame], keys: Sequence[str], policy: HotKeys) ->
     whether the key is dealt out on that side. A copy of such a left row that finds
     nothing in its part has its matches in another part and is to be dropped.
     """
-    count = len(sides)
+    numbers = range(len(sides))
     hot = F.broadcast(hot_key_parts(sides, keys, policy))
-    spread_sides = []
+    sizes = [f"coalesce(_n{j}, 1) AS _n{j}" for j in numbers]
+    whole_key = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    result = []
     for i, side in enumerate(sides):
-        if i > 0:
-            # Without a whole key there is nothing to match.
-            side = side.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-        columns = side.columns
-        joined = side.join(hot, list(keys), "left")
-        size = [F.coalesce(F.col(f"_n{j}"), F.lit(1)) for j in range(count)]
-        own = _own_part(side, size[i])
+        columns = _quoted(side.columns)
+        own = f"pmod({_row_hash(side.columns)}, coalesce(_n{i}, 1))"
         if i == 0:
             # Rows with a NULL in the key match nothing; keep them out of one single task.
-            no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-            own = F.when(no_key, _own_part(side, F.lit(1024))).otherwise(own)
-        dealt = joined.select(*columns, own.alias("_own"), *[s.alias(f"_n{j}") for j, s in enumerate(size)])
-        dealt = dealt.withColumn("_d0", F.col("_own") if i == 0 else F.lit(0))
-        for j in range(count):
-            if j == i:
-                dealt = dealt.withColumn(f"_d{j}", F.col("_own"))
-            else:
-                dealt = dealt.withColumn(
-                    f"_d{j}",
-                    F.when(F.col(f"_n{j}") > 1, F.sequence(F.lit(0), F.col(f"_n{j}") - 1)).otherwise(F.array(F.lit(0))),
-                ).withColumn(f"_d{j}", F.explode(f"_d{j}"))
-        part = F.col("_d0")
-        for j in range(1, count):
-            part = part * F.col(f"_n{j}") + F.col(f"_d{j}")
-        flags = [(F.col(f"_n{j}") > 1).alias(f"_split{j}") for j in range(1, count)] if i == 0 else []
-        spread_sides.append(dealt.select(*columns, part.alias(PART), *flags))
-    return spread_sides
+            own = f"IF({whole_key}, {own}, pmod({_row_hash(side.columns)}, 1024))"
+        else:
+            side = side.where(whole_key)
+        dealt = side.join(hot, list(keys), "left").selectExpr(*columns, *sizes, f"CAST({own} AS int) AS _d{i}")
+        for j in numbers:
+            if j != i:
+                others = f"explode(IF(_n{j} > 1, sequence(0, _n{j} - 1), array(0))) AS _d{j}"
+                dealt = dealt.selectExpr("*", others)
+        part = "_d0"
+        for j in numbers[1:]:
+            part = f"({part}) * _n{j} + _d{j}"
+        flags = [f"_n{j} > 1 AS _split{j}" for j in numbers[1:]] if i == 0 else []
+        result.append(dealt.selectExpr(*columns, f"{part} AS {PART}", *flags))
+    return result

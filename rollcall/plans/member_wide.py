@@ -14,9 +14,9 @@ from ..operators.joins import (
 from ..operators.latest import latest_values
 from ..operators.lookup import lookup_ad, lookup_all, lookup_vip, lookup_website
 from ..operators.projection import MEMBER_COLUMNS, PAYMENT_COLUMNS, REGTYPE_COLUMNS, wide_row
-from ..operators.skew import HotKeys
+from ..operators.skew import HotKeys, is_broadcast
 from ..schemas import MEMBER_KEY, WIDE_MEMBER
-from ..sinks.upsert_table import UpsertTable
+from ..sinks.upsert_table import CellTable
 
 HITS = ("ad_hit", "site_hit", "vip_hit")
 EVENT_TIMES = ("member_us", "regtype_us", "payment_us")
@@ -42,6 +42,9 @@ def wide_rows(
     A lookup needs columns of one side only, so it is done on that side, before
     the joins multiply its rows.
     """
+    # Spark multiplies sizes over a join, so ask before the lookups whether there is need to spread.
+    if hot_keys and not hot_keys.even_if_small and is_broadcast(regtype) and is_broadcast(payment):
+        hot_keys = None
     members = lookup_ad(member, ads)
     payments = lookup_vip(lookup_website(payment, websites), vips)
     joined = join_member_facts(
@@ -98,11 +101,19 @@ def with_row_key(wide: DataFrame) -> DataFrame:
     return wide.select(salted_row_key(F.col("uid"), F.col("dn")).alias("row_key"), *wide.columns)
 
 
-def wide_table(spark: SparkSession, path: str) -> UpsertTable:
-    """The stored wide table: a NULL leaves an older value in place."""
-    return UpsertTable(spark, path, _WIDE_TABLE, ("row_key", *MEMBER_KEY), by_column=True)
+def wide_table(spark: SparkSession, path: str) -> CellTable:
+    """The stored wide table."""
+    return CellTable(spark, path, _WIDE_TABLE, ("row_key", *MEMBER_KEY))
 
 
-def upsert_members(enriched: DataFrame, batch_id: int, table: UpsertTable) -> None:
+def _value_times() -> dict[str, str]:
+    """Each value of the wide row is as old as the record it comes from."""
+    times = {name: "payment_us" for name in WIDE_MEMBER.fieldNames()}
+    times |= {name: "member_us" for name in (*MEMBER_COLUMNS, "adname")}
+    times |= {name: "regtype_us" for name in REGTYPE_COLUMNS}
+    return times
+
+
+def upsert_members(enriched: DataFrame, batch_id: int, table: CellTable) -> None:
     """Write the enriched pairs of one batch into the wide table."""
-    table.upsert(with_row_key(wide_row(enriched, keep=EVENT_TIMES)), batch_id, EVENT_TIMES)
+    table.upsert(with_row_key(wide_row(enriched, keep=EVENT_TIMES)), batch_id, _value_times())

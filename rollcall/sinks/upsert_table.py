@@ -1,4 +1,4 @@
-"""A table kept current by keyed upserts, as plain Parquet folders.
+"""Tables kept current by keyed upserts, as plain Parquet folders.
 
 Each batch is reduced to one row per key and appended under its batch id, so the
 cost of an upsert follows the size of the batch, not of the table. Readers merge
@@ -9,82 +9,143 @@ changes nothing. Folders count from the moment their ``_SUCCESS`` file exists.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..operators.latest import latest_rows, latest_values
+from ..operators.latest import latest_rows
 
 _BATCH = "batch_id"
 
 
-class UpsertTable:
-    def __init__(
-        self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], by_column: bool = False,
-    ):
-        """``by_column``: a NULL leaves the stored value alone, instead of the whole row being replaced."""
+class _BatchFolders:
+    """``kind=delta|base/batch_id=N`` below one path."""
+
+    def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+
+    def write(self, rows: DataFrame, kind: str, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/kind={kind}/{_BATCH}={batch_id}")
+
+    def load(self, schema: StructType) -> DataFrame | None:
+        """Rows of the newest base and of the batches after it, with their batch id."""
+        base = self.newest_base()
+        kinds = [("delta", b) for b in self.finished("delta") if base is None or b > base]
+        if base is not None:
+            kinds.append(("base", base))
+        if not kinds:
+            return None
+        full = StructType([*schema.fields, StructField("kind", StringType()), StructField(_BATCH, LongType())])
+        folders = [f"{self.path}/kind={kind}/{_BATCH}={b}" for kind, b in kinds]
+        return self.spark.read.schema(full).option("basePath", self.path).parquet(*folders).drop("kind")
+
+    def is_compact(self) -> bool:
+        base = self.newest_base()
+        return base is not None and max(self.finished("delta"), default=base) <= base
+
+    def newest_base(self) -> int | None:
+        return max(self.finished("base"), default=None)
+
+    def finished(self, kind: str) -> list[int]:
+        # Hadoop's own file system client, so that any cluster storage will do.
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        pattern = hadoop.Path(f"{self.path}/kind={kind}/{_BATCH}=*/_SUCCESS")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+        return [int(f.getPath().getParent().getName().split("=")[1]) for f in found]
+
+
+class UpsertTable:
+    """An upsert replaces the whole row of its key. Within a batch ``order`` decides, then the later batch."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]):
+        self.spark = spark
         self.schema = schema
         self.keys = tuple(keys)
-        self._merge = latest_values if by_column else latest_rows
+        self._folders = _BatchFolders(spark, path)
 
     def upsert(self, rows: DataFrame, batch_id: int, order: Sequence[str]) -> None:
-        """Write one batch. ``order`` decides within it; a later batch wins over an earlier one."""
-        base = self._newest_base()
-        if base is not None and batch_id < base:
-            raise ValueError(
-                f"batch {batch_id} is older than the compacted base {base} of {self.path}: "
-                "a stream with a new checkpoint needs a new table"
-            )
+        self._refuse_old(batch_id)
         names = self.schema.fieldNames()
         extra = [c for c in order if c not in names]
-        reduced = self._merge(rows.select(*names, *extra), self.keys, list(order)).select(*names)
-        reduced.write.mode("overwrite").parquet(self._folder("delta", batch_id))
+        reduced = latest_rows(rows.select(*names, *extra), self.keys, list(order)).select(*names)
+        self._folders.write(reduced, "delta", batch_id)
 
     def read(self) -> DataFrame:
         """The current rows, one per key."""
-        base, deltas = self._newest_base(), self._deltas()
-        later = [b for b in deltas if base is None or b > base]
-        folders = [self._folder("delta", b) for b in later]
-        if base is not None:
-            if not later:
-                return self._load([self._folder("base", base)]).drop("kind", _BATCH)
-            folders.append(self._folder("base", base))
-        if not folders:
+        loaded = self._folders.load(self.schema)
+        if loaded is None:
             return self.spark.createDataFrame([], self.schema)
-        return self._merge(self._load(folders).drop("kind"), self.keys, [_BATCH]).drop(_BATCH)
+        if self._folders.is_compact():
+            return loaded.drop(_BATCH)
+        return latest_rows(loaded, self.keys, [_BATCH]).drop(_BATCH)
 
-    def compact(self) -> int | None:
-        """Fold all batches so far into a new base; gives its batch id."""
-        deltas, base = self._deltas(), self._newest_base()
-        newest = max(deltas, default=None)
-        if newest is None or (base is not None and newest <= base):
-            return base
-        self.read().write.mode("overwrite").parquet(self._folder("base", newest))
-        return newest
+    def compact(self) -> None:
+        """Fold all batches so far into a new base."""
+        newest = max(self._folders.finished("delta"), default=None)
+        if newest is not None and not self._folders.is_compact():
+            self._folders.write(self.read(), "base", newest)
 
     def batches(self) -> list[int]:
-        return sorted(self._deltas())
+        return sorted(self._folders.finished("delta"))
 
-    def _load(self, folders: list[str]) -> DataFrame:
-        schema = StructType([
-            *self.schema.fields, StructField("kind", StringType()), StructField(_BATCH, LongType())])
-        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*folders)
+    def _refuse_old(self, batch_id: int) -> None:
+        base = self._folders.newest_base()
+        if base is not None and batch_id < base:
+            raise ValueError(
+                f"batch {batch_id} is older than the compacted base {base} of {self._folders.path}: "
+                "a stream with a new checkpoint needs a new table")
 
-    def _folder(self, kind: str, batch_id: int) -> str:
-        return f"{self.path}/kind={kind}/{_BATCH}={batch_id}"
 
-    def _finished(self, kind: str) -> list[int]:
-        # Hadoop's own file system client, so that any cluster storage will do.
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        pattern = hadoop.Path(f"{self.path}/kind={kind}/{_BATCH}=*/_SUCCESS")
-        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-        return [int(f.getPath().getParent().getName().split("=")[1]) for f in found]
+class CellTable:
+    """An upsert replaces single values: a NULL leaves the stored one alone, and so does an older one.
+
+    Each value is stored with the time it is from, and the later time wins. So
+    it does not matter in which batch or how often a value arrives, and a row
+    that a watermark held back does not undo newer ones.
+    """
 
-    def _deltas(self) -> list[int]:
-        return self._finished("delta")
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]):
+        self.spark = spark
+        self.schema = schema
+        self.keys = tuple(keys)
+        self._values = [f for f in schema if f.name not in self.keys]
+        self._stored = StructType([
+            *[schema[k] for k in self.keys],
+            *[StructField(f.name, StructType([StructField("at", LongType()), StructField("value", f.dataType)]))
+              for f in self._values],
+        ])
+        self._folders = _BatchFolders(spark, path)
+
+    def upsert(self, rows: DataFrame, batch_id: int, at: Mapping[str, str] | str) -> None:
+        """``at`` names the bigint column with the time of a value, one for all or one for each."""
+        times = {f.name: at if isinstance(at, str) else at[f.name] for f in self._values}
+        cells = rows.selectExpr(
+            *[f"`{k}`" for k in self.keys],
+            *[f"IF(`{c}` IS NULL, NULL, named_struct('at', `{t}`, 'value', `{c}`)) AS `{c}`" for c, t in times.items()],
+        )
+        self._folders.write(self._merge(cells), "delta", batch_id)
 
-    def _newest_base(self) -> int | None:
-        return max(self._finished("base"), default=None)
+    def read(self) -> DataFrame:
+        """The current rows, one per key."""
+        cells = self._cells()
+        if cells is None:
+            return self.spark.createDataFrame([], self.schema)
+        return cells.selectExpr(*[
+            f"`{f.name}`" if f.name in self.keys else f"`{f.name}`.value AS `{f.name}`" for f in self.schema])
+
+    def compact(self) -> None:
+        newest = max(self._folders.finished("delta"), default=None)
+        if newest is not None and not self._folders.is_compact():
+            self._folders.write(self._cells(), "base", newest)
+
+    def _cells(self) -> DataFrame | None:
+        loaded = self._folders.load(self._stored)
+        if loaded is None:
+            return None
+        cells = loaded.drop(_BATCH)
+        return cells if self._folders.is_compact() else self._merge(cells)
+
+    def _merge(self, cells: DataFrame) -> DataFrame:
+        return cells.groupBy(*self.keys).agg(*[F.expr(f"max(`{f.name}`) AS `{f.name}`") for f in self._values])

@@ -28,16 +28,15 @@ def decode(
     """
     keep = list(keep)
     parsed = records.select(*keep, F.from_json(F.col(value), wire_schema(schema)).alias("_record"))
-    columns = [F.col("_record")[f.name].try_cast(f.dataType).alias(f.name) for f in schema]
+    columns = [f"try_cast(_record.`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema]
     if bad_fields:
         failed = [
-            (F.col("_record")[f.name].isNotNull()
-             & F.col("_record")[f.name].try_cast(f.dataType).isNull()).cast("int")
+            f"CAST(_record.`{f.name}` IS NOT NULL AND "
+            f"try_cast(_record.`{f.name}` AS {f.dataType.simpleString()}) IS NULL AS int)"
             for f in schema if f.dataType.typeName() != "string"
         ]
-        columns.append(sum(failed[1:], failed[0]).alias(bad_fields) if failed
-                       else F.lit(0).alias(bad_fields))
-    return parsed.select(*keep, *columns)
+        columns.append(f"{' + '.join(failed) or '0'} AS `{bad_fields}`")
+    return parsed.selectExpr(*[f"`{c}`" for c in keep], *columns)
 
 
 def _of_topic(topic: str, schema: StructType):

@@ -12,11 +12,11 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from ..operators.joins import WINDOW, join_member_facts
 from ..operators.lookup import dead_letters
 from ..operators.routing import dimension_records, json_records, second_layer
-from ..operators.words import count_words, fail_on, labelled_counts, words_on_space
+from ..operators.words import POISON, count_words, fail_on, labelled_counts, words_on_space
 from ..plans.member_wide import enrich, upsert_members
 from ..plans.ods import upsert_dimensions
 from ..sinks.topic_log import topic_stream, write_text_topic
-from ..sinks.upsert_table import UpsertTable
+from ..sinks.upsert_table import CellTable, UpsertTable
 
 WORD_COUNTS = StructType([StructField("word", StringType()), StructField("n", LongType())])
 
@@ -54,7 +54,7 @@ def start_dimension_stream(
 
 def start_member_stream(
     member: DataFrame, regtype: DataFrame, payment: DataFrame,
-    dimensions: Mapping[str, UpsertTable], wide: UpsertTable, checkpoint: str,
+    dimensions: Mapping[str, UpsertTable], wide: CellTable, checkpoint: str,
     *, dead_letter_path: str | None = None, size: str = WINDOW, every: str | None = None,
 ) -> StreamingQuery:
     """Join the three streams, look up the dimensions as they are now, keep the wide table current.
@@ -86,14 +86,16 @@ def start_member_stream(
 
 def start_word_count(
     lines: DataFrame, counts: UpsertTable, checkpoint: str,
-    *, topic: str | None = None, topic_path: str | None = None, servers: str | None = None, every: str | None = None,
+    *, topic: str | None = None, topic_path: str | None = None, servers: str | None = None,
+    poison: str | None = POISON, every: str | None = None,
 ) -> StreamingQuery:
     """Running count of words. The changed counts of each batch go to a table and, as text, to a topic.
 
     A poisoned word fails the query. Started again on the same checkpoint it goes
     on from the last finished batch.
     """
-    running = count_words(fail_on(words_on_space(lines)))
+    words = words_on_space(lines)
+    running = count_words(fail_on(words, poison) if poison else words)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)

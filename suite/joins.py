@@ -71,7 +71,7 @@ def jn1(spark, sf_dir):
 def jn1_spread(spark, sf_dir):
     """The same with every key of more than one row dealt out."""
     member, regtype, _ = views.facts(spark, sf_dir)
-    return _flat(op.join_regtype(member, regtype, size=DAY, hot_keys=HotKeys(rows_per_part=1)))
+    return _flat(op.join_regtype(member, regtype, size=DAY, hot_keys=HotKeys(rows_per_part=1, even_if_small=True)))
 
 
 @check("jn1_ten_minutes", f"WITH {jn1_sql(600_000_000)} SELECT * FROM jn1")
@@ -90,7 +90,7 @@ def jn2(spark, sf_dir):
 def jn2_chain(spark, sf_dir):
     """Both joins in one chain, with keys dealt out over all three sides."""
     member, regtype, payment = views.facts(spark, sf_dir)
-    return _flat(op.join_member_facts(member, regtype, payment, size=DAY, hot_keys=HotKeys(rows_per_part=1)))
+    return _flat(op.join_member_facts(member, regtype, payment, size=DAY, hot_keys=HotKeys(rows_per_part=1, even_if_small=True)))
 
 
 @check("jn3_ad_lookup", f"""WITH {DIMS}

@@ -10,7 +10,7 @@ from rollcall.operators.words import count_words, labelled_counts, words_on_whit
 from rollcall.plans import ods
 from rollcall.plans.member_wide import enrich, upsert_members, wide_rows, wide_table
 from rollcall.schemas import (
-    AD_TABLE, FACT_TOPICS, VIP_TABLE, WEBSITE_TABLE, Dimension,
+    AD_TABLE, DIMENSION_TOPICS, FACT_TOPICS, VIP_TABLE, WEBSITE_TABLE, Dimension,
 )
 from rollcall.session import fresh_dir
 from rollcall.sinks.topic_log import append_facts, write_text_topic
@@ -220,12 +220,17 @@ vips2 AS ({_latest_sql('vip_log', 'vip_id', names('vips'))}),
 """ + JN6.replace("FROM ads)", "FROM ads2)").replace("FROM websites)", "FROM websites2)").replace("FROM vips)", "FROM vips2)").strip()
        + f" SELECT {WIDE}, ad_hit, site_hit, vip_hit FROM jn6")
 def ods_to_wide(spark, sf_dir):
-    """Everything from the raw log: filter, routing, decoding, dimension tables, joins, lookups."""
-    log = views.raw_log(spark, sf_dir)
-    facts = ods.fact_log(log)
+    """All layers with stored tables between: filter, routing, decoding, dimension upserts, joins, lookups."""
+    log = read_raw_log(
+        spark, [*FACT_TOPICS, *DIMENSION_TOPICS], path=_stored_log(spark, sf_dir), stream=False, arrival=True)
+    second = fresh_dir(spark, "second-layer")
+    append_facts(log, second)
+    tables = ods.dimension_tables(spark, fresh_dir(spark, "tables"))
+    ods.upsert_dimensions(log, 0, tables)
+    facts = read_raw_log(spark, [f"dwd{t}" for t in FACT_TOPICS], path=second, stream=False)
     member = with_event_time(member_records(facts), "register")
     regtype = with_event_time(regtype_records(facts), "createtime")
     payment = with_event_time(payment_records(facts), "createtime")
-    tables = [ods.dimension_rows(log, d) for d in (AD_TABLE, WEBSITE_TABLE, VIP_TABLE)]
-    rows = wide_rows(member, regtype, payment, *tables, size=DAY)
+    dimensions = [tables[d.table].read() for d in (AD_TABLE, WEBSITE_TABLE, VIP_TABLE)]
+    rows = wide_rows(member, regtype, payment, *dimensions, size=DAY)
     return rows.withColumns({c: F.col(c).cast("int") for c in ("ad_hit", "site_hit", "vip_hit")})

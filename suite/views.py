@@ -5,9 +5,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.functions import epoch_ms_to_timestamp, ipv4, json_text, money_text, partition_date
 from rollcall.operators.latest import latest_rows
 from rollcall.schemas import AD, MEMBER, PAYMENT, REGTYPE, VIP, WEBSITE
 
@@ -20,13 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def with_keys(events: DataFrame) -> DataFrame:
     """Events with member key, time in microseconds and the number in their props."""
-    return events.select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value", "props",
-        F.col("user_id").cast("int").alias("uid"),
-        F.concat(F.lit("web"), F.substring(F.lit("ABC"), (F.col("user_id") % 3 + 1).cast("int"), F.lit(1))).alias("dn"),
-        F.get_json_object("props", "$.k").alias("k"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
-        partition_date(F.col("ts")).alias("dt"),
+    return events.selectExpr(
+        "event_id", "CAST(ts AS timestamp) AS ts", "user_id", "event_type", "value", "props",
+        "CAST(user_id AS int) AS uid",
+        "concat('web', substr('ABC', CAST(user_id % 3 + 1 AS int), 1)) AS dn",
+        "get_json_object(props, '$.k') AS k", "unix_micros(CAST(ts AS timestamp)) AS us",
+        "CAST(unix_millis(CAST(ts AS timestamp)) AS string) AS ms",
+        "date_format(date_sub(to_date(ts), 8), 'yyyyMMdd') AS dt",
     )
 
 
@@ -34,90 +33,67 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_keys(table(spark, sf_dir, "events"))
 
 
-def _millis() -> Column:
-    return F.unix_millis("ts").cast("string")
-
-
-def _mod(n: int) -> Column:
-    return (F.col("event_id") % n).cast("int")
-
-
-def _member_fields() -> dict[str, Column]:
-    user = F.col("user_id").cast("string")
-    dash = F.lit("-")
-    return {
-        "uid": F.col("uid"), "ad_id": _mod(30),
-        "birthday": F.date_format(F.date_add(F.lit("1960-01-01").cast("date"), (F.col("user_id") % 14000).cast("int")), "yyyy-MM-dd"),
-        "email": F.concat(F.lit("u"), user, F.lit("@mail.test")),
-        "fullname": F.concat(F.lit("user"), user), "iconurl": dash,
-        "lastlogin": F.when(F.col("event_id") % 4 != 0, F.concat(F.lit("l"), F.col("event_id").cast("string"))),
-        "mailaddr": dash, "memberlevel": (F.col("user_id") % 8 + 1).cast("string"),
-        "password": F.lit("123456"), "paymoney": dash,
-        "phone": F.concat(F.lit("1371"), user), "qq": F.lit("10000"),
-        "register": _millis(), "regupdatetime": dash, "unitname": dash,
-        "userip": ipv4(((F.col("event_id") * 2654435) % 2147483647).cast("int")), "zipcode": dash,
-        "dt": F.col("dt"), "dn": F.col("dn"),
-    }
-
-
-def _regtype_fields() -> dict[str, Column]:
-    return {
-        "uid": F.col("uid"), "appkey": F.concat(F.lit("k"), F.col("k")),
-        "appregurl": F.concat(F.lit("http://reg"), _mod(4).cast("string"), F.lit(".test/")),
-        "bdp_uuid": F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("b"), F.col("event_id").cast("string"))),
-        "createtime": _millis(), "isranreg": F.lit("-"),
-        "regsource": _mod(5).cast("string"), "websiteid": _mod(4).cast("string"),
-        "dt": F.col("dt"), "dn": F.col("dn"),
-    }
-
-
-def _payment_fields() -> dict[str, Column]:
-    return {
-        "uid": F.col("uid"), "paymoney": money_text(F.col("value")),
-        "siteid": _mod(7), "vip_id": _mod(6), "createtime": _millis(),
-        "dt": F.col("dt"), "dn": F.col("dn"),
-    }
-
-
-def _website_fields() -> dict[str, Column]:
-    return {
-        "siteid": _mod(5), "sitename": F.concat(F.lit("site"), F.col("k")),
-        "siteurl": F.concat(F.lit("http://s"), F.col("k"), F.lit(".test/")),
-        "delete": F.when(F.col("event_id") % 5 == 0, F.lit("no")).otherwise((F.col("event_id") % 2).cast("string")),
-        "createtime": F.lit("2000-01-01"), "creator": F.concat(F.lit("c"), F.col("user_id").cast("string")),
-        "dn": F.col("dn"),
-    }
-
-
-def _ad_fields() -> dict[str, Column]:
-    return {"adid": _mod(30), "adname": F.concat(F.lit("ad"), F.col("k")), "dn": F.col("dn")}
-
-
-def _named(fields: dict[str, Column]) -> list[Column]:
-    return [column.alias(name) for name, column in fields.items()]
-
-
-def _wire(fields: dict[str, Column]) -> Column:
+def _octet(bits: int) -> str:
+    return f"shiftright(CAST(event_id * 2654435 % 2147483647 AS int), {bits}) & 255"
+
+
+# Each record kind as field -> expression over ``events``.
+MEMBER_FIELDS = {
+    "uid": "uid", "ad_id": "CAST(event_id % 30 AS int)",
+    "birthday": "date_format(date_add(DATE '1960-01-01', CAST(user_id % 14000 AS int)), 'yyyy-MM-dd')",
+    "email": "concat('u', user_id, '@mail.test')", "fullname": "concat('user', user_id)", "iconurl": "'-'",
+    "lastlogin": "IF(event_id % 4 <> 0, concat('l', event_id), NULL)", "mailaddr": "'-'",
+    "memberlevel": "CAST(user_id % 8 + 1 AS string)", "password": "'123456'", "paymoney": "'-'",
+    "phone": "concat('1371', user_id)", "qq": "'10000'", "register": "ms", "regupdatetime": "'-'", "unitname": "'-'",
+    "userip": f"concat_ws('.', {_octet(24)}, {_octet(16)}, {_octet(8)}, {_octet(0)})", "zipcode": "'-'",
+    "dt": "dt", "dn": "dn",
+}
+REGTYPE_FIELDS = {
+    "uid": "uid", "appkey": "concat('k', k)", "appregurl": "concat('http://reg', event_id % 4, '.test/')",
+    "bdp_uuid": "IF(event_id % 3 <> 0, concat('b', event_id), NULL)", "createtime": "ms", "isranreg": "'-'",
+    "regsource": "CAST(event_id % 5 AS string)", "websiteid": "CAST(event_id % 4 AS string)", "dt": "dt", "dn": "dn",
+}
+PAYMENT_FIELDS = {
+    "uid": "uid", "paymoney": "format_number(value, '0.00')", "siteid": "CAST(event_id % 7 AS int)",
+    "vip_id": "CAST(event_id % 6 AS int)", "createtime": "ms", "dt": "dt", "dn": "dn",
+}
+WEBSITE_FIELDS = {
+    "siteid": "CAST(event_id % 5 AS int)", "sitename": "concat('site', k)", "siteurl": "concat('http://s', k, '.test/')",
+    "delete": "IF(event_id % 5 = 0, 'no', CAST(event_id % 2 AS string))", "createtime": "'2000-01-01'",
+    "creator": "concat('c', user_id)", "dn": "dn",
+}
+AD_FIELDS = {"adid": "CAST(event_id % 30 AS int)", "adname": "concat('ad', k)", "dn": "dn"}
+_ORDER_DAY = "date_format(o_orderdate, 'yyyy-MM-dd')"
+VIP_FIELDS = {
+    "vip_id": "CAST(o_orderkey % 6 AS int)", "vip_level": "o_orderpriority",
+    "start_time": f"concat({_ORDER_DAY}, ' 00:00:00')", "end_time": f"concat({_ORDER_DAY}, ' 23:59:59')",
+    "last_modify_time": f"IF(o_orderkey % 2 = 0, concat({_ORDER_DAY}, ' 12:30:00'), {_ORDER_DAY})",
+    "max_free": "CAST(o_orderkey AS string)", "min_free": "'0'", "next_level": "o_orderstatus", "operator": "'op'",
+    "dn": "concat('web', substr('ABC', CAST(o_custkey % 3 + 1 AS int), 1))",
+}
+
+
+def _wire(fields: dict[str, str]) -> str:
     """As producers send it: every field a string."""
-    return json_text(*[column.cast("string").alias(name) for name, column in fields.items()])
+    return "to_json(named_struct(" + ", ".join(f"'{n}', CAST({e} AS string)" for n, e in fields.items()) + "))"
 
 
-def _of_type(rows: DataFrame, event_type: str, fields: dict[str, Column]) -> DataFrame:
+def _of_type(rows: DataFrame, event_type: str, fields: dict[str, str]) -> DataFrame:
     """Typed records plus event time and event id."""
-    return rows.where(F.col("event_type") == event_type).select(
-        *_named(fields), epoch_ms_to_timestamp(_millis()).alias("ts"), "event_id")
+    return rows.where(F.col("event_type") == event_type).selectExpr(
+        *[f"{e} AS `{n}`" for n, e in fields.items()], "timestamp_millis(CAST(ms AS bigint)) AS ts", "event_id")
 
 
 def member(rows: DataFrame) -> DataFrame:
-    return _of_type(rows, "signup", _member_fields())
+    return _of_type(rows, "signup", MEMBER_FIELDS)
 
 
 def regtype(rows: DataFrame) -> DataFrame:
-    return _of_type(rows, "click", _regtype_fields())
+    return _of_type(rows, "click", REGTYPE_FIELDS)
 
 
 def payment(rows: DataFrame) -> DataFrame:
-    return _of_type(rows, "purchase", _payment_fields())
+    return _of_type(rows, "purchase", PAYMENT_FIELDS)
 
 
 def facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -126,31 +102,25 @@ def facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
 
 
 def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").cast("int").alias("adid"), F.col("n_name").alias("adname"), F.lit("webA").alias("dn"))
+    return table(spark, sf_dir, "nation").selectExpr("n_nationkey AS adid", "n_name AS adname", "'webA' AS dn")
 
 
 def websites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each supplier is a version of one of fifteen sites; the last one counts."""
-    key = F.col("s_suppkey")
-    versions = table(spark, sf_dir, "supplier").select(
-        (key % 5).cast("int").alias("siteid"), F.col("s_name").alias("sitename"),
-        F.concat(F.lit("http://"), key.cast("string"), F.lit(".test/")).alias("siteurl"),
-        F.lit("0").alias("delete"), F.lit("2000-01-01").alias("createtime"), F.lit("admin").alias("creator"),
-        F.concat(F.lit("web"), F.substring(F.lit("ABC"), (F.expr("s_suppkey div 5") % 3 + 1).cast("int"), F.lit(1))).alias("dn"),
-        key.alias("version"),
+    versions = table(spark, sf_dir, "supplier").selectExpr(
+        "CAST(s_suppkey % 5 AS int) AS siteid", "s_name AS sitename", "concat('http://', s_suppkey, '.test/') AS siteurl",
+        "'0' AS `delete`", "'2000-01-01' AS createtime", "'admin' AS creator",
+        "concat('web', substr('ABC', CAST(s_suppkey div 5 % 3 + 1 AS int), 1)) AS dn", "s_suppkey AS version",
     )
     return latest_rows(versions, ("siteid", "dn"), ("version",)).drop("version")
 
 
 def vips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("r_regionkey").cast("string")
-    return table(spark, sf_dir, "region").select(
-        F.col("r_regionkey").cast("int").alias("vip_id"), F.col("r_name").alias("vip_level"),
-        F.lit("2019-01-01 00:00:00").alias("start_time"), F.lit("2020-01-01 00:00:00").alias("end_time"),
-        F.lit("2019-06-01 12:00:00").alias("last_modify_time"),
-        F.concat(F.lit("max"), key).alias("max_free"), F.concat(F.lit("min"), key).alias("min_free"),
-        F.lit("next").alias("next_level"), F.lit("op").alias("operator"), F.lit("webA").alias("dn"),
+    return table(spark, sf_dir, "region").selectExpr(
+        "r_regionkey AS vip_id", "r_name AS vip_level", "'2019-01-01 00:00:00' AS start_time",
+        "'2020-01-01 00:00:00' AS end_time", "'2019-06-01 12:00:00' AS last_modify_time",
+        "concat('max', r_regionkey) AS max_free", "concat('min', r_regionkey) AS min_free", "'next' AS next_level",
+        "'op' AS operator", "'webA' AS dn",
     )
 
 
@@ -162,34 +132,20 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """topic, value, arrived, offset: events and orders as JSON records, documents as junk between them."""
     # Which topic an event type stands for.
     kinds = {
-        "signup": ("member", _member_fields()), "click": ("memberregtype", _regtype_fields()),
-        "purchase": ("memberpaymoney", _payment_fields()), "view": ("basewebsite", _website_fields()),
-        "error": ("basead", _ad_fields()),
-    }
-    rows = events(spark, sf_dir)
-    topic, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for event_type, (name, fields) in kinds.items():
-        is_kind = F.col("event_type") == event_type
-        topic = F.when(is_kind, name).otherwise(topic)
-        value = F.when(is_kind, _wire(fields)).otherwise(value)
-    from_events = rows.select(topic.alias("topic"), value.alias("value"), F.col("us").alias("arrived"),
-                              F.col("event_id").alias("offset"))
-    key = F.col("o_orderkey")
-    start = F.col("o_orderdate").cast("timestamp")
-    day = F.date_format(start, "yyyy-MM-dd")
-    vip = {
-        "vip_id": key % 6, "vip_level": F.col("o_orderpriority"),
-        "start_time": F.concat(day, F.lit(" 00:00:00")), "end_time": F.concat(day, F.lit(" 23:59:59")),
-        "last_modify_time": F.when(key % 2 == 0, F.concat(day, F.lit(" 12:30:00"))).otherwise(day),
-        "max_free": key, "min_free": F.lit(0), "next_level": F.col("o_orderstatus"), "operator": F.lit("op"),
-        "dn": F.concat(F.lit("web"), F.substring(F.lit("ABC"), (F.col("o_custkey") % 3 + 1).cast("int"), F.lit(1))),
+        "signup": ("member", MEMBER_FIELDS), "click": ("memberregtype", REGTYPE_FIELDS),
+        "purchase": ("memberpaymoney", PAYMENT_FIELDS), "view": ("basewebsite", WEBSITE_FIELDS),
+        "error": ("basead", AD_FIELDS),
     }
-    from_orders = table(spark, sf_dir, "orders").select(
-        F.lit("membervip").alias("topic"), _wire(vip).alias("value"),
-        F.unix_micros(start).alias("arrived"), key.alias("offset"))
-    junk = table(spark, sf_dir, "documents").select(
-        F.lit("member").alias("topic"), F.col("text").alias("value"),
-        F.lit(0).cast("bigint").alias("arrived"), F.col("doc_id").alias("offset"))
+    topic = " ".join(f"WHEN '{kind}' THEN '{name}'" for kind, (name, _) in kinds.items())
+    value = " ".join(f"WHEN '{kind}' THEN {_wire(fields)}" for kind, (_, fields) in kinds.items())
+    from_events = events(spark, sf_dir).selectExpr(
+        f"CASE event_type {topic} END AS topic", f"CASE event_type {value} END AS value",
+        "us AS arrived", "event_id AS offset")
+    from_orders = table(spark, sf_dir, "orders").selectExpr(
+        "'membervip' AS topic", f"{_wire(VIP_FIELDS)} AS value",
+        "unix_micros(CAST(o_orderdate AS timestamp)) AS arrived", "o_orderkey AS offset")
+    junk = table(spark, sf_dir, "documents").selectExpr(
+        "'member' AS topic", "text AS value", "0L AS arrived", "doc_id AS offset")
     return from_events.unionByName(from_orders).unionByName(junk)
 
 
