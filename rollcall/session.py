@@ -34,9 +34,15 @@ def build_session(app: str = "rollcall", master: str | None = None, **extra: str
 
 
 def use_settings(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else created."""
+    """Apply the runtime settings to a session somebody else created.
+
+    A local session left at the default number of shuffle partitions gets one per
+    core, as each of them also is a state store of a stream.
+    """
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    if spark.sparkContext.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark
 
 
