@@ -97,6 +97,25 @@ def current_members(
     return with_row_key(wide_row(latest_values(order, MEMBER_KEY, ("_win_us",))))
 
 
+def collapsed_streams(
+    member: DataFrame, regtype: DataFrame, payment: DataFrame, ts: str = "ts", size: str = WINDOW,
+) -> DataFrame:
+    """Stream: one row per member, site and window, with the last values of all three sides.
+
+    Each side is an aggregation by window first, so its rows are reduced before
+    the shuffle and the join keeps one row of state per key instead of all. The
+    lookups follow in the batch. Keeps the last row of a lookup's key, where
+    the pairs would keep the last key that was found.
+    """
+    keys = [*MEMBER_KEY, "win"]
+    joined = (
+        collapse_member(member_side(member, ts, size))
+        .join(collapse_right(regtype_side(regtype, ts, size), REGTYPE_COLUMNS, "regtype_us"), keys, "left")
+        .join(collapse_right(payment_side(payment, ts, size), PAYMENT_COLUMNS, "payment_us"), keys, "left")
+    )
+    return joined.drop("win")
+
+
 def with_row_key(wide: DataFrame) -> DataFrame:
     return wide.select(salted_row_key(F.col("uid"), F.col("dn")).alias("row_key"), *wide.columns)
 

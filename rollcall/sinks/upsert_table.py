@@ -45,6 +45,22 @@ class _BatchFolders:
         base = self.newest_base()
         return base is not None and max(self.finished("delta"), default=base) <= base
 
+    def drop_folded(self) -> int:
+        """Delete what the newest base has made needless; gives the number of folders.
+
+        Not while a reader may still be at work on a list of folders from before the base.
+        """
+        base = self.newest_base()
+        if base is None:
+            return 0
+        old = [("delta", b) for b in self.finished("delta") if b < base]
+        old += [("base", b) for b in self.finished("base") if b < base]
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        for kind, b in old:
+            folder = hadoop.Path(f"{self.path}/kind={kind}/{_BATCH}={b}")
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        return len(old)
+
     def newest_base(self) -> int | None:
         return max(self.finished("base"), default=None)
 
@@ -56,7 +72,35 @@ class _BatchFolders:
         return [int(f.getPath().getParent().getName().split("=")[1]) for f in found]
 
 
-class UpsertTable:
+class _Compactable:
+    """Folding the batches of a table, for both kinds of tables."""
+
+    _folders: _BatchFolders
+
+    def _stored_rows(self) -> DataFrame | None:
+        raise NotImplementedError
+
+    def compact(self, every: int = 1) -> bool:
+        """Fold all batches so far into a new base, if at least ``every`` have come since the last one."""
+        base = self._folders.newest_base()
+        since = [b for b in self._folders.finished("delta") if base is None or b > base]
+        if not since or len(since) < every:
+            return False
+        self._folders.write(self._stored_rows(), "base", max(since))
+        return True
+
+    def drop_folded(self) -> int:
+        return self._folders.drop_folded()
+
+    def _refuse_old(self, batch_id: int) -> None:
+        base = self._folders.newest_base()
+        if base is not None and batch_id < base:
+            raise ValueError(
+                f"batch {batch_id} is older than the compacted base {base} of {self._folders.path}: "
+                "a stream with a new checkpoint needs a new table")
+
+
+class UpsertTable(_Compactable):
     """An upsert replaces the whole row of its key. Within a batch ``order`` decides, then the later batch."""
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]):
@@ -81,24 +125,14 @@ class UpsertTable:
             return loaded.drop(_BATCH)
         return latest_rows(loaded, self.keys, [_BATCH]).drop(_BATCH)
 
-    def compact(self) -> None:
-        """Fold all batches so far into a new base."""
-        newest = max(self._folders.finished("delta"), default=None)
-        if newest is not None and not self._folders.is_compact():
-            self._folders.write(self.read(), "base", newest)
+    def _stored_rows(self) -> DataFrame:
+        return self.read()
 
     def batches(self) -> list[int]:
         return sorted(self._folders.finished("delta"))
 
-    def _refuse_old(self, batch_id: int) -> None:
-        base = self._folders.newest_base()
-        if base is not None and batch_id < base:
-            raise ValueError(
-                f"batch {batch_id} is older than the compacted base {base} of {self._folders.path}: "
-                "a stream with a new checkpoint needs a new table")
 
-
-class CellTable:
+class CellTable(_Compactable):
     """An upsert replaces single values: a NULL leaves the stored one alone, and so does an older one.
 
     Each value is stored with the time it is from, and the later time wins. So
@@ -120,6 +154,7 @@ class CellTable:
 
     def upsert(self, rows: DataFrame, batch_id: int, at: Mapping[str, str] | str) -> None:
         """``at`` names the bigint column with the time of a value, one for all or one for each."""
+        self._refuse_old(batch_id)
         times = {f.name: at if isinstance(at, str) else at[f.name] for f in self._values}
         cells = rows.selectExpr(
             *[f"`{k}`" for k in self.keys],
@@ -129,18 +164,13 @@ class CellTable:
 
     def read(self) -> DataFrame:
         """The current rows, one per key."""
-        cells = self._cells()
+        cells = self._stored_rows()
         if cells is None:
             return self.spark.createDataFrame([], self.schema)
         return cells.selectExpr(*[
             f"`{f.name}`" if f.name in self.keys else f"`{f.name}`.value AS `{f.name}`" for f in self.schema])
 
-    def compact(self) -> None:
-        newest = max(self._folders.finished("delta"), default=None)
-        if newest is not None and not self._folders.is_compact():
-            self._folders.write(self._cells(), "base", newest)
-
-    def _cells(self) -> DataFrame | None:
+    def _stored_rows(self) -> DataFrame | None:
         loaded = self._folders.load(self._stored)
         if loaded is None:
             return None

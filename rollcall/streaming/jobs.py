@@ -13,7 +13,7 @@ from ..operators.joins import WINDOW, join_member_facts
 from ..operators.lookup import dead_letters
 from ..operators.routing import dimension_records, json_records, second_layer
 from ..operators.words import POISON, count_words, fail_on, labelled_counts, words_on_space
-from ..plans.member_wide import enrich, upsert_members
+from ..plans.member_wide import collapsed_streams, enrich, upsert_members
 from ..plans.ods import upsert_dimensions
 from ..sinks.topic_log import topic_stream, write_text_topic
 from ..sinks.upsert_table import CellTable, UpsertTable
@@ -36,10 +36,14 @@ def start_fact_stream(
 
 
 def start_dimension_stream(
-    log: DataFrame, tables: Mapping[str, UpsertTable], checkpoint: str, every: str | None = None,
+    log: DataFrame, tables: Mapping[str, UpsertTable], checkpoint: str,
+    *, every: str | None = None, compact_after: int = 50,
 ) -> StreamingQuery:
     """Dimension records of the raw log (with order of arrival) into their tables.
 
+    The tables are small against the facts, so they are folded in passing, every
+    ``compact_after`` batches. The wide table is not: fold it in a job of its own.
+
     Give the source the dimension topics only: then neither stream reads what
     the other one needs.
     """
@@ -47,6 +51,8 @@ def start_dimension_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         upsert_dimensions(batch, batch_id, dict(tables))
+        for table in tables.values():
+            table.compact(every=compact_after)
 
     writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _start(writer, every)
@@ -84,6 +90,28 @@ def start_member_stream(
     return _start(writer, every)
 
 
+def start_collapsed_member_stream(
+    member: DataFrame, regtype: DataFrame, payment: DataFrame,
+    dimensions: Mapping[str, UpsertTable], wide: CellTable, checkpoint: str,
+    *, size: str = WINDOW, every: str | None = None,
+) -> StreamingQuery:
+    """The same wide table without the pairs, for streams with very frequent members.
+
+    See ``collapsed_streams``. Rows come out when their window has closed.
+    """
+    joined = collapsed_streams(member, regtype, payment, size=size)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        enriched = enrich(
+            batch, dimensions["dwd_basead"].read(), dimensions["dwd_basewebsite"].read(),
+            dimensions["dwd_membervip"].read(),
+        )
+        upsert_members(enriched, batch_id, wide)
+
+    writer = joined.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _start(writer, every)
+
+
 def start_word_count(
     lines: DataFrame, counts: UpsertTable, checkpoint: str,
     *, topic: str | None = None, topic_path: str | None = None, servers: str | None = None,

@@ -159,11 +159,6 @@ _COGROUPED = StructType([
 ])
 
 
-def _left_pairs(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    both = left.merge(right.drop(columns=["dn"]), on=["uid", "win_us"], how="left")
-    return both[["uid", "dn", "register", "appkey", "createtime"]].astype(object).where(lambda c: c.notna(), None)
-
-
 @check("jn9_cogroup", """
 SELECT CAST(m.uid AS VARCHAR) AS uid, m.dn, register, appkey, createtime
 FROM member_all m LEFT JOIN regtype_all r
@@ -173,7 +168,12 @@ def jn9(spark, sf_dir):
     uid = F.col("uid").cast("string").alias("uid")
     left = _flat(op.in_window(member, "ts", DAY)).select(uid, "dn", "win_us", "register")
     right = _flat(op.in_window(regtype, "ts", DAY)).select(uid, "dn", "win_us", "appkey", "createtime")
-    return op.cogroup(left, right, ["uid", "dn", "win_us"], _left_pairs, _COGROUPED, HotKeys(rows_per_part=2))
+
+    def left_pairs(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        both = l.merge(r.drop(columns=["dn"]), on=["uid", "win_us"], how="left")
+        return both[["uid", "dn", "register", "appkey", "createtime"]].astype(object).where(lambda c: c.notna(), None)
+
+    return op.cogroup(left, right, ["uid", "dn", "win_us"], left_pairs, _COGROUPED, HotKeys(rows_per_part=2))
 
 
 @check("jn10_wide_rows", f"WITH {jn1_sql(_DAY_US)}, {JN2}, {JN6} SELECT {WIDE}, ad_hit, site_hit, vip_hit FROM jn6")
@@ -235,20 +235,18 @@ def prj10(spark, sf_dir):
     return without_member_amount(member).drop("ts")
 
 
-class _LevelStore:
-    """Stands in for a store that is asked by key."""
-
-    def ask(self, wanted: list[tuple]) -> dict[tuple, dict]:
-        return {key: {"grade": f"g{key[0]}{key[1]}"} for key in wanted if key[0] % 2 == 0}
-
-
 @check("udf5_lookup_by_client", """
 SELECT uid, dn, register, CASE WHEN uid % 2 = 0 THEN 'g' || uid || dn END AS grade, CAST(NULL AS VARCHAR) AS lookup_error
 FROM member_all""")
 def udf5(spark, sf_dir):
+    """A dictionary stands in for the client of a store that is asked by key."""
+
+    def fetch(store: dict, wanted: list[tuple]) -> dict[tuple, dict]:
+        return {key: {"grade": f"g{key[0]}{key[1]}"} for key in wanted if key[0] % 2 == 0}
+
     member, _, _ = views.facts(spark, sf_dir)
     return lookup_by_client(
-        member.select("uid", "dn", "register"), _LevelStore, lambda store, keys: store.ask(keys), ["uid", "dn"],
+        member.select("uid", "dn", "register"), dict, fetch, ["uid", "dn"],
         StructType([StructField("grade", StringType())]))
 
 
