@@ -119,6 +119,7 @@ def cogroup(
     function,
     schema: StructType | str,
     hot_keys: HotKeys | None = HotKeys(),
+    buckets: int | None = None,
 ) -> DataFrame:
     """Apply ``function(left_rows, right_rows)`` to the rows of each key of the left side.
 
@@ -127,6 +128,10 @@ def cogroup(
     it gives for each of them: then a hot key can be dealt out over several calls.
     With ``hot_keys=None`` every call gets a whole group, of keys of either side,
     and that group has to fit into one task.
+
+    A call per key is slow where keys are many and small. With ``buckets`` a call
+    gets the rows of many keys and the function has to keep them apart, as a merge
+    on the keys does. Choose so many that rows / buckets fits into one call.
     """
     left_columns, right_columns = left.columns, right.columns
     keys = list(keys)
@@ -135,15 +140,45 @@ def cogroup(
         def whole(left_rows: pd.DataFrame, right_rows: pd.DataFrame) -> pd.DataFrame:
             return function(left_rows, right_rows)
 
-        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(whole, schema)
+        return _cogrouped(left, right, keys).applyInPandas(whole, schema)
 
     left_dealt, right_dealt = spread([left, right], keys, hot_keys)
-
-    def in_parts(left_rows: pd.DataFrame, right_rows: pd.DataFrame) -> pd.DataFrame:
-        # No left row in this part, or its right rows are all in other parts.
-        if left_rows.empty or (right_rows.empty and left_rows["_split1"].iloc[0]):
-            left_rows, right_rows = left_rows.iloc[:0], right_rows.iloc[:0]
+    together = [*keys, PART]
+    if buckets is None:
+        grouped = together
+    else:
+        grouped = ["_bucket"]
+        bucket = f"pmod(xxhash64({', '.join(together)}), {int(buckets)}) AS _bucket"
+        left_dealt, right_dealt = (side.selectExpr("*", bucket) for side in (left_dealt, right_dealt))
+
+    def one_part(left_rows: pd.DataFrame, right_rows: pd.DataFrame) -> pd.DataFrame:
+        """Rows of one part, of one key or of several."""
+        split = left_rows["_split1"]
+        if split.any():  # the right rows of such a key may all be in other parts
+            here = left_rows[keys].merge(right_rows[keys].drop_duplicates(), on=keys, how="left", indicator=True)
+            left_rows = left_rows[~split.to_numpy() | (here["_merge"] == "both").to_numpy()]
+        if left_rows.empty:
+            right_rows = right_rows.iloc[:0]
         return function(left_rows[left_columns], right_rows[right_columns])
 
-    grouped = [*keys, PART]
-    return left_dealt.groupBy(*grouped).cogroup(right_dealt.groupBy(*grouped)).applyInPandas(in_parts, schema)
+    def by_part(left_rows: pd.DataFrame, right_rows: pd.DataFrame) -> pd.DataFrame:
+        """A bucket can hold several parts of a key, which must not meet."""
+        # Left rows without a whole key match nothing and can go with any part.
+        number = left_rows[PART].where(left_rows[keys].notna().all(axis=1), 0)
+        results = [
+            one_part(left_rows[number == part], right_rows[right_rows[PART] == part])
+            for part in sorted(set(number))
+        ]
+        return pd.concat(results) if results else one_part(left_rows, right_rows)
+
+    apply = one_part if buckets is None else by_part
+    return _cogrouped(left_dealt, right_dealt, grouped).applyInPandas(
+        lambda left_rows, right_rows: apply(left_rows, right_rows), schema)
+
+
+def _cogrouped(left: DataFrame, right: DataFrame, keys: Sequence[str]):
+    # A call per group costs far more than its bytes suggest, so do not let AQE
+    # merge small partitions; a number of its own keeps it from doing so.
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (left.repartition(tasks, *keys).groupBy(*keys)
+            .cogroup(right.repartition(tasks, *keys).groupBy(*keys)))

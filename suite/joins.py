@@ -170,10 +170,11 @@ def jn9(spark, sf_dir):
     right = _flat(op.in_window(regtype, "ts", DAY)).select(uid, "dn", "win_us", "appkey", "createtime")
 
     def left_pairs(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        both = l.merge(r.drop(columns=["dn"]), on=["uid", "win_us"], how="left")
+        both = l.merge(r, on=["uid", "dn", "win_us"], how="left")
         return both[["uid", "dn", "register", "appkey", "createtime"]].astype(object).where(lambda c: c.notna(), None)
 
-    return op.cogroup(left, right, ["uid", "dn", "win_us"], left_pairs, _COGROUPED, HotKeys(rows_per_part=2))
+    return op.cogroup(left, right, ["uid", "dn", "win_us"], left_pairs, _COGROUPED,
+                      HotKeys(rows_per_part=2), buckets=64)
 
 
 @check("jn10_wide_rows", f"WITH {jn1_sql(_DAY_US)}, {JN2}, {JN6} SELECT {WIDE}, ad_hit, site_hit, vip_hit FROM jn6")

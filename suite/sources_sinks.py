@@ -10,7 +10,7 @@ from rollcall.operators.words import count_words, labelled_counts, words_on_whit
 from rollcall.plans import ods
 from rollcall.plans.member_wide import enrich, upsert_members, wide_rows, wide_table
 from rollcall.schemas import (
-    AD_TABLE, DIMENSION_TOPICS, FACT_TOPICS, VIP_TABLE, WEBSITE_TABLE, Dimension,
+    AD_TABLE, FACT_TOPICS, VIP_TABLE, WEBSITE_TABLE, Dimension,
 )
 from rollcall.session import fresh_dir
 from rollcall.sinks.topic_log import append_facts, write_text_topic
@@ -29,24 +29,20 @@ from .views import DAY, names
 _DAY_US = 86_400_000_000
 
 
-def _stored_log(spark: SparkSession, sf_dir: str) -> str:
-    path = fresh_dir(spark, "raw-log")
-    views.raw_log(spark, sf_dir).write.partitionBy("topic").parquet(path)
-    return path
-
-
 @check("src1_raw_log", """
 SELECT CASE event_type WHEN 'view' THEN 'basewebsite' ELSE 'basead' END AS topic, us AS arrived,
        event_id AS "offset", 1 AS has_value
 FROM ev WHERE event_type IN ('view', 'error')""")
 def src1(spark, sf_dir):
     """Two of six topics; the topic filter prunes directories."""
-    log = read_raw_log(spark, ["basead", "basewebsite"], path=_stored_log(spark, sf_dir), stream=False, arrival=True)
+    path = fresh_dir(spark, "raw-log")
+    views.raw_log(spark, sf_dir).write.partitionBy("topic").parquet(path)
+    log = read_raw_log(spark, ["basead", "basewebsite"], path=path, stream=False, arrival=True)
     return log.select("topic", "arrived", "offset", F.col("value").isNotNull().cast("int").alias("has_value"))
 
 
 def _second_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ods.fact_log(views.raw_log(spark, sf_dir))
+    return ods.fact_log(views.stored_log(spark, sf_dir))
 
 
 @check("src2_member_records", f"SELECT {names('member')} FROM member_all")
@@ -98,7 +94,7 @@ def _half(arrived: str = "arrived"):
 
 def _two_batches(spark: SparkSession, sf_dir: str, dimension: Dimension, table: UpsertTable) -> UpsertTable:
     """All versions in two batches, the second one written twice."""
-    versions = ods.dimension_versions(views.raw_log(spark, sf_dir), dimension)
+    versions = ods.dimension_versions(views.stored_log(spark, sf_dir), dimension)
     order = ods.ARRIVAL_ORDER
     table.upsert(versions.where(_half()), 0, order)
     for _ in range(2):
@@ -141,7 +137,7 @@ def snk3_compacted(spark, sf_dir):
 
 def _typed(spark: SparkSession, sf_dir: str, dimension: Dimension, project, keys) -> DataFrame:
     """Typed rows in a table of their own layout."""
-    versions = ods.dimension_versions(views.raw_log(spark, sf_dir), dimension)
+    versions = ods.dimension_versions(views.stored_log(spark, sf_dir), dimension)
     order = ods.ARRIVAL_ORDER
     rows = project(versions, order)
     table = UpsertTable(spark, fresh_dir(spark, "typed"), rows.drop(*order).schema, keys)
@@ -189,7 +185,7 @@ UNION ALL SELECT 'dwdmemberregtype', CAST(uid AS VARCHAR), createtime FROM regty
 UNION ALL SELECT 'dwdmemberpaymoney', CAST(uid AS VARCHAR), createtime FROM payment_all""")
 def snk9(spark, sf_dir):
     path = fresh_dir(spark, "second-layer")
-    append_facts(views.raw_log(spark, sf_dir), path)
+    append_facts(views.stored_log(spark, sf_dir), path)
     topics = [f"dwd{t}" for t in FACT_TOPICS]
     log = read_raw_log(spark, topics, path=path, stream=False)
     return log.select(
@@ -210,7 +206,7 @@ def snk10(spark, sf_dir):
 @check("ods_dimension_rows", _latest_sql("website_log", "siteid", names("websites")))
 def ods_rows(spark, sf_dir):
     """The table straight from the whole log, with no upserts between."""
-    return ods.dimension_rows(views.raw_log(spark, sf_dir), WEBSITE_TABLE)
+    return ods.dimension_rows(views.stored_log(spark, sf_dir), WEBSITE_TABLE)
 
 
 @check("ods_to_wide_rows", f"""WITH {jn1_sql(_DAY_US)}, {JN2},
@@ -221,8 +217,7 @@ vips2 AS ({_latest_sql('vip_log', 'vip_id', names('vips'))}),
        + f" SELECT {WIDE}, ad_hit, site_hit, vip_hit FROM jn6")
 def ods_to_wide(spark, sf_dir):
     """All layers with stored tables between: filter, routing, decoding, dimension upserts, joins, lookups."""
-    log = read_raw_log(
-        spark, [*FACT_TOPICS, *DIMENSION_TOPICS], path=_stored_log(spark, sf_dir), stream=False, arrival=True)
+    log = views.stored_log(spark, sf_dir)
     second = fresh_dir(spark, "second-layer")
     append_facts(log, second)
     tables = ods.dimension_tables(spark, fresh_dir(spark, "tables"))

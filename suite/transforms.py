@@ -29,7 +29,7 @@ log AS (
 junk AS (SELECT doc_id FROM documents WHERE (CASE WHEN json_valid(text) THEN json_type(text) = 'OBJECT' ELSE FALSE END))
 SELECT topic, "offset" FROM log UNION ALL SELECT 'member', doc_id FROM junk""")
 def flt1(spark, sf_dir):
-    return routing.json_records(views.raw_log(spark, sf_dir)).select("topic", "offset")
+    return routing.json_records(views.stored_log(spark, sf_dir)).select("topic", "offset")
 
 
 @check("flt2_non_empty", r"""
@@ -71,7 +71,7 @@ def rte2(spark, sf_dir):
 
 @check("prj1_decode_member", f"SELECT {names('member')}, event_id AS \"offset\", 0 AS bad FROM member_all")
 def prj1(spark, sf_dir):
-    log = routing.json_records(views.raw_log(spark, sf_dir)).where(F.col("topic") == "member")
+    log = routing.json_records(views.stored_log(spark, sf_dir)).where(F.col("topic") == "member")
     return decode(log, MEMBER, keep=["offset"], bad_fields="bad")
 
 

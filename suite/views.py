@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall.operators.latest import latest_rows
-from rollcall.schemas import AD, MEMBER, PAYMENT, REGTYPE, VIP, WEBSITE
+from rollcall.schemas import AD, DIMENSION_TOPICS, FACT_TOPICS, MEMBER, PAYMENT, REGTYPE, VIP, WEBSITE
+from rollcall.session import fresh_dir
+from rollcall.sources.raw_log import read_raw_log
 
 DAY = "1 day"
 
@@ -149,6 +151,13 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_events.unionByName(from_orders).unionByName(junk)
 
 
+def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log written out by topic and read again, as a job finds it."""
+    path = fresh_dir(spark, "raw-log")
+    raw_log(spark, sf_dir).write.partitionBy("topic").parquet(path)
+    return read_raw_log(spark, [*FACT_TOPICS, *DIMENSION_TOPICS], path=path, stream=False, arrival=True)
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("line"))
 

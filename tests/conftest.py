@@ -13,7 +13,7 @@ from rollcall.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session("tests", "local[4]", **{
-        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "6g", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
     })
     session.sparkContext.setLogLevel("OFF")

@@ -191,14 +191,15 @@ def test_bound_on_hot_keys_changes_no_result(spark):
     assert Counter(joined.select("k", "a", "b").collect()) == Counter(plain.select("k", "a", "b").collect())
 
 
-def test_cogroup_over_a_hot_key(spark):
-    left = spark.range(40).selectExpr("CAST(id % 2 AS int) AS k", "id AS a").repartition(3)
-    right = spark.range(30).selectExpr("CAST(0 AS int) AS k", "id AS b").repartition(3)
+@pytest.mark.parametrize("buckets", [None, 1, 5])
+def test_cogroup_over_a_hot_key(spark, buckets):
+    left = spark.range(40).selectExpr("CAST(IF(id = 7, NULL, id % 5 % 3) AS int) AS k", "id AS a").repartition(3)
+    right = spark.range(30).selectExpr("CAST(IF(id % 3 = 1, 9, id % 3 % 2) AS int) AS k", "id AS b").repartition(3)
 
     def pairs(l, r):
         return l.merge(r, on="k", how="left")[["k", "a", "b"]].astype("Int64")
 
-    found = joins.cogroup(left, right, ["k"], pairs, "k int, a long, b long", HotKeys(rows_per_part=4))
+    found = joins.cogroup(left, right, ["k"], pairs, "k int, a long, b long", HotKeys(rows_per_part=4), buckets)
     assert Counter(found.collect()) == Counter(left.join(right, "k", "left").select("k", "a", "b").collect())
 
 
