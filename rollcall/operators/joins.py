@@ -40,6 +40,7 @@ def left_join_chain(
     rights: Sequence[tuple[DataFrame, Sequence[str]]],
     keys: Sequence[str] = _JOIN_KEY,
     hot_keys: HotKeys | None = HotKeys(),
+    counted: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
     """left ⟕ rights[0] ⟕ rights[1] ..., all on the same keys, all pairs.
 
@@ -56,7 +57,7 @@ def left_join_chain(
         for side, _ in rights:
             joined = joined.join(side, list(keys), "left")
         return joined.select(*left.columns, *[c for _, columns in rights for c in columns])
-    dealt = spread([left, *[side for side, _ in rights]], keys, hot_keys)
+    dealt = spread([left, *[side for side, _ in rights]], keys, hot_keys, counted)
     joined = dealt[0]
     for number, side in enumerate(dealt[1:], start=1):
         hit = f"_hit{number}"
@@ -99,8 +100,12 @@ def join_payment(
 def join_member_facts(
     member: DataFrame, regtype: DataFrame, payment: DataFrame, ts: str = "ts", size: str = WINDOW,
     hot_keys: HotKeys | None = HotKeys(), member_extra: Iterable[str] = (), payment_extra: Iterable[str] = (),
+    counted: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
-    """Both joins as one chain over three shuffles. The extra columns come along from their side."""
+    """Both joins as one chain over three shuffles. The extra columns come along from their side.
+
+    ``counted`` gives member, registration and payment rows as they were before any lookups.
+    """
     left = member_side(member, ts, size).select(*MEMBER_COLUMNS, *member_extra, "member_us", "win")
     return left_join_chain(
         left,
@@ -109,6 +114,7 @@ def join_member_facts(
             (payment_side(payment, ts, size), (*PAYMENT_COLUMNS, *payment_extra, "payment_us")),
         ],
         hot_keys=hot_keys,
+        counted=[in_window(rows, ts, size) for rows in counted] if counted else None,
     )
 
 

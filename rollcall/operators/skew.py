@@ -75,15 +75,20 @@ def _row_hash(columns: Sequence[str]) -> str:
     return f"xxhash64(spark_partition_id(), {', '.join(_quoted(columns))})"
 
 
-def spread(sides: Sequence[DataFrame], keys: Sequence[str], policy: HotKeys) -> list[DataFrame]:
+def spread(
+    sides: Sequence[DataFrame], keys: Sequence[str], policy: HotKeys, counted: Sequence[DataFrame] | None = None,
+) -> list[DataFrame]:
     """The sides with a ``_part`` column to be joined on together with the keys.
 
     Side 0 is the left side of left joins. It also gets ``_split1``, ``_split2``, ...:
     whether the key is dealt out on that side. A copy of such a left row that finds
     nothing in its part has its matches in another part and is to be dropped.
+
+    ``counted`` gives frames with the same keys that are cheaper to count, where
+    the sides already hold the work of one-to-one lookups.
     """
     numbers = range(len(sides))
-    hot = F.broadcast(hot_key_parts(sides, keys, policy))
+    hot = F.broadcast(hot_key_parts(counted or sides, keys, policy))
     sizes = [f"coalesce(_n{j}, 1) AS _n{j}" for j in numbers]
     whole_key = " AND ".join(f"{k} IS NOT NULL" for k in keys)
     result = []

@@ -50,6 +50,7 @@ def wide_rows(
     joined = join_member_facts(
         members, regtype, payments, ts, size, hot_keys,
         member_extra=_found_columns(members, member), payment_extra=_found_columns(payments, payment),
+        counted=(member, regtype, payment),
     )
     return wide_row(_no_hit_is_false(joined), mask=mask, keep=HITS)
 

@@ -40,7 +40,8 @@ def use_settings(spark: SparkSession) -> SparkSession:
     core, as each of them also is a state store of a stream.
     """
     for name, value in SETTINGS.items():
-        spark.conf.set(name, value)
+        if spark.conf.isModifiable(name):
+            spark.conf.set(name, value)
     if spark.sparkContext.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
         spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark

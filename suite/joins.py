@@ -182,6 +182,12 @@ def jn10(spark, sf_dir):
     return _flags(wide_rows(*views.facts(spark, sf_dir), *views.dimensions(spark, sf_dir), size=DAY))
 
 
+@check("jn10_wide_rows_spread", f"WITH {jn1_sql(_DAY_US)}, {JN2}, {JN6} SELECT {WIDE}, ad_hit, site_hit, vip_hit FROM jn6")
+def jn10_spread(spark, sf_dir):
+    hot_keys = HotKeys(rows_per_part=1, even_if_small=True)
+    return _flags(wide_rows(*views.facts(spark, sf_dir), *views.dimensions(spark, sf_dir), size=DAY, hot_keys=hot_keys))
+
+
 def last_values_sql(source: str, order: str, columns: list[str], keys: str = "uid, dn") -> str:
     picks = ", ".join(
         f'arg_max("{c}", {order}) FILTER (WHERE "{c}" IS NOT NULL) AS "{c}"' for c in columns)
