@@ -9,14 +9,15 @@ def is_json_object(value: Column) -> Column:
     """True for text that is one JSON object and nothing else.
 
     Spark's JSON functions stop reading after the first complete value, so
-    ``{"a":1} x`` would pass on its own. Wrapped into an array and into an
-    object, what follows the value has to fit both, and only white space does.
-    The cheap look at the first character keeps most junk away from the parser.
+    ``{"a":1} x`` would pass on its own. Wrapped into an array, only a ``]`` can
+    follow the value; where there is one in the text, the value is wrapped into an
+    object as well, and only white space fits both. The cheap look at the first
+    character keeps most junk away from the parser.
     """
     as_element = F.json_array_length(F.concat(F.lit("["), value, F.lit("]")))
     as_field = F.json_object_keys(F.concat(F.lit('{"v":'), value, F.lit("}")))
     return F.coalesce(
-        value.rlike(r"^[ \t\r\n]*\{") & (as_element == 1) & as_field.isNotNull(),
+        value.rlike(r"^[ \t\r\n]*\{") & (as_element == 1) & (~value.contains("]") | as_field.isNotNull()),
         F.lit(False),
     )
 
