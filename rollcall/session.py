@@ -24,6 +24,9 @@ SETTINGS = {
 }
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def build_session(app: str = "rollcall", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -58,9 +61,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="rollcall-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="rollcall-")
+    return _local_dirs[application]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
