@@ -194,7 +194,7 @@ def test_poison_then_restart(spark):
 
     def run():
         jobs.start_word_count(
-            read_lines(spark, folder, max_files=1), counts, checkpoint, topic="flink_kafka", topic_path=topic,
+            read_lines(spark, folder, max_files=1), counts, checkpoint, topic="word_counts", topic_path=topic,
         ).awaitTermination()
 
     def now():
