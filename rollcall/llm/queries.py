@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, sharding, topk
+from . import bpe, decontaminate, sharding, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,15 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.PATTERN)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document words that also stand in a benchmark window of ten words."""
+    found = decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of nearly equal bytes, equal texts together."""
     placed = sharding.assign(_table(spark, sf_dir, "documents"), 24)
@@ -31,7 +40,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_byte_bpe, op10_shards)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_byte_bpe, op8_decontamination, op10_shards)}
 
 SQL = {
     "op1_top_k": """
@@ -45,5 +54,34 @@ WITH kept AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM scored
 )
 SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 5
+""",
+    "op8_decontamination": r"""
+WITH lowered AS (
+    SELECT doc_id, row_number() OVER () AS r, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+), docs AS (
+    SELECT doc_id, r, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), sized AS (
+    SELECT item_id, w, least(10, len(w)) AS n FROM items WHERE len(w) > 0
+), wanted AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[p : p + n - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS p FROM sized)
+), placed AS (
+    SELECT r, n, p, array_to_string(w[p : p + n - 1], ' ') AS phrase
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM docs, (SELECT DISTINCT n FROM sized) WHERE len(w) >= n)
+), found AS (
+    SELECT r, n, p, item_id FROM placed JOIN wanted USING (n, phrase)
+), hit AS (
+    SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM found) GROUP BY r
+), named AS (
+    SELECT r, count(*) AS n_items, sha256(string_agg(i, ',' ORDER BY i)) AS items_sha256
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, coalesce(n_items, 0) AS n_items,
+    coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """,
 }
