@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, sharding, topk
+from . import bpe, decontaminate, quality, sharding, topk, toxicity
+from .labelled import fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,23 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.PATTERN)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from four fifths of the labels."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    return toxicity.score(docs, model).withColumnRenamed("id", "doc_id").select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("sentences").alias("n_offending"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from three quarters of the labels."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    return quality.score(docs, model).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document words that also stand in a benchmark window of ten words."""
     found = decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -40,7 +58,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_byte_bpe, op8_decontamination, op10_shards)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_byte_bpe, op4_toxicity, op6_quality, op8_decontamination, op10_shards)}
 
 SQL = {
     "op1_top_k": """
