@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, quality, sharding, topk, toxicity
+from . import bpe, decontaminate, quality, sharding, token_counts, topk, toxicity
 from .labelled import fold
 
 
@@ -34,6 +34,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("sentences").alias("n_offending"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every text."""
+    counted = token_counts.count(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counted.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learned from three quarters of the labels."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -58,7 +64,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_byte_bpe, op4_toxicity, op6_quality, op8_decontamination, op10_shards)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_byte_bpe, op4_toxicity, op5_token_counts, op6_quality, op8_decontamination, op10_shards)}
 
 SQL = {
     "op1_top_k": """

@@ -59,13 +59,13 @@ class Hasher:
         last[filled[1:] - 1] |= inside[filled[1:] - 1]
         starts, ends = np.flatnonzero(begins), np.flatnonzero(last) + 1
         counts = np.diff(np.searchsorted(starts, offsets))
-        return Words(starts, ends, self._hashes(data, starts, ends), counts)
+        return Words(starts, ends, self.hashes(data, starts, ends), counts)
 
     def prefixes(self, data: np.ndarray, words: Words, size: int) -> np.ndarray:
         """Hashes of the first ``size`` bytes of each word; of the whole word where it is shorter."""
-        return self._hashes(data, words.starts, np.minimum(words.ends, words.starts + size))
+        return self.hashes(data, words.starts, np.minimum(words.ends, words.starts + size))
 
-    def _hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         out, at = np.empty(len(starts), np.uint64), 0
         while at < len(starts):
             upto = max(at + 1, int(np.searchsorted(ends, starts[at] + BLOCK, side="right")))
