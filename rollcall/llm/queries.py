@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, quality, sharding, token_counts, topk, toxicity
+from . import bpe, decontaminate, quality, sharding, substring, token_counts, topk, toxicity
 from .labelled import fold
 
 
@@ -25,6 +25,12 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.PATTERN)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 13-word runs that an earlier document has."""
+    found = substring.dedupe(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from four fifths of the labels."""
     docs = _table(spark, sf_dir, "documents")
@@ -64,7 +70,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_byte_bpe, op4_toxicity, op5_token_counts, op6_quality, op8_decontamination, op10_shards)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_byte_bpe, op3_substring_dedup, op4_toxicity, op5_token_counts, op6_quality, op8_decontamination, op10_shards)}
 
 SQL = {
     "op1_top_k": """
