@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, quality, sharding, substring, token_counts, topk, toxicity
+from . import bpe, decontaminate, jaccard, quality, sharding, substring, token_counts, topk, toxicity
 from .labelled import fold
 
 
@@ -54,6 +54,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document under links of similar four-word shingle sets."""
+    found = jaccard.join(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document words that also stand in a benchmark window of ten words."""
     found = decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -70,7 +76,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_byte_bpe, op3_substring_dedup, op4_toxicity, op5_token_counts, op6_quality, op8_decontamination, op10_shards)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_byte_bpe, op3_substring_dedup, op4_toxicity, op5_token_counts, op6_quality, op7_jaccard_join, op8_decontamination, op10_shards)}
 
 SQL = {
     "op1_top_k": """
