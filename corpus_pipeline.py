@@ -1,13 +1,68 @@
-"""Documents through the stages of a training corpus."""
+"""Documents on their way to a training corpus: five stages, each of which works on all that the one before kept."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-STAGES: list = []
+from rollcall.llm import bpe, decontaminate, jaccard, quality, substring
+from rollcall.llm.labelled import fold
+from rollcall.session import fresh_dir
+
+#: Documents scored lower are rejected.
+LEAST_QUALITY = 0.7
+SHINGLE, PERCENT = 5, 80
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts; it learns from three quarters of the labels."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit(docs, labels, fold("doc_id", 4) != 2)
+    scored = quality.score(docs, model, output="_quality")
+    return scored.where(F.col("_quality") >= LEAST_QUALITY).select(*docs.columns)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each class of near copies."""
+    return jaccard.one_of_each(docs, size=SHINGLE, percent=PERCENT)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the runs of words that an earlier document has; untouched texts stay as they are."""
+    found = substring.dedupe(docs)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("doc.text"))
+    changed = {"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("doc.n_chars"))}
+    return found.select(*[changed.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.without_matches(docs, items)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number and digest of the ids of each text, and the digest of the bytes they decode to."""
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("n-gram Jaccard join", keep_one_of_near_copies),
+    ("substring dedup", cut_repeats),
+    ("benchmark decontamination", drop_contaminated),
+    ("byte-level BPE", encode),
+]
+
+# Trees, classes of links and BPE are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage, from the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for _, stage in STAGES[:-1]:
+        path = fresh_dir(spark, "pipeline")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -56,7 +56,7 @@ def item_words(items: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def index(docs: DataFrame, terms: np.ndarray | None, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The stored index: segment, ids, counts (words of each document), terms, ends, gaps (of positions).
+    """The stored index: segment, rows, ids, counts (words of each document), terms, ends, gaps (of positions).
 
     ``terms`` are the sorted terms to keep postings of; None keeps all.
     """
@@ -78,16 +78,17 @@ def index(docs: DataFrame, terms: np.ndarray | None, *, id_column: str = "doc_id
             sizes = np.bincount(term, minlength=len(own))
             gaps = np.diff(position[order], prepend=0).astype("<i4")
             yield pa.RecordBatch.from_arrays([
+                pa.array([batch.column("row").to_pylist()], pa.list_(pa.int64())),
                 pa.array([batch.column("id").to_pylist()], pa.list_(batch.column("id").type)),
                 *(pa.array([x.tobytes()], pa.binary()) for x in (
                     found.counts.astype("<i8"), own[sizes > 0].astype("<u8"),
                     np.cumsum(sizes[sizes > 0]).astype("<i8"), gaps)),
-            ], names=["ids", "counts", "terms", "ends", "gaps"])
+            ], names=["rows", "ids", "counts", "terms", "ends", "gaps"])
 
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     path = fresh_dir(docs.sparkSession, "postings")
-    rows.mapInArrow(run, f"ids array<{kind}>, counts binary, terms binary, ends binary, gaps binary").withColumn(
+    rows.mapInArrow(run, f"rows array<bigint>, ids array<{kind}>, counts binary, terms binary, ends binary, gaps binary").withColumn(
         "segment", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.parquet(path)
 
@@ -182,7 +183,10 @@ def matches(
     text_column: str = "text", item_column: str = "item_id", item_text: str = "text",
     block_words: int = BLOCK_WORDS, vocabulary: int = VOCABULARY,
 ) -> DataFrame:
-    """id, n_words, n_hit, spans (of hit words), items (with a window in the document) for each document."""
+    """row, id, n_words, n_hit, spans (of hit words), items (with a window in the document) for each document.
+
+    ``row`` is the document's monotonically_increasing_id().
+    """
     path = fresh_dir(docs.sparkSession, "benchmark-words")
     item_words(items, item_column, item_text).write.parquet(path)
     wanted = docs.sparkSession.read.parquet(path)
@@ -204,9 +208,8 @@ def matches(
         "spans", F.struct(F.lit(0).cast("long").alias("upto"), F.lit(0).cast("long").alias("n")),
         lambda a, x: F.struct(F.greatest(a.upto, x.end).alias("upto"),
                               (a.n + F.greatest(F.lit(0), x.end - F.greatest(a.upto, x.begin))).alias("n")), lambda a: a.n)
-    each = _documents(postings)
-    return each.join(hits, ["segment", "at"], "left").select(
-        "id", "n_words", F.coalesce(covered, F.lit(0)).alias("n_hit"), "spans",
+    return _documents(postings).join(hits, ["segment", "at"], "left").select(
+        "row", "id", "n_words", F.coalesce(covered, F.lit(0)).alias("n_hit"), "spans",
         F.coalesce("items", F.array().cast(f"array<{kind}>")).alias("items"))
 
 
@@ -225,17 +228,25 @@ def _vocabulary(wanted: DataFrame, most: int) -> np.ndarray | None:
 
 
 def _documents(postings: DataFrame) -> DataFrame:
-    """segment, at, id, n_words of each document of the index."""
+    """segment, at, row, id, n_words of each document of the index."""
     kind = postings.schema["ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for segment, ids, counts in zip(*(batch.column(c) for c in ("segment", "ids", "counts"))):
+            for segment, rows, ids, counts in zip(*(batch.column(c) for c in ("segment", "rows", "ids", "counts"))):
                 words = np.frombuffer(counts.as_buffer(), "<i8")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(words), segment.as_py()), pa.int64()),
-                     pa.array(np.arange(len(words)), pa.int32()), ids.values, pa.array(words, pa.int64())],
-                    names=["segment", "at", "id", "n_words"])
+                     pa.array(np.arange(len(words)), pa.int32()), rows.values, ids.values, pa.array(words, pa.int64())],
+                    names=["segment", "at", "row", "id", "n_words"])
+
+    return postings.select("segment", "rows", "ids", "counts").mapInArrow(
+        run, f"segment long, at int, row long, id {kind}, n_words long")
+
 
-    return postings.select("segment", "ids", "counts").mapInArrow(
-        run, f"segment long, at int, id {kind}, n_words long")
+def without_matches(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` in which no item has a window. ``docs`` has to give its rows in the same order each time."""
+    hit = matches(docs, items, **options).where("n_hit > 0").select("row")
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).select(
+        F.monotonically_increasing_id().alias("row"), "doc")
+    return given.join(hit, "row", "left_anti").select("doc.*")

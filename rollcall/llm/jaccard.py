@@ -273,13 +273,28 @@ def links(rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> tuple
 
 def join(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT, id_column: str = "doc_id",
          text_column: str = "text") -> DataFrame:
-    """row, id, n, component of each row of ``docs``: the size of its set, and the smallest id of its class."""
+    """row, id, n, class, component of each row of ``docs``: the size of its set, its class and the smallest id there.
+
+    ``row`` is the row's monotonically_increasing_id(); classes are called by a row of theirs.
+    """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("id"),
                        F.col(text_column).alias("text"))
     described, classes = links(rows, size, percent)
     name = ["n", "name_a", "name_b"]
     smallest = described.where("n > 0").groupBy(*name).agg(F.min("id").alias("id")).join(classes, name)
-    components_ = smallest.groupBy("class").agg(F.min("id").alias("component"))
-    named = classes.join(components_, "class").select(*name, "component")
+    of_class = smallest.groupBy("class").agg(F.min("id").alias("component"))
+    named = classes.join(of_class, "class").select(*name, "class", "component")
     return described.join(named, name, "left").select(
-        "row", "id", "n", F.coalesce("component", "id").alias("component"))
+        "row", "id", "n", F.coalesce("class", "row").alias("class"), F.coalesce("component", "id").alias("component"))
+
+
+def one_of_each(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT, id_column: str = "doc_id",
+                text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their class; of repeated rows one, and all rows without words."""
+    found = join(docs, size=size, percent=percent, id_column=id_column, text_column=text_column)
+    # NULL ids come last.
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "row")
+    kept = found.groupBy("class").agg(F.min(order).alias("least")).select(F.col("least.row").alias("row"))
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).select(
+        F.monotonically_increasing_id().alias("row"), "doc")
+    return given.join(kept, "row").select("doc.*")

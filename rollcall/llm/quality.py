@@ -149,15 +149,15 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, *, label: str = "qual
     return grow(x[order], y[order].astype(float))
 
 
-def score(docs: DataFrame, model: Trees, *, text_column: str = "text") -> DataFrame:
-    """``docs`` with a column ``score``; a column of that name is replaced."""
-    names = [c for c in docs.columns if c != "score"]
+def score(docs: DataFrame, model: Trees, *, text_column: str = "text", output: str = "score") -> DataFrame:
+    """``docs`` with a column ``output``; a column of that name is replaced."""
+    given = docs.drop(output)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash_words = Hasher(NOT_SPACE)
         for batch in bounded(batches, text_column):
             scores = model.scores(statistics(hash_words, batch.column(text_column)))
-            yield batch.append_column("score", pa.array(scores))
+            yield batch.append_column(output, pa.array(scores))
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.drop("score").schema)
-    return docs.select(*[f"`{n}`" for n in names]).mapInArrow(run, f"{fields}, score double")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema)
+    return given.mapInArrow(run, f"{fields}, `{output}` double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, jaccard, quality, sharding, substring, token_counts, topk, toxicity
+from . import bpe, decontaminate, jaccard, language_model, quality, sharding, substring, token_counts, topk, toxicity
 from .labelled import fold
 
 
@@ -69,6 +69,14 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every text, learned from nine tenths of them."""
+    scored = language_model.score(_table(spark, sf_dir, "documents"), fold("doc_id", 10) != 0)
+    return scored.select(
+        F.col("id").alias("doc_id"), F.coalesce(fold("id", 10) == 0, F.lit(True)).alias("held_out"), "n_tokens", "n_known",
+        "train_tokens", "base_score", "score")
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of nearly equal bytes, equal texts together."""
     placed = sharding.assign(_table(spark, sf_dir, "documents"), 24)
@@ -76,7 +84,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_byte_bpe, op3_substring_dedup, op4_toxicity, op5_token_counts, op6_quality, op7_jaccard_join, op8_decontamination, op10_shards)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_byte_bpe, op3_substring_dedup, op4_toxicity, op5_token_counts, op6_quality, op7_jaccard_join, op8_decontamination, op9_language_model, op10_shards)}
 
 SQL = {
     "op1_top_k": """
