@@ -32,16 +32,17 @@ from pyspark.sql import DataFrame, functions as F
 from rollcall.session import fresh_dir
 
 from .batches import bounded, raw
+from .bitmap import bit, bitmap
 from .components import components
 from .words import LOWER, NOT_SPACE, Hasher, inside_text, mixed, of_text, windows
 
 SHINGLE, PERCENT = 4, 85
 #: Hashed shingles are counted in so many cells, which are sent around in so many slices.
 CELLS, SLICES = 1 << 20, 64
-#: Candidates that one task compares with one set, and bits of the filter for texts that are needed.
-PER_PART, FILTER_BITS = 500, 1 << 22
-#: Subsets per set are never worth more than this.
-MOST_SUBSETS = 2_000
+#: Candidates that one task compares with one set.
+PER_PART = 500
+#: Enumerating more subsets of a set than this is dearer than any lists.
+MOST_SUBSETS = 150
 
 
 @cache
@@ -191,9 +192,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     dealt = _stored(pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part")), "pairs")
     members = dealt.select("a", "part", F.col("b").alias("row")).union(
         dealt.select("a", "part", F.col("a").alias("row")).distinct())
-    bit = lambda column: F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("int")
-    wanted = np.zeros(FILTER_BITS, bool)
-    wanted[members.select(bit("row").alias("bit")).distinct().toArrow().column("bit").to_numpy()] = True
+    wanted = bitmap(members, "row")
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
