@@ -22,9 +22,13 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from rollcall.session import fresh_dir
+
 from .batches import bounded, raw
+from .bitmap import bit, bitmap
 from .words import Hasher, Words, inside_text, mixed, of_text, windows
 
 WINDOW, MINIMISER = 13, 3
@@ -90,6 +94,7 @@ def _packed(window: int, buckets: int, hot: np.ndarray):
     """For each piece of input and bucket: the distinct strings with their smallest ids, and the words already known to repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressor = zstandard.ZstdCompressor(level=3)
         for batch in bounded(batches, "text"):
             data, offsets = raw(batch.column("text"))
             words = hasher().find(data, offsets)
@@ -137,7 +142,7 @@ def _packed(window: int, buckets: int, hot: np.ndarray):
                         row[gone], start[gone].astype("<i4"))):
                     column.append(value.tobytes())
                 columns[6].append((length[gone] + window - 1).astype("<i4").tobytes())
-            texts = [b"".join([buffer[x:y] for x, y in zip(begin[kept[a:b]].tolist(), end[kept[a:b]].tolist())])
+            texts = [compressor.compress(b"".join([buffer[x:y] for x, y in zip(begin[kept[a:b]].tolist(), end[kept[a:b]].tolist())]))
                      for a, b in zip(at, to)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(own, pa.int32()), *(pa.array(c, pa.binary()) for c in columns), pa.array(texts, pa.binary())],
@@ -211,6 +216,7 @@ def repeated(data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, window: in
 def _in_bucket(window: int):
     def run(table: pa.Table) -> pa.Table:
         columns = {n: table.column(n).to_pylist() for n in PACKED}
+        columns["texts"] = [zstandard.ZstdDecompressor().decompress(t) for t in columns["texts"]]
         joined = {n: b"".join(c) for n, c in columns.items()}
         keys, rows, gone_rows = (np.frombuffer(joined[n], "<i8") for n in ("keys", "rows", "gone_rows"))
         starts, sizes, gone_starts, gone_words = (
@@ -263,11 +269,28 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def dedupe(docs: DataFrame, *, window: int = WINDOW, per_bucket: int = PER_BUCKET, id_column: str = "doc_id",
            text_column: str = "text") -> DataFrame:
-    """doc (the row of ``docs``), n_words, n_removed and kept (the other words, joined by one space)."""
+    """doc (the row of ``docs``), n_words, n_removed and kept (the other words, joined by one space).
+
+    Only the texts that may lose words move to meet what they lose.
+    """
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     rows = given.select(F.monotonically_increasing_id().alias("row"), "doc")
     text = F.col("doc").getField(text_column)
     keyed = rows.select("row", F.coalesce(F.col("doc").getField(id_column), F.lit(NO_ID)).alias("key"), text.alias("text"))
-    found = rows.join(removals(keyed, window, per_bucket), "row", "left").select("doc", text.alias("text"), "spans")
+    path = fresh_dir(docs.sparkSession, "removals")
+    removals(keyed, window, per_bucket).write.parquet(path)
+    found = docs.sparkSession.read.parquet(path)
+    marked = bitmap(found, "row")
+
+    def having(marks: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(marked[batch.column("bit").to_numpy()] == marks)).select(["row", "doc"])
+
+        return run
+
     kind = rows.schema["doc"].dataType.simpleString()
-    return found.mapInArrow(_kept, f"doc {kind}, n_words long, n_removed long, kept string")
+    still, moved = (rows.withColumn("bit", bit("row")).mapInArrow(having(marks), f"row long, doc {kind}") for marks in (False, True))
+    still = still.withColumn("spans", F.lit(None).cast(found.schema["spans"].dataType))
+    sides = [side.select("doc", text.alias("text"), "spans") for side in (still, moved.join(found, "row", "left"))]
+    return sides[0].unionByName(sides[1]).mapInArrow(_kept, f"doc {kind}, n_words long, n_removed long, kept string")
