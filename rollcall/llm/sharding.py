@@ -36,7 +36,8 @@ class Totals:
     """Sorted ids and the total size of all groups up to each; between neighbours without groups nothing is unknown."""
 
     def __init__(self, low: int, high: int, total: int) -> None:
-        self.keys, self.sums = [low - 1, high], [0, total]
+        """The whole stretch of ids is a power of two wide, so that halving it stays exact."""
+        self.keys, self.sums = [low - 1, low - 1 + 2 ** (high - low).bit_length()], [0, total]
 
     def add(self, found: list[tuple[int, int]]) -> None:
         merged = dict(zip(self.keys, self.sums)) | dict(found)
@@ -145,25 +146,26 @@ def assign(
     totals = Totals(low, high, total)
 
     def look(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        each = max(2, steps // max(1, len(stretches) // shards + 1))
-        asked = spark.createDataFrame(
-            [tuple(map(Decimal, (a, b, max(1, -(-(b - a) // each))))) for a, b in stretches],
-            "after decimal(38,0), upto decimal(38,0), width decimal(38,0)")
-        inside = groups.join(F.broadcast(asked), (F.col("key") > F.col("after")) & (F.col("key") <= F.col("upto")))
-        at = F.ceil((F.col("key") - F.col("after")) / F.col("width"))
-        end = F.least(F.col("upto"), F.col("after") + at * F.col("width")).cast("long")
-        bins = inside.groupBy("after", end.alias("end")).agg(F.sum("bytes").alias("bytes")).orderBy("end").collect()
-        known, found = dict(zip(totals.keys, totals.sums)), {}
-        for a, b in stretches:
-            running, last = known[a], a
-            for r in (r for r in bins if r.after == a):
-                first = max(last, r.end - max(1, -(-(b - a) // each)))
-                if first > last:
-                    found[first] = running
-                running += r.bytes
-                found[r.end] = running
-                last = r.end
-        return list(found.items())
+        """Totals inside stretches, each a cell of its width: every cell is cut into as many finer ones."""
+        finer = max(2, 1 << (steps * shards // (len(stretches) + shards)).bit_length())
+        found = []
+        for width in {b - a for a, b in stretches}:
+            small = max(1, width // finer)
+            asked = spark.createDataFrame([(Decimal((a - low + 1) // width),) for a, b in stretches if b - a == width],
+                                          "cell decimal(38,0)")
+            cell = lambda size: F.floor((F.col("key").cast("decimal(38,0)") - F.lit(low)) / F.lit(Decimal(size)))
+            inside = groups.withColumn("cell", cell(width).cast("decimal(38,0)")).join(F.broadcast(asked), "cell")
+            bins = inside.groupBy(cell(small).cast("decimal(38,0)").alias("cell")).agg(F.sum("bytes").alias("bytes"))
+            sizes: dict[int, list[tuple[int, int]]] = {}
+            for place, size in sorted(bins.collect()):
+                at = low - 1 + int(place) * small
+                sizes.setdefault((at - low + 1) // width, []).append((at, size))
+            for a, b in stretches:
+                running = totals.sums[bisect_left(totals.keys, a)]
+                for at, size in sizes.get((a - low + 1) // width, ()) if b - a == width else ():
+                    found += [(at, running), (at + small, running + size)]
+                    running += size
+        return found
 
     capacity = smallest_capacity(totals, shards, max(largest, -(-total // shards)), look)
     ends = cuts(totals, capacity, shards, look)
