@@ -6,8 +6,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
-PIECE_BYTES = 1 << 22
+PIECE_BYTES = 1 << 20
+#: What Spark hands to Python at once; its default is 64 MB, of which there are several copies in a worker.
+BATCH_BYTES = "16m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep batches of texts small, for this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def bounded(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:

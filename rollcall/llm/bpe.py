@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from rollcall.session import fresh_dir
 
-from .batches import bounded
+from .batches import bounded, small_batches
 
 CHUNK_CHARS = 32_768
 OVERLAP = 256
@@ -124,6 +124,7 @@ def encode(
 def _encoded(docs: DataFrame, ranks_path: str, pattern: str, id_column: str, text_column: str, chunk_chars: int,
              overlap: int) -> list[DataFrame]:
     """The encoded short texts, and the encoded pieces of the long ones."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"),
                        F.col(text_column).alias("text"))
     kind = _kind(rows, "id")

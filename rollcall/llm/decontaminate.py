@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollcall.session import fresh_dir
 
-from .batches import bounded, raw
+from .batches import bounded, raw, small_batches
 from .words import LETTERS_DIGITS, LOWER, Hasher, of_text
 
 WINDOW = 10
@@ -187,6 +187,7 @@ def matches(
 
     ``row`` is the document's monotonically_increasing_id().
     """
+    small_batches(docs.sparkSession)
     path = fresh_dir(docs.sparkSession, "benchmark-words")
     item_words(items, item_column, item_text).write.parquet(path)
     wanted = docs.sparkSession.read.parquet(path)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollcall.session import fresh_dir
 
-from .batches import bounded, raw
+from .batches import bounded, raw, small_batches
 from .bitmap import bit, bitmap
 from .components import components
 from .words import LOWER, NOT_SPACE, Hasher, inside_text, mixed, of_text, windows
@@ -199,14 +199,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
             yield batch.filter(pa.array(wanted[batch.column("bit").to_numpy()])).select(["row", "text"])
 
     def compare(table: pa.Table) -> pa.Table:
+        name, found = table.column("a")[0].as_py(), [np.empty(0, np.int64)]
         rows = table.column("row").to_numpy()
-        text, value = shingles(table.column("text").combine_chunks(), size)
-        sizes = np.bincount(text, minlength=len(rows))
-        own = np.flatnonzero(rows == table.column("a")[0].as_py())[0]
-        in_own = np.isin(value, value[text == own])
-        common = np.bincount(text[in_own], minlength=len(rows))
-        linked = (common * (100 + percent) >= percent * (sizes + sizes[own])) & (np.arange(len(rows)) != own)
-        return pa.table({"a": np.full(linked.sum(), rows[own]), "b": rows[linked]})
+        _, own = shingles(table.column("text").take([int(np.flatnonzero(rows == name)[0])]).combine_chunks(), size)
+        for batch in bounded(iter(table.to_batches()), "text"):
+            text, value = shingles(batch.column("text"), size)
+            sizes = np.bincount(text, minlength=batch.num_rows)
+            common = np.bincount(text[np.isin(value, own)], minlength=batch.num_rows)
+            rows = batch.column("row").to_numpy()
+            found.append(rows[(common * (100 + percent) >= percent * (sizes + len(own))) & (rows != name)])
+        linked = np.concatenate(found)
+        return pa.table({"a": np.full(len(linked), name), "b": linked})
 
     some = texts.withColumn("bit", bit("row")).mapInArrow(needed, "row long, text string")
     return members.join(some, "row").groupBy("a", "part").applyInArrow(compare, "a long, b long")
@@ -217,6 +220,7 @@ def links(rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> tuple
 
     Sets are called by their smallest row; classes by the smallest set that links reach.
     """
+    small_batches(rows.sparkSession)
     described = _stored(rows.mapInArrow(
         _described(size), "row long, id long, n long, name_a long, name_b long, slice int, cells binary"), "sets")
     counted = described.where("cells IS NOT NULL").select("slice", "cells").groupBy("slice").applyInArrow(

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.session import fresh_dir
 
-from .batches import bounded, raw
+from .batches import bounded, raw, small_batches
 from .words import LOWER, NOT_SPACE, Hasher, mixed, of_text
 
 SEGMENT_BYTES = 1 << 22
@@ -334,6 +334,7 @@ def score(docs: DataFrame, train: Column, *, id_column: str = "doc_id", text_col
     """
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), train.alias("train"))
     kind = rows.schema["id"].dataType.simpleString()
+    small_batches(docs.sparkSession)
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(1, -(-size // bucket_bytes))
     sent = "bucket int, segment long, data binary"

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .batches import bounded, raw
+from .batches import bounded, raw, small_batches
 from .labelled import SAMPLE_ROWS, sample
 from .words import NOT_SPACE, Hasher, of_text
 
@@ -139,6 +139,7 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, train: Column, *, label: str = "quality", id_column: str = "doc_id",
         text_column: str = "text", rows: int = SAMPLE_ROWS) -> Trees:
     """Trees from at most ``rows`` labelled documents for which ``train`` (a condition on ``labels``) holds."""
+    small_batches(docs.sparkSession)
     chosen = sample(docs, labels, label, train, id_column=id_column, text_column=text_column, rows=rows)
     table = chosen.select("text", "label").mapInArrow(_measured, "label int, statistics array<double>").toArrow()
     y = table.column("label").to_numpy() > 0

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollcall.session import fresh_dir
 
-from .batches import bounded, raw
+from .batches import bounded, raw, small_batches
 from .bitmap import bit, bitmap
 from .words import Hasher, Words, inside_text, mixed, of_text, windows
 
@@ -35,6 +35,8 @@ WINDOW, MINIMISER = 13, 3
 PER_BUCKET = 250_000
 #: Windows of a super-k-mer at most, so that a document of one repeated word is no single string.
 LONGEST = 2_048
+#: Text of the input that is packed together.
+PACKED_BYTES = 1 << 22
 NO_ID = 2 ** 63 - 1
 
 
@@ -95,7 +97,7 @@ def _packed(window: int, buckets: int, hot: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressor = zstandard.ZstdCompressor(level=3)
-        for batch in bounded(batches, "text"):
+        for batch in bounded(batches, "text", PACKED_BYTES):
             data, offsets = raw(batch.column("text"))
             words = hasher().find(data, offsets)
             first, length, minimiser, _ = super_kmers(words, window)
@@ -273,6 +275,7 @@ def dedupe(docs: DataFrame, *, window: int = WINDOW, per_bucket: int = PER_BUCKE
 
     Only the texts that may lose words move to meet what they lose.
     """
+    small_batches(docs.sparkSession)
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     rows = given.select(F.monotonically_increasing_id().alias("row"), "doc")
     text = F.col("doc").getField(text_column)

@@ -26,7 +26,7 @@ from tokenizers import Tokenizer
 
 from rollcall.session import fresh_dir
 
-from .batches import bounded, raw
+from .batches import bounded, raw, small_batches
 from .bpe import _cut
 from .words import LOWER, Hasher, of_text
 
@@ -153,6 +153,7 @@ def count(
     chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP,
 ) -> DataFrame:
     """id, n_bytes (UTF-8), n_tokens of each row."""
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"),
         F.coalesce(F.octet_length(text_column), F.lit(0)).cast("long").alias("n_bytes"), F.col(text_column).alias("text"))

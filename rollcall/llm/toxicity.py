@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.session import fresh_dir
 
-from .batches import bounded, raw
+from .batches import bounded, raw, small_batches
 from .labelled import SAMPLE_ROWS, sample
 from .words import LETTERS_DIGITS, LOWER, Hasher, mixed, of_text
 
@@ -105,6 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, *, label: str = "toxi
         text_column: str = "text", rows: int = SAMPLE_ROWS) -> Model:
     """A model of at most ``rows`` labelled documents for which ``train`` (a condition on ``labels``) holds."""
     spark = docs.sparkSession
+    small_batches(spark)
     path = fresh_dir(spark, "toxicity-sample")
     sample(docs, labels, label, train, id_column=id_column, text_column=text_column, rows=rows).write.parquet(path)
     chosen = spark.read.parquet(path)
