@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from ..schemas import MEMBER_KEY
 from .projection import MEMBER_COLUMNS, PAYMENT_COLUMNS, REGTYPE_COLUMNS, without_member_amount
-from .skew import PART, HotKeys, is_broadcast, spread
+from .skew import PART, HotKeys, row_hash, spread
 
 WINDOW = "10 minutes"
 SMALL_WINDOW = "10 seconds"
@@ -22,7 +22,8 @@ def in_window(df: DataFrame, ts: str, size: str = WINDOW, us: str = "us") -> Dat
 
     The time itself stays as a plain number ``us``: a stream may carry only one
     event-time column into an outer join, and that is the window. Rows without a
-    time belong to no window and are left out; ``without_event_time`` finds them.
+    time belong to no window and are left out; ``without_event_time`` finds them,
+    and the joins below keep those of a left batch.
     """
     return (
         df.withColumn(us, F.unix_micros(F.col(ts)))
@@ -35,6 +36,18 @@ def without_event_time(df: DataFrame, ts: str) -> DataFrame:
     return df.where(F.col(ts).isNull())
 
 
+def with_untimed(joined: DataFrame, left: DataFrame, ts: str) -> DataFrame:
+    """A left join in windows with the left rows that have no time, as rows without a match.
+
+    For batches. In a stream they would be kept back for ever: see ``jobs.start_untimed_stream``.
+    """
+    if joined.isStreaming:
+        return joined
+    untimed = without_event_time(left, ts)
+    kept = untimed.select(*[c for c in untimed.columns if c in joined.columns])
+    return joined.unionByName(kept, allowMissingColumns=True)
+
+
 def left_join_chain(
     left: DataFrame,
     rights: Sequence[tuple[DataFrame, Sequence[str]]],
@@ -45,37 +58,42 @@ def left_join_chain(
     """left ⟕ rights[0] ⟕ rights[1] ..., all on the same keys, all pairs.
 
     Every input is shuffled at most once: the joins share the partitioning. In a
-    batch hot keys are spread first, unless Spark broadcasts the right sides and
-    shuffles nothing; a stream is joined as it is.
+    batch hot keys are spread first; a stream is joined as it is. Left rows without
+    a whole key match nothing: a hash of the row joins the key, so that they do not
+    meet in one task.
     """
-    rights = [(side.select(*keys, *columns), list(columns)) for side, columns in rights]
     streaming = left.isStreaming or any(side.isStreaming for side, _ in rights)
-    as_they_are = hot_keys is None or streaming or (
-        not hot_keys.even_if_small and all(is_broadcast(side) for side, _ in rights))
-    if as_they_are:
-        joined = left
-        for side, _ in rights:
-            joined = joined.join(side, list(keys), "left")
-        return joined.select(*left.columns, *[c for _, columns in rights for c in columns])
-    dealt = spread([left, *[side for side, _ in rights]], keys, hot_keys, counted)
-    joined = dealt[0]
-    for number, side in enumerate(dealt[1:], start=1):
+    dealt = None
+    whole_key = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    sides = [left, *[side.where(whole_key).select(*keys, *columns) for side, columns in rights]]
+    if hot_keys is not None and not streaming:
+        dealt = spread(sides, keys, hot_keys, counted)
+    on = [*keys, "_alone", *([PART] if dealt else [])]
+    joined = (dealt or sides)[0].selectExpr("*", f"IF({whole_key}, 0L, {row_hash(left.columns)}) AS _alone")
+    for number, side in enumerate((dealt or sides)[1:], start=1):
         hit = f"_hit{number}"
-        joined = joined.join(side.selectExpr("*", f"true AS {hit}"), [*keys, PART], "left")
-        joined = joined.where(f"NOT _split{number} OR {hit}")
+        joined = joined.join(side.selectExpr("*", "0L AS _alone", f"true AS {hit}"), on, "left")
+        if dealt:
+            joined = joined.where(f"NOT _split{number} OR {hit}")
     return joined.select(*left.columns, *[c for _, columns in rights for c in columns])
 
 
+def _with_tie(side: DataFrame, columns: Iterable[str], tie: str) -> DataFrame:
+    """A number of the record, to put records of one time in an order that is the same everywhere."""
+    return side.withColumn(tie, F.expr(row_hash([c for c in (*MEMBER_KEY, *columns) if c in side.columns])))
+
+
 def member_side(member: DataFrame, ts: str, size: str = WINDOW) -> DataFrame:
-    return in_window(without_member_amount(member), ts, size, "member_us")
+    return _with_tie(in_window(without_member_amount(member), ts, size, "member_us"), MEMBER_COLUMNS, "member_tie")
 
 
 def regtype_side(regtype: DataFrame, ts: str, size: str = WINDOW) -> DataFrame:
-    return in_window(regtype.withColumnRenamed("createtime", "regtype_createtime"), ts, size, "regtype_us")
+    side = in_window(regtype.withColumnRenamed("createtime", "regtype_createtime"), ts, size, "regtype_us")
+    return _with_tie(side, REGTYPE_COLUMNS, "regtype_tie")
 
 
 def payment_side(payment: DataFrame, ts: str, size: str = WINDOW) -> DataFrame:
-    return in_window(payment, ts, size, "payment_us")
+    return _with_tie(in_window(payment, ts, size, "payment_us"), PAYMENT_COLUMNS, "payment_tie")
 
 
 def join_regtype(
@@ -85,7 +103,8 @@ def join_regtype(
     """Member rows with the registration type of the same member, site and window."""
     left = member_side(member, ts, size)
     right = regtype_side(regtype, ts, size)
-    return left_join_chain(left, [(right, (*REGTYPE_COLUMNS, "regtype_us"))], hot_keys=hot_keys)
+    joined = left_join_chain(left, [(right, (*REGTYPE_COLUMNS, "regtype_us", "regtype_tie"))], hot_keys=hot_keys)
+    return with_untimed(joined, member, ts)
 
 
 def join_payment(
@@ -94,7 +113,7 @@ def join_payment(
 ) -> DataFrame:
     """Rows that are in a window already, with the payments of the same member, site and window."""
     right = payment_side(payment, ts, size)
-    return left_join_chain(joined, [(right, (*PAYMENT_COLUMNS, "payment_us"))], hot_keys=hot_keys)
+    return left_join_chain(joined, [(right, (*PAYMENT_COLUMNS, "payment_us", "payment_tie"))], hot_keys=hot_keys)
 
 
 def join_member_facts(
@@ -106,16 +125,17 @@ def join_member_facts(
 
     ``counted`` gives member, registration and payment rows as they were before any lookups.
     """
-    left = member_side(member, ts, size).select(*MEMBER_COLUMNS, *member_extra, "member_us", "win")
-    return left_join_chain(
+    left = member_side(member, ts, size).select(*MEMBER_COLUMNS, *member_extra, "member_us", "member_tie", "win")
+    joined = left_join_chain(
         left,
         [
-            (regtype_side(regtype, ts, size), (*REGTYPE_COLUMNS, "regtype_us")),
-            (payment_side(payment, ts, size), (*PAYMENT_COLUMNS, *payment_extra, "payment_us")),
+            (regtype_side(regtype, ts, size), (*REGTYPE_COLUMNS, "regtype_us", "regtype_tie")),
+            (payment_side(payment, ts, size), (*PAYMENT_COLUMNS, *payment_extra, "payment_us", "payment_tie")),
         ],
         hot_keys=hot_keys,
         counted=[in_window(rows, ts, size) for rows in counted] if counted else None,
     )
+    return with_untimed(joined, member, ts)
 
 
 def cogroup(
@@ -125,7 +145,7 @@ def cogroup(
     function,
     schema: StructType | str,
     hot_keys: HotKeys | None = HotKeys(),
-    buckets: int | None = None,
+    rows_per_call: int | None = None,
 ) -> DataFrame:
     """Apply ``function(left_rows, right_rows)`` to the rows of each key of the left side.
 
@@ -135,9 +155,9 @@ def cogroup(
     With ``hot_keys=None`` every call gets a whole group, of keys of either side,
     and that group has to fit into one task.
 
-    A call per key is slow where keys are many and small. With ``buckets`` a call
-    gets the rows of many keys and the function has to keep them apart, as a merge
-    on the keys does. Choose so many that rows / buckets fits into one call.
+    A call per key is slow where keys are many and small. With ``rows_per_call`` a call
+    gets the rows of many keys, about so many of both sides, and the function has to
+    keep them apart, as a merge on the keys does. For that the rows are counted.
     """
     left_columns, right_columns = left.columns, right.columns
     keys = list(keys)
@@ -148,12 +168,14 @@ def cogroup(
 
         return _cogrouped(left, right, keys).applyInPandas(whole, schema)
 
-    left_dealt, right_dealt = spread([left, right], keys, hot_keys)
+    dealt = spread([left, right], keys, hot_keys)
+    left_dealt, right_dealt = dealt or [side.withColumns({PART: F.lit(0), "_split1": F.lit(False)}) for side in (left, right)]
     together = [*keys, PART]
-    if buckets is None:
+    if rows_per_call is None:
         grouped = together
     else:
         grouped = ["_bucket"]
+        buckets = max(1, -(-(left_dealt.count() + right_dealt.count()) // rows_per_call))
         bucket = f"pmod(xxhash64({', '.join(together)}), {int(buckets)}) AS _bucket"
         left_dealt, right_dealt = (side.selectExpr("*", bucket) for side in (left_dealt, right_dealt))
 
@@ -177,7 +199,7 @@ def cogroup(
         ]
         return pd.concat(results) if results else one_part(left_rows, right_rows)
 
-    apply = one_part if buckets is None else by_part
+    apply = one_part if rows_per_call is None else by_part
     return _cogrouped(left_dealt, right_dealt, grouped).applyInPandas(
         lambda left_rows, right_rows: apply(left_rows, right_rows), schema)
 

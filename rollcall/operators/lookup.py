@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from .skew import row_hash
 from ..sources.dimensions import ad_dimension, vip_dimension, website_dimension
 
 
@@ -16,11 +18,15 @@ def lookup(rows: DataFrame, dimension: DataFrame, keys: Sequence[str], hit: str)
 
     ``dimension`` holds one row per key. No broadcast is forced: below
     ``spark.sql.autoBroadcastJoinThreshold`` Spark ships the dimension to the
-    rows; a larger one is joined by sort-merge, where AQE splits a frequent key
-    (or the rows with no key) on the row side.
+    rows; a larger one is joined by sort-merge, where AQE splits a frequent key on
+    the row side. Rows without a whole key match nothing: a hash of the row joins the
+    key, so that they do not meet in one task where AQE is off, as in a stream.
     """
-    marked = dimension.withColumn(hit, F.lit(True))
-    return rows.join(marked, list(keys), "left").withColumn(hit, F.coalesce(F.col(hit), F.lit(False)))
+    whole_key = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    dealt = rows.selectExpr("*", f"IF({whole_key}, 0L, {row_hash(rows.columns)}) AS _alone")
+    marked = dimension.withColumns({hit: F.lit(True), "_alone": F.lit(0).cast("long")})
+    found = dealt.join(marked, [*keys, "_alone"], "left").withColumn(hit, F.coalesce(F.col(hit), F.lit(False)))
+    return found.select(*rows.columns, *[c for c in marked.columns if c not in (*keys, "_alone")])
 
 
 def lookup_ad(rows: DataFrame, ads: DataFrame) -> DataFrame:
@@ -62,35 +68,39 @@ def lookup_by_client(
     keys: Sequence[str],
     added: StructType,
     error: str = "lookup_error",
+    seconds: float = 600,
 ) -> DataFrame:
     """Lookups in a store that can only be asked by key.
 
-    One client per task; per Arrow batch each distinct key is asked once, in one
-    request. A request that fails marks its rows in ``error`` and the task goes on.
+    Only the distinct keys go to Python, each is asked once, in requests of one
+    Arrow batch with one client per task, and the answers are joined back. So no other
+    column passes through pandas, and rows with a NULL in the key ask nothing. A request
+    that fails or takes longer than ``seconds`` marks its rows in ``error``.
     """
     keys = list(keys)
     names = added.fieldNames()
-    schema = StructType([*rows.schema.fields, *added.fields]).add(error, "string")
+    schema = StructType([*[rows.schema[k] for k in keys], *added.fields]).add(error, "string")
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = open_client()
+        client, pool = open_client(), ThreadPoolExecutor(1)
         try:
             for batch in batches:
-                asked = [tuple(row) for row in batch[keys].itertuples(index=False)]
-                wanted = list({key for key in asked if not any(pd.isna(part) for part in key)})
+                wanted = list(batch[keys].astype(object).itertuples(index=False, name=None))
                 try:
-                    found, problem = fetch(client, wanted), None
+                    found, problem = pool.submit(fetch, client, wanted).result(seconds), None
                 except Exception as failure:  # noqa: BLE001 - becomes a column of the result
                     found, problem = {}, f"{type(failure).__name__}: {failure}"
-                out = batch.copy()
-                for name in names:
-                    out[name] = pd.Series([found.get(key, {}).get(name) for key in asked],
-                                          index=batch.index, dtype=object)
-                out[error] = pd.Series([problem] * len(batch), index=batch.index, dtype=object)
-                yield out
+                    pool.shutdown(wait=False, cancel_futures=True)
+                    pool = ThreadPoolExecutor(1)
+                answers = [found.get(key, {}) for key in wanted]
+                columns = {name: pd.Series([a.get(name) for a in answers], index=batch.index, dtype=object) for name in names}
+                yield batch.assign(**columns, **{error: pd.Series([problem] * len(batch), index=batch.index, dtype=object)})
         finally:
+            pool.shutdown(wait=False)
             close = getattr(client, "close", None)
             if close:
                 close()
 
-    return rows.mapInPandas(ask, schema)
+    whole_key = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    answers = rows.select(*keys).where(whole_key).distinct().mapInPandas(ask, schema)
+    return rows.join(answers, keys, "left").select(*rows.columns, *names, error)

@@ -38,7 +38,7 @@ def _sliced(df: DataFrame, keys: Sequence[str], ts: str, size: str) -> DataFrame
 def running_count(
     df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], name: str = "n", slice_size: str = "10 minutes",
 ) -> DataFrame:
-    """How many rows of the same key came up to and including this one."""
+    """How many rows of the same key came up to and including this one; rows without a time come first."""
     sliced = _sliced(df, keys, ts, slice_size)
     earlier = Window.partitionBy(_KEY).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -56,8 +56,9 @@ def previous_time(
     df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], ttl: str = "1 hour",
     name: str = "previous_us", slice_size: str = "10 minutes",
 ) -> DataFrame:
-    """Time of the key's previous row in microseconds, NULL when it is more than ``ttl`` ago."""
-    sliced = _sliced(df, keys, ts, slice_size)
+    """Time of the key's previous row in microseconds, NULL when it is more than ``ttl`` ago and for rows without a time."""
+    timed, untimed = df.where(F.col(ts).isNotNull()), df.where(F.col(ts).isNull())
+    sliced = _sliced(timed, keys, ts, slice_size)
     slices = Window.partitionBy(_KEY).orderBy(_SLICE)
     earlier = (
         sliced.groupBy(_KEY, _SLICE).agg(F.max("_us").alias("_last"))
@@ -66,10 +67,11 @@ def previous_time(
     inside = Window.partitionBy(_KEY, _SLICE).orderBy("_us", *tie)
     lagged = sliced.withColumn("_inside", F.lag("_us").over(inside))
     previous = F.coalesce(F.col("_inside"), F.col("_before"))
-    return lagged.join(earlier, [_KEY, _SLICE], "left").select(
+    found = lagged.join(earlier, [_KEY, _SLICE], "left").select(
         *df.columns,
         F.when(F.col("_us") - previous <= micros(ttl), previous).alias(name),
     )
+    return found.unionByName(untimed, allowMissingColumns=True)
 
 
 def sessions(

@@ -15,70 +15,72 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import fresh_dir
+
 PART = "_part"
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """When a key counts as hot.
-
-    ``rows_per_part`` is what one task may hold of one key. ``max_keys`` bounds
-    the broadcast list: the most frequent keys are taken, and a key past the
-    bound has less than 1/max_keys of the rows, which is a task's fair share.
-    Keys left out are joined as they are, so the bound changes no result.
-
-    Right sides that Spark broadcasts need no spreading, since the left rows then
-    stay where they are; ``even_if_small`` spreads all the same.
-    """
+    """A key is hot with more than ``rows_per_part`` rows on a side: so many one task may hold of it."""
 
     rows_per_part: int = 500_000
-    max_keys: int = 10_000
-    even_if_small: bool = False
-
-
-def is_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate lets it broadcast ``df`` in a join."""
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(estimate) <= limit
 
 
 def hot_key_parts(sides: Sequence[DataFrame], keys: Sequence[str], policy: HotKeys) -> DataFrame:
     """keys, _n0, _n1, ...: in how many parts each side of a hot key is dealt out.
 
-    Only the key columns are read, and they are counted before the shuffle. The
-    counts are exact and the order is total, so that a recomputed task sees the
-    same list.
+    Only the key columns are read, and they are counted before the shuffle. A key can
+    only be hot if what it begins with is, so that is counted first: whole keys, most of
+    which occur once, are counted for the few that are left.
     """
     numbers = range(len(sides))
     counted = reduce(
         DataFrame.unionByName,
         [side.selectExpr(*keys, *[f"{int(i == j)}L AS _c{j}" for j in numbers]) for i, side in enumerate(sides)],
     )
-    sums = counted.groupBy(*keys).agg(*[F.expr(f"sum(_c{j}) AS _c{j}") for j in numbers])
     largest = F.expr(f"greatest({', '.join(f'_c{j}' for j in numbers)})")
-    hot = (
-        sums.where(largest > policy.rows_per_part)
-        .orderBy(largest.desc(), *keys).limit(policy.max_keys)
-    )
-    return hot.selectExpr(
+
+    def hot(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+        sums = rows.groupBy(*names).agg(*[F.expr(f"sum(_c{j}) AS _c{j}") for j in numbers])
+        return sums.where(largest > policy.rows_per_part)
+
+    begin = list(keys)[:-1]
+    if begin:
+        counted = counted.join(_stored(hot(counted, begin).select(*begin)), begin, "left_semi")
+    return hot(counted, keys).selectExpr(
         *keys, *[f"CAST(greatest(1, ceil(_c{j} / {policy.rows_per_part})) AS int) AS _n{j}" for j in numbers])
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """Written and read again, so that Spark knows how large it is and chooses the join by that."""
+    path = fresh_dir(df.sparkSession, "hot-keys")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _quoted(names: Sequence[str]) -> list[str]:
     return [f"`{name}`" for name in names]
 
 
-def _row_hash(columns: Sequence[str]) -> str:
+def row_hash(columns: Sequence[str]) -> str:
+    return f"xxhash64({', '.join(_quoted(columns))})"
+
+
+def _own_part(columns: Sequence[str], parts: str) -> str:
     # The input partition goes into the hash so that equal rows spread as well.
     # It does not depend on the order of rows, so a repeated task deals alike.
-    return f"xxhash64(spark_partition_id(), {', '.join(_quoted(columns))})"
+    return f"pmod(xxhash64(spark_partition_id(), {', '.join(_quoted(columns))}), {parts})"
 
 
 def spread(
     sides: Sequence[DataFrame], keys: Sequence[str], policy: HotKeys, counted: Sequence[DataFrame] | None = None,
-) -> list[DataFrame]:
-    """The sides with a ``_part`` column to be joined on together with the keys.
+) -> list[DataFrame] | None:
+    """The sides with a ``_part`` column to be joined on together with the keys; None if no key is hot.
+
+    The list of hot keys holds at most (rows of all sides) / ``rows_per_part`` keys and
+    is joined by whatever Spark chooses for its size. Where that is a shuffle, AQE can
+    split the hot key's rows, which stand on the other side of that join.
 
     Side 0 is the left side of left joins. It also gets ``_split1``, ``_split2``, ...:
     whether the key is dealt out on that side. A copy of such a left row that finds
@@ -88,18 +90,14 @@ def spread(
     the sides already hold the work of one-to-one lookups.
     """
     numbers = range(len(sides))
-    hot = F.broadcast(hot_key_parts(counted or sides, keys, policy))
+    hot = _stored(hot_key_parts(counted or sides, keys, policy))
+    if hot.isEmpty():
+        return None
     sizes = [f"coalesce(_n{j}, 1) AS _n{j}" for j in numbers]
-    whole_key = " AND ".join(f"{k} IS NOT NULL" for k in keys)
     result = []
     for i, side in enumerate(sides):
         columns = _quoted(side.columns)
-        own = f"pmod({_row_hash(side.columns)}, coalesce(_n{i}, 1))"
-        if i == 0:
-            # Rows with a NULL in the key match nothing; keep them out of one single task.
-            own = f"IF({whole_key}, {own}, pmod({_row_hash(side.columns)}, 1024))"
-        else:
-            side = side.where(whole_key)
+        own = _own_part(side.columns, f"coalesce(_n{i}, 1)")
         dealt = side.join(hot, list(keys), "left").selectExpr(*columns, *sizes, f"CAST({own} AS int) AS _d{i}")
         for j in numbers:
             if j != i:

@@ -16,9 +16,9 @@ def words_on_space(lines: DataFrame, line: str = "line", word: str = "word", kee
 
     A line of blanks only has no words; an empty line has one, the empty one.
     """
-    pieces = F.when(F.col(line).rlike("^ +$"), F.array().cast("array<string>")).otherwise(
-        F.split(F.rtrim(F.col(line)), " ")
-    )
+    trimmed = F.rtrim(F.col(line))
+    blanks_only = (F.col(line) != "") & (trimmed == "")
+    pieces = F.when(blanks_only, F.array().cast("array<string>")).otherwise(F.split(trimmed, " "))
     return lines.select(*keep, F.explode(pieces).alias(word))
 
 

@@ -14,13 +14,18 @@ from ..operators.joins import (
 from ..operators.latest import latest_values
 from ..operators.lookup import lookup_ad, lookup_all, lookup_vip, lookup_website
 from ..operators.projection import MEMBER_COLUMNS, PAYMENT_COLUMNS, REGTYPE_COLUMNS, wide_row
-from ..operators.skew import HotKeys, is_broadcast
+from ..operators.skew import HotKeys
 from ..schemas import MEMBER_KEY, WIDE_MEMBER
 from ..sinks.upsert_table import CellTable
 
 HITS = ("ad_hit", "site_hit", "vip_hit")
-EVENT_TIMES = ("member_us", "regtype_us", "payment_us")
-_WIDE_TABLE = StructType([StructField("row_key", StringType()), *WIDE_MEMBER.fields])
+#: Time of a record and its number, which decides between records of one time.
+MEMBER_ORDER, REGTYPE_ORDER, PAYMENT_ORDER = (("member_us", "member_tie"), ("regtype_us", "regtype_tie"), ("payment_us", "payment_tie"))
+ORDERS = (*MEMBER_ORDER, *REGTYPE_ORDER, *PAYMENT_ORDER)
+#: Columns of the website that are stored beside the wide row.
+STORED_EXTRA = ("delete", "site_creator")
+_WIDE_TABLE = StructType([
+    StructField("row_key", StringType()), *WIDE_MEMBER.fields, *[StructField(name, StringType()) for name in STORED_EXTRA]])
 
 
 def _found_columns(looked_up: DataFrame, rows: DataFrame) -> list[str]:
@@ -42,9 +47,6 @@ def wide_rows(
     A lookup needs columns of one side only, so it is done on that side, before
     the joins multiply its rows.
     """
-    # Spark multiplies sizes over a join, so ask before the lookups whether there is need to spread.
-    if hot_keys and not hot_keys.even_if_small and is_broadcast(regtype) and is_broadcast(payment):
-        hot_keys = None
     members = lookup_ad(member, ads)
     payments = lookup_vip(lookup_website(payment, websites), vips)
     joined = join_member_facts(
@@ -60,14 +62,13 @@ def enrich(joined: DataFrame, ads: DataFrame, websites: DataFrame, vips: DataFra
     return lookup_all(joined, ads, websites, vips)
 
 
-def collapse_member(member: DataFrame, tie: Sequence[str] = ("register",)) -> DataFrame:
+def collapse_member(member: DataFrame) -> DataFrame:
     """One row per member, site and window: the last value of each column."""
-    return latest_values(member, (*MEMBER_KEY, "win"), ("member_us", *tie))
+    return latest_values(member, (*MEMBER_KEY, "win"), MEMBER_ORDER)
 
 
-def collapse_right(side: DataFrame, columns: Sequence[str], us: str, tie: Sequence[str] = ()) -> DataFrame:
-    rows = side.select(*MEMBER_KEY, "win", *columns, us, *[t for t in tie if t not in columns])
-    return latest_values(rows, (*MEMBER_KEY, "win"), (us, *tie))
+def collapse_right(side: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+    return latest_values(side.select(*MEMBER_KEY, "win", *columns, *order), (*MEMBER_KEY, "win"), order)
 
 
 def current_members(
@@ -79,23 +80,24 @@ def current_members(
     In a window the last value of a column is that of the last row of its own
     side. So each side is first reduced to one row per member, site and window,
     before its shuffle; then the joins are one to one and need no further one.
-    A member with a third of all rows costs one row per task and window.
+    A member with a third of all rows costs one row per task and window. Records
+    without a time are in no window and leave no value, as in the upserts.
     """
     members = lookup_ad(member, ads)
     payments = lookup_vip(lookup_website(payment, websites), vips)
     ad_columns = _found_columns(members, member)
     pay_columns = _found_columns(payments, payment)
-    left = member_side(members, ts, size).select(*MEMBER_COLUMNS, *ad_columns, "member_us", "win")
+    left = member_side(members, ts, size).select(*MEMBER_COLUMNS, *ad_columns, *MEMBER_ORDER, "win")
     right_reg = regtype_side(regtype, ts, size)
     right_pay = payment_side(payments, ts, size)
     keys = [*MEMBER_KEY, "win"]
     joined = (
         collapse_member(left)
-        .join(collapse_right(right_reg, REGTYPE_COLUMNS, "regtype_us"), keys, "left")
-        .join(collapse_right(right_pay, (*PAYMENT_COLUMNS, *pay_columns), "payment_us"), keys, "left")
+        .join(collapse_right(right_reg, REGTYPE_COLUMNS, REGTYPE_ORDER), keys, "left")
+        .join(collapse_right(right_pay, (*PAYMENT_COLUMNS, *pay_columns), PAYMENT_ORDER), keys, "left")
     )
-    order = joined.select(*joined.columns, F.unix_micros("win.start").alias("_win_us")).drop("win", *EVENT_TIMES)
-    return with_row_key(wide_row(latest_values(order, MEMBER_KEY, ("_win_us",))))
+    order = joined.select(*joined.columns, F.unix_micros("win.start").alias("_win_us")).drop("win", *ORDERS)
+    return with_row_key(wide_row(latest_values(order, MEMBER_KEY, ("_win_us",)), keep=_quoted(STORED_EXTRA)))
 
 
 def collapsed_streams(
@@ -111,8 +113,8 @@ def collapsed_streams(
     keys = [*MEMBER_KEY, "win"]
     joined = (
         collapse_member(member_side(member, ts, size))
-        .join(collapse_right(regtype_side(regtype, ts, size), REGTYPE_COLUMNS, "regtype_us"), keys, "left")
-        .join(collapse_right(payment_side(payment, ts, size), PAYMENT_COLUMNS, "payment_us"), keys, "left")
+        .join(collapse_right(regtype_side(regtype, ts, size), REGTYPE_COLUMNS, REGTYPE_ORDER), keys, "left")
+        .join(collapse_right(payment_side(payment, ts, size), PAYMENT_COLUMNS, PAYMENT_ORDER), keys, "left")
     )
     return joined.drop("win")
 
@@ -126,14 +128,19 @@ def wide_table(spark: SparkSession, path: str) -> CellTable:
     return CellTable(spark, path, _WIDE_TABLE, ("row_key", *MEMBER_KEY))
 
 
-def _value_times() -> dict[str, str]:
+def _value_orders() -> dict[str, tuple[str, str]]:
     """Each value of the wide row is as old as the record it comes from."""
-    times = {name: "payment_us" for name in WIDE_MEMBER.fieldNames()}
-    times |= {name: "member_us" for name in (*MEMBER_COLUMNS, "adname")}
-    times |= {name: "regtype_us" for name in REGTYPE_COLUMNS}
-    return times
+    orders = {name: PAYMENT_ORDER for name in (*WIDE_MEMBER.fieldNames(), *STORED_EXTRA)}
+    orders |= {name: MEMBER_ORDER for name in (*MEMBER_COLUMNS, "adname")}
+    orders |= {name: REGTYPE_ORDER for name in REGTYPE_COLUMNS}
+    return orders
 
 
 def upsert_members(enriched: DataFrame, batch_id: int, table: CellTable) -> None:
     """Write the enriched pairs of one batch into the wide table."""
-    table.upsert(with_row_key(wide_row(enriched, keep=EVENT_TIMES)), batch_id, _value_times())
+    rows = enriched.where("member_us IS NOT NULL")
+    table.upsert(with_row_key(wide_row(rows, keep=_quoted((*ORDERS, *STORED_EXTRA)))), batch_id, _value_orders())
+
+
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{name}`" for name in names]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.latest import latest_rows
@@ -41,6 +42,10 @@ def dimension_tables(spark: SparkSession, root: str) -> dict[str, UpsertTable]:
 def upsert_dimensions(
     log: DataFrame, batch_id: int, tables: dict[str, UpsertTable], order: Sequence[str] = ARRIVAL_ORDER,
 ) -> None:
-    """Upsert one batch of raw records into all dimension tables."""
-    for dimension in DIMENSIONS:
-        tables[dimension.table].upsert(dimension_versions(log, dimension, order), batch_id, order)
+    """Upsert one batch of raw records into all dimension tables. The batch is read and filtered once."""
+    records = dimension_records(json_records(log)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for dimension in DIMENSIONS:
+            tables[dimension.table].upsert(rows_for_table(records, dimension, keep=tuple(order)), batch_id, order)
+    finally:
+        records.unpersist()

@@ -29,78 +29,81 @@ class _BatchFolders:
     def write(self, rows: DataFrame, kind: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/kind={kind}/{_BATCH}={batch_id}")
 
-    def load(self, schema: StructType) -> DataFrame | None:
-        """Rows of the newest base and of the batches after it, with their batch id."""
-        base = self.newest_base()
-        kinds = [("delta", b) for b in self.finished("delta") if base is None or b > base]
-        if base is not None:
-            kinds.append(("base", base))
+    def listed(self) -> tuple[int | None, list[int]]:
+        """(newest base, batches after it), from one listing, so that a fold in between can't tear a read."""
+        finished = self._finished()
+        base = max(finished["base"], default=None)
+        return base, sorted(b for b in finished["delta"] if base is None or b > base)
+
+    def load(self, schema: StructType) -> tuple[DataFrame | None, bool]:
+        """Rows of the newest base and of the batches after it, with their batch id; whether they are one per key."""
+        base, deltas = self.listed()
+        kinds = [("delta", b) for b in deltas] + ([("base", base)] if base is not None else [])
         if not kinds:
-            return None
+            return None, True
         full = StructType([*schema.fields, StructField("kind", StringType()), StructField(_BATCH, LongType())])
         folders = [f"{self.path}/kind={kind}/{_BATCH}={b}" for kind, b in kinds]
-        return self.spark.read.schema(full).option("basePath", self.path).parquet(*folders).drop("kind")
-
-    def is_compact(self) -> bool:
-        base = self.newest_base()
-        return base is not None and max(self.finished("delta"), default=base) <= base
+        loaded = self.spark.read.schema(full).option("basePath", self.path).parquet(*folders).drop("kind")
+        return loaded, len(kinds) == 1
 
     def drop_folded(self) -> int:
-        """Delete what the newest base has made needless; gives the number of folders.
+        """Delete what was needless already before the newest base; gives the number of folders.
 
-        Not while a reader may still be at work on a list of folders from before the base.
+        A reader that listed the folders before the newest base still finds all of them.
         """
-        base = self.newest_base()
-        if base is None:
+        finished = self._finished()
+        bases = sorted(finished["base"])
+        if len(bases) < 2:
             return 0
-        old = [("delta", b) for b in self.finished("delta") if b < base]
-        old += [("base", b) for b in self.finished("base") if b < base]
+        old = [(kind, b) for kind in ("delta", "base") for b in finished[kind] if b < bases[-2]]
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         for kind, b in old:
             folder = hadoop.Path(f"{self.path}/kind={kind}/{_BATCH}={b}")
             folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
         return len(old)
 
-    def newest_base(self) -> int | None:
-        return max(self.finished("base"), default=None)
-
-    def finished(self, kind: str) -> list[int]:
+    def _finished(self) -> dict[str, list[int]]:
         # Hadoop's own file system client, so that any cluster storage will do.
         hadoop = self.spark._jvm.org.apache.hadoop.fs
-        pattern = hadoop.Path(f"{self.path}/kind={kind}/{_BATCH}=*/_SUCCESS")
+        pattern = hadoop.Path(f"{self.path}/kind=*/{_BATCH}=*/_SUCCESS")
         found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-        return [int(f.getPath().getParent().getName().split("=")[1]) for f in found]
+        batches: dict[str, list[int]] = {"delta": [], "base": []}
+        for folder in (f.getPath().getParent() for f in found):
+            batches[folder.getParent().getName().split("=")[1]].append(int(folder.getName().split("=")[1]))
+        return batches
 
 
-class _Compactable:
+class _Folded:
     """Folding the batches of a table, for both kinds of tables."""
 
     _folders: _BatchFolders
 
-    def _stored_rows(self) -> DataFrame | None:
-        raise NotImplementedError
-
     def compact(self, every: int = 1) -> bool:
         """Fold all batches so far into a new base, if at least ``every`` have come since the last one."""
-        base = self._folders.newest_base()
-        since = [b for b in self._folders.finished("delta") if base is None or b > base]
+        _, since = self._folders.listed()
         if not since or len(since) < every:
             return False
-        self._folders.write(self._stored_rows(), "base", max(since))
+        # A batch that comes in between is read twice, once in the base and once by itself: merging is idempotent.
+        self._folders.write(self._current(), "base", since[-1])
         return True
 
+    def keep_small(self, every: int) -> None:
+        """Fold now and then, and delete what no reader can need any more."""
+        if self.compact(every):
+            self._folders.drop_folded()
+
     def drop_folded(self) -> int:
         return self._folders.drop_folded()
 
     def _refuse_old(self, batch_id: int) -> None:
-        base = self._folders.newest_base()
+        base, _ = self._folders.listed()
         if base is not None and batch_id < base:
             raise ValueError(
                 f"batch {batch_id} is older than the compacted base {base} of {self._folders.path}: "
                 "a stream with a new checkpoint needs a new table")
 
 
-class UpsertTable(_Compactable):
+class UpsertTable(_Folded):
     """An upsert replaces the whole row of its key. Within a batch ``order`` decides, then the later batch."""
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]):
@@ -118,24 +121,19 @@ class UpsertTable(_Compactable):
 
     def read(self) -> DataFrame:
         """The current rows, one per key."""
-        loaded = self._folders.load(self.schema)
+        loaded, single = self._folders.load(self.schema)
         if loaded is None:
             return self.spark.createDataFrame([], self.schema)
-        if self._folders.is_compact():
-            return loaded.drop(_BATCH)
-        return latest_rows(loaded, self.keys, [_BATCH]).drop(_BATCH)
-
-    def _stored_rows(self) -> DataFrame:
-        return self.read()
+        return loaded.drop(_BATCH) if single else latest_rows(loaded, self.keys, [_BATCH]).drop(_BATCH)
 
-    def batches(self) -> list[int]:
-        return sorted(self._folders.finished("delta"))
+    _current = read
 
 
-class CellTable(_Compactable):
+class CellTable(_Folded):
     """An upsert replaces single values: a NULL leaves the stored one alone, and so does an older one.
 
-    Each value is stored with the time it is from, and the later time wins. So
+    Each value is stored with the time it is from and a number of the record it is from. The
+    later time wins, and among records of one time the same record in all columns. So
     it does not matter in which batch or how often a value arrives, and a row
     that a watermark held back does not undo newer ones.
     """
@@ -147,35 +145,37 @@ class CellTable(_Compactable):
         self._values = [f for f in schema if f.name not in self.keys]
         self._stored = StructType([
             *[schema[k] for k in self.keys],
-            *[StructField(f.name, StructType([StructField("at", LongType()), StructField("value", f.dataType)]))
+            *[StructField(f.name, StructType([
+                StructField("at", LongType()), StructField("tie", LongType()), StructField("value", f.dataType)]))
               for f in self._values],
         ])
         self._folders = _BatchFolders(spark, path)
 
-    def upsert(self, rows: DataFrame, batch_id: int, at: Mapping[str, str] | str) -> None:
-        """``at`` names the bigint column with the time of a value, one for all or one for each."""
+    def upsert(self, rows: DataFrame, batch_id: int, at: Mapping[str, Sequence[str]] | Sequence[str]) -> None:
+        """``at`` names the bigint columns with the time of a value and the number of its record, for all or for each."""
         self._refuse_old(batch_id)
-        times = {f.name: at if isinstance(at, str) else at[f.name] for f in self._values}
+        times = {f.name: at[f.name] if isinstance(at, Mapping) else at for f in self._values}
         cells = rows.selectExpr(
             *[f"`{k}`" for k in self.keys],
-            *[f"IF(`{c}` IS NULL, NULL, named_struct('at', `{t}`, 'value', `{c}`)) AS `{c}`" for c, t in times.items()],
+            *[f"IF(`{c}` IS NULL, NULL, named_struct('at', `{t}`, 'tie', `{tie}`, 'value', `{c}`)) AS `{c}`"
+              for c, (t, tie) in times.items()],
         )
         self._folders.write(self._merge(cells), "delta", batch_id)
 
     def read(self) -> DataFrame:
         """The current rows, one per key."""
-        cells = self._stored_rows()
+        cells = self._current()
         if cells is None:
             return self.spark.createDataFrame([], self.schema)
         return cells.selectExpr(*[
             f"`{f.name}`" if f.name in self.keys else f"`{f.name}`.value AS `{f.name}`" for f in self.schema])
 
-    def _stored_rows(self) -> DataFrame | None:
-        loaded = self._folders.load(self._stored)
+    def _current(self) -> DataFrame | None:
+        loaded, single = self._folders.load(self._stored)
         if loaded is None:
             return None
         cells = loaded.drop(_BATCH)
-        return cells if self._folders.is_compact() else self._merge(cells)
+        return cells if single else self._merge(cells)
 
     def _merge(self, cells: DataFrame) -> DataFrame:
         return cells.groupBy(*self.keys).agg(*[F.expr(f"max(`{f.name}`) AS `{f.name}`") for f in self._values])

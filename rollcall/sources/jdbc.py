@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 from decimal import Decimal
 
@@ -15,8 +16,12 @@ def _literal(value: object) -> str:
     if isinstance(value, bool):
         return "TRUE" if value else "FALSE"
     if isinstance(value, (int, float, Decimal)):
-        return str(value)
+        if not math.isfinite(value):
+            raise TypeError(f"no SQL literal for {value}")
+        return f"({value})" if value < 0 else str(value)
     if isinstance(value, dt.datetime):
+        if value.tzinfo is not None:
+            raise TypeError("no SQL literal for a time with a zone")
         return f"TIMESTAMP '{value:%Y-%m-%d %H:%M:%S.%f}'"
     if isinstance(value, dt.date):
         return f"DATE '{value:%Y-%m-%d}'"
@@ -26,7 +31,12 @@ def _literal(value: object) -> str:
 
 
 def render_sql(sql: str, params: Sequence[object] = ()) -> str:
-    """Put the parameters in place of the ``?`` outside quotes; Spark's reader binds none itself."""
+    """Put the parameters in place of the ``?`` outside single quotes; Spark's reader binds none itself.
+
+    Comments and quoted names are refused where they hold a ``?`` or a quote could begin in them.
+    """
+    if params and any(mark in sql for mark in ("--", "/*", '"')):
+        raise ValueError("no parameters in a query with comments or quoted names")
     pieces = sql.split("'")
     values = list(params)
     for index in range(0, len(pieces), 2):

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..operators.joins import WINDOW, join_member_facts
+from ..functions import json_text
+from ..operators.joins import WINDOW, join_member_facts, without_event_time
 from ..operators.lookup import dead_letters
 from ..operators.routing import dimension_records, json_records, second_layer
 from ..operators.words import POISON, count_words, fail_on, labelled_counts, words_on_space
@@ -41,8 +43,7 @@ def start_dimension_stream(
 ) -> StreamingQuery:
     """Dimension records of the raw log (with order of arrival) into their tables.
 
-    The tables are small against the facts, so they are folded in passing, every
-    ``compact_after`` batches. The wide table is not: fold it in a job of its own.
+    The tables are folded every ``compact_after`` batches, and what that leaves behind is deleted.
 
     Give the source the dimension topics only: then neither stream reads what
     the other one needs.
@@ -52,7 +53,7 @@ def start_dimension_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         upsert_dimensions(batch, batch_id, dict(tables))
         for table in tables.values():
-            table.compact(every=compact_after)
+            table.keep_small(compact_after)
 
     writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _start(writer, every)
@@ -61,12 +62,14 @@ def start_dimension_stream(
 def start_member_stream(
     member: DataFrame, regtype: DataFrame, payment: DataFrame,
     dimensions: Mapping[str, UpsertTable], wide: CellTable, checkpoint: str,
-    *, dead_letter_path: str | None = None, size: str = WINDOW, every: str | None = None,
+    *, dead_letter_path: str | None = None, size: str = WINDOW, every: str | None = None, compact_after: int = 500,
 ) -> StreamingQuery:
     """Join the three streams, look up the dimensions as they are now, keep the wide table current.
 
     The streams come with event time and watermark. Rows with a failed lookup
     are written like all others, and their keys to ``dead_letter_path`` as well.
+    Records without an event time are in no window: see ``start_untimed_stream``.
+    The wide table is folded every ``compact_after`` batches.
     """
     joined = join_member_facts(member, regtype, payment, size=size).drop("win")
 
@@ -77,6 +80,7 @@ def start_member_stream(
         )
         if dead_letter_path is None:
             upsert_members(enriched, batch_id, wide)
+            wide.keep_small(compact_after)
             return
         # Two writes: keep the batch, so that the join is not run for each of them.
         enriched.persist(StorageLevel.MEMORY_AND_DISK)
@@ -85,6 +89,7 @@ def start_member_stream(
             dead_letters(enriched).write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
         finally:
             enriched.unpersist()
+        wide.keep_small(compact_after)
 
     writer = joined.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
     return _start(writer, every)
@@ -93,7 +98,7 @@ def start_member_stream(
 def start_collapsed_member_stream(
     member: DataFrame, regtype: DataFrame, payment: DataFrame,
     dimensions: Mapping[str, UpsertTable], wide: CellTable, checkpoint: str,
-    *, size: str = WINDOW, every: str | None = None,
+    *, size: str = WINDOW, every: str | None = None, compact_after: int = 500,
 ) -> StreamingQuery:
     """The same wide table without the pairs, for streams with very frequent members.
 
@@ -107,15 +112,30 @@ def start_collapsed_member_stream(
             dimensions["dwd_membervip"].read(),
         )
         upsert_members(enriched, batch_id, wide)
+        wide.keep_small(compact_after)
 
     writer = joined.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
     return _start(writer, every)
 
 
+def start_untimed_stream(
+    sides: Mapping[str, DataFrame], path: str, checkpoint: str, *, ts: str = "ts", every: str | None = None,
+) -> StreamingQuery:
+    """Records without a readable event time, which no window takes, as (side, value) with the record as JSON.
+
+    Give it the streams by name; it reads them once more, so that nothing is lost without a trace.
+    """
+    untimed = [without_event_time(rows, ts).drop(ts) for rows in sides.values()]
+    letters = reduce(DataFrame.unionByName, [
+        rows.select(F.lit(name).alias("side"), json_text(*rows.columns).alias("value")) for name, rows in zip(sides, untimed)])
+    writer = letters.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return _start(writer, every)
+
+
 def start_word_count(
     lines: DataFrame, counts: UpsertTable, checkpoint: str,
     *, topic: str | None = None, topic_path: str | None = None, servers: str | None = None,
-    poison: str | None = POISON, every: str | None = None,
+    poison: str | None = POISON, every: str | None = None, compact_after: int = 500,
 ) -> StreamingQuery:
     """Running count of words. The changed counts of each batch go to a table and, as text, to a topic.
 
@@ -133,6 +153,7 @@ def start_word_count(
                 write_text_topic(labelled_counts(batch), topic, batch_id, servers=servers, path=topic_path)
         finally:
             batch.unpersist()
+        counts.keep_small(compact_after)
 
     writer = running.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     return _start(writer, every)

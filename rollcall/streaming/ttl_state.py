@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.ordered import micros
 
@@ -15,53 +16,40 @@ from ..operators.ordered import micros
 def last_logins(
     logins: DataFrame, keys: Sequence[str], ts: str = "ts", ttl: str = "1 hour", out_of_order: str = "10 seconds",
 ) -> DataFrame:
-    """Stream: per key and micro-batch first and last login and the one before, in microseconds.
+    """Stream: each login and the one of its key before, in microseconds.
 
     The login before is NULL when it is more than ``ttl`` back; each login renews
-    the stored one. Logins are reduced per Arrow batch before the shuffle, so that
-    a busy key reaches its task as a few rows.
+    the stored one. Within a micro-batch logins are taken in order of time, so the result
+    does not depend on how the input was cut, as long as batches come in that order; a
+    login older than the stored one has none before it. State is one number per key, a
+    batch holds one number per login of a key. Logins without a time are left out.
     """
     keys = list(keys)
     ttl_us = micros(ttl)
-    key_fields = [logins.schema[k] for k in keys]
-    reduced_schema = StructType([
-        *key_fields, StructField("first_us", LongType()), StructField("last_us", LongType()),
-        StructField("last_ts", TimestampType()),
-    ])
     result_schema = StructType([
-        *key_fields, StructField("first_us", LongType()), StructField("last_us", LongType()),
-        StructField("previous_us", LongType()),
-    ])
-
-    def reduce_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            grouped = batch.groupby(keys, dropna=False)["us"].agg(first_us="min", last_us="max").reset_index()
-            grouped["last_ts"] = pd.to_datetime(grouped["last_us"], unit="us")
-            yield grouped
+        *[logins.schema[k] for k in keys], StructField("us", LongType()), StructField("previous_us", LongType())])
 
     def remember(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        first, last = None, None
-        for part in parts:
-            low, high = int(part["first_us"].min()), int(part["last_us"].max())
-            first = low if first is None else min(first, low)
-            last = high if last is None else max(last, high)
+        times = np.sort(np.concatenate([part["us"].to_numpy(dtype=np.int64) for part in parts]))
         stored = state.get[0] if state.exists else None
-        alive = stored is not None and 0 <= first - stored <= ttl_us
-        newest = last if stored is None else max(last, stored)
+        before = np.concatenate([times[:1] if stored is None else [stored], times[:-1]])
+        known = (times >= before) & (times - before <= ttl_us)
+        known[0] &= stored is not None
+        newest = int(times[-1]) if stored is None else max(int(times[-1]), stored)
         state.update((newest,))
         state.setTimeoutTimestamp(max((newest + ttl_us) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        row = {name: [value] for name, value in zip(keys, key)}
-        row |= {"first_us": [first], "last_us": [last],
-                "previous_us": pd.array([stored if alive else None], dtype="Int64")}
-        yield pd.DataFrame(row)
+        result = pd.DataFrame({"us": times, "previous_us": pd.array(before, dtype="Int64")})
+        result.loc[~known, "previous_us"] = pd.NA
+        for at, (name, value) in enumerate(zip(keys, key)):
+            result.insert(at, name, value)
+        yield result
 
-    timed = logins.select(*keys, F.unix_micros(F.col(ts)).alias("us")).where(F.col("us").isNotNull())
+    timed = logins.select(*keys, F.col(ts), F.unix_micros(F.col(ts)).alias("us")).where(F.col("us").isNotNull())
     return (
-        timed.mapInPandas(reduce_batch, reduced_schema)
-        .withWatermark("last_ts", out_of_order)
+        timed.withWatermark(ts, out_of_order)
         .groupBy(*keys)
         .applyInPandasWithState(
             remember, result_schema, StructType([StructField("last_us", LongType())]),

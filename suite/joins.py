@@ -25,18 +25,19 @@ _DAY_US = 86_400_000_000
 
 
 def _flat(df: DataFrame) -> DataFrame:
-    return df.withColumn("win_us", F.unix_micros("win.start")).drop("win")
+    return df.withColumn("win_us", F.unix_micros("win.start")).drop("win", "member_tie", "regtype_tie", "payment_tie")
 
 
 def _flags(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("int") for c in ("ad_hit", "site_hit", "vip_hit") if c in df.columns})
 
 
-def jn1_sql(window_us: int) -> str:
+def jn1_sql(window_us: int, squeeze: int = 1) -> str:
+    us = f"({views.BEGIN_US} + (us - {views.BEGIN_US}) // {squeeze})"
     return f"""
-m AS (SELECT {names('member', 'paymoney')}, us AS member_us, us // {window_us} * {window_us} AS win_us FROM member_all),
+m AS (SELECT {names('member', 'paymoney')}, {us} AS member_us, {us} // {window_us} * {window_us} AS win_us FROM member_all),
 r AS (SELECT uid, dn, appkey, appregurl, bdp_uuid, createtime AS regtype_createtime, isranreg, regsource, websiteid,
-             us AS regtype_us, us // {window_us} * {window_us} AS win_us FROM regtype_all),
+             {us} AS regtype_us, {us} // {window_us} * {window_us} AS win_us FROM regtype_all),
 jn1 AS (SELECT m.*, r.* EXCLUDE (uid, dn, win_us) FROM m LEFT JOIN r USING (uid, dn, win_us))"""
 
 
@@ -71,12 +72,13 @@ def jn1(spark, sf_dir):
 def jn1_spread(spark, sf_dir):
     """The same with every key of more than one row dealt out."""
     member, regtype, _ = views.facts(spark, sf_dir)
-    return _flat(op.join_regtype(member, regtype, size=DAY, hot_keys=HotKeys(rows_per_part=1, even_if_small=True)))
+    return _flat(op.join_regtype(member, regtype, size=DAY, hot_keys=HotKeys(rows_per_part=1)))
 
 
-@check("jn1_ten_minutes", f"WITH {jn1_sql(600_000_000)} SELECT * FROM jn1")
+@check("jn1_ten_minutes", f"WITH {jn1_sql(600_000_000, 144)} SELECT * FROM jn1")
 def jn1_ten_minutes(spark, sf_dir):
-    member, regtype, _ = views.facts(spark, sf_dir)
+    """A day of the events in ten minutes, so that many windows hold both sides."""
+    member, regtype, _ = views.facts(spark, sf_dir, squeeze=144)
     return _flat(op.join_regtype(member, regtype))
 
 
@@ -90,7 +92,7 @@ def jn2(spark, sf_dir):
 def jn2_chain(spark, sf_dir):
     """Both joins in one chain, with keys dealt out over all three sides."""
     member, regtype, payment = views.facts(spark, sf_dir)
-    return _flat(op.join_member_facts(member, regtype, payment, size=DAY, hot_keys=HotKeys(rows_per_part=1, even_if_small=True)))
+    return _flat(op.join_member_facts(member, regtype, payment, size=DAY, hot_keys=HotKeys(rows_per_part=1)))
 
 
 @check("jn3_ad_lookup", f"""WITH {DIMS}
@@ -147,9 +149,10 @@ def jn7_status(spark, sf_dir):
     return _flags(flagged.groupBy("ad_hit", "site_hit", "vip_hit", "missed").agg(F.count("*").alias("n")))
 
 
-@check("jn8_small_window", f"WITH {jn1_sql(10_000_000)} SELECT * FROM jn1")
+@check("jn8_small_window", f"WITH {jn1_sql(10_000_000, 8640)} SELECT * FROM jn1")
 def jn8(spark, sf_dir):
-    member, regtype, _ = views.facts(spark, sf_dir)
+    """A day of the events in ten seconds."""
+    member, regtype, _ = views.facts(spark, sf_dir, squeeze=8640)
     return _flat(op.join_regtype(member, regtype, size=op.SMALL_WINDOW))
 
 
@@ -174,7 +177,7 @@ def jn9(spark, sf_dir):
         return both[["uid", "dn", "register", "appkey", "createtime"]].astype(object).where(lambda c: c.notna(), None)
 
     return op.cogroup(left, right, ["uid", "dn", "win_us"], left_pairs, _COGROUPED,
-                      HotKeys(rows_per_part=2), buckets=64)
+                      HotKeys(rows_per_part=2), rows_per_call=20_000)
 
 
 @check("jn10_wide_rows", f"WITH {jn1_sql(_DAY_US)}, {JN2}, {JN6} SELECT {WIDE}, ad_hit, site_hit, vip_hit FROM jn6")
@@ -184,7 +187,7 @@ def jn10(spark, sf_dir):
 
 @check("jn10_wide_rows_spread", f"WITH {jn1_sql(_DAY_US)}, {JN2}, {JN6} SELECT {WIDE}, ad_hit, site_hit, vip_hit FROM jn6")
 def jn10_spread(spark, sf_dir):
-    hot_keys = HotKeys(rows_per_part=1, even_if_small=True)
+    hot_keys = HotKeys(rows_per_part=1)
     return _flags(wide_rows(*views.facts(spark, sf_dir), *views.dimensions(spark, sf_dir), size=DAY, hot_keys=hot_keys))
 
 
@@ -194,13 +197,14 @@ def last_values_sql(source: str, order: str, columns: list[str], keys: str = "ui
     return f"SELECT {keys}, {picks} FROM {source} GROUP BY {keys}"
 
 
-MERGED = [n for n in WIDE_MEMBER.fieldNames() if n not in ("uid", "dn")]
+STORED = f'{WIDE}, "delete", site_creator'
+MERGED = [n for n in (*WIDE_MEMBER.fieldNames(), "delete", "site_creator") if n not in ("uid", "dn")]
 PAIR_ORDER = "ROW(member_us, coalesce(regtype_us, 0), coalesce(payment_us, 0))"
 
 
 @check("jn10_current_members", f"""WITH {jn1_sql(_DAY_US)}, {JN2}, {JN6},
 merged AS ({last_values_sql('jn6', PAIR_ORDER, MERGED)})
-SELECT substr(md5(CAST(uid AS VARCHAR)), 1, 5) || uid || dn AS row_key, {WIDE} FROM merged""")
+SELECT substr(md5(CAST(uid AS VARCHAR)), 1, 5) || uid || dn AS row_key, {STORED} FROM merged""")
 def jn10_current(spark, sf_dir):
     """The wide table after all upserts; the SQL side forms the pairs, the Spark side does not."""
     return current_members(*views.facts(spark, sf_dir), *views.dimensions(spark, sf_dir), size=DAY)
@@ -243,18 +247,25 @@ def prj10(spark, sf_dir):
 
 
 @check("udf5_lookup_by_client", """
-SELECT uid, dn, register, CASE WHEN uid % 2 = 0 THEN 'g' || uid || dn END AS grade, CAST(NULL AS VARCHAR) AS lookup_error
-FROM member_all""")
+SELECT m.uid, m.dn, register, CASE WHEN ad_id % 5 <> 0 THEN ad_id END AS ad_id, CASE WHEN ad_id % 5 <> 0 THEN adname END AS adname,
+       user_id * 9007199254740 + 1 AS big, CASE WHEN ad_id = 7 THEN 'ValueError: no answer for 7' END AS lookup_error
+FROM member_all m JOIN (SELECT event_id, user_id FROM ev) e USING (event_id) LEFT JOIN (SELECT * FROM ads WHERE adid <> 7) a ON m.ad_id = a.adid AND m.dn = a.dn""")
 def udf5(spark, sf_dir):
-    """A dictionary stands in for the client of a store that is asked by key."""
-
-    def fetch(store: dict, wanted: list[tuple]) -> dict[tuple, dict]:
-        return {key: {"grade": f"g{key[0]}{key[1]}"} for key in wanted if key[0] % 2 == 0}
-
-    member, _, _ = views.facts(spark, sf_dir)
-    return lookup_by_client(
-        member.select("uid", "dn", "register"), dict, fetch, ["uid", "dn"],
-        StructType([StructField("grade", StringType())]))
+    """The given ads behind a client that is asked by key and fails for one of them; some rows have no key."""
+    store = {(r.adid, r.dn): {"adname": r.adname} for r in views.ads(spark, sf_dir).collect()}  # 25 rows in every size
+
+    def fetch(client: dict, wanted: list[tuple]) -> dict[tuple, dict]:
+        if any(key[0] == 7 for key in wanted):
+            raise ValueError("no answer for 7")
+        return {key: client[key] for key in wanted if key in client}
+
+    rows = views.member(views.events(spark, sf_dir).withColumn("user", F.col("user_id"))).selectExpr(
+        "uid", "dn", "register", "IF(ad_id % 5 = 0, NULL, ad_id) AS ad_id", "CAST(uid AS bigint) * 9007199254740 + 1 AS big")
+    asked = StructType([StructField("adname", StringType())])
+    # The failing key in requests of its own, so that the others get their answers.
+    sides = [lookup_by_client(rows.where(part), lambda: store, fetch, ["ad_id", "dn"], asked)
+             for part in ("ad_id = 7", "ad_id <> 7 OR ad_id IS NULL")]
+    return sides[0].unionByName(sides[1])
 
 
 @check("udf3_cogroup_whole_groups", """

@@ -22,7 +22,7 @@ from rollcall.sources import (
 from rollcall.streaming.event_time import with_event_time
 
 from . import views
-from .joins import JN2, JN6, MERGED, PAIR_ORDER, WIDE, jn1_sql, last_values_sql
+from .joins import JN2, JN6, MERGED, PAIR_ORDER, STORED, WIDE, jn1_sql, last_values_sql
 from .registry import check
 from .views import DAY, names
 
@@ -169,7 +169,7 @@ def snk6(spark, sf_dir):
 
 @check("snk7_upsert_members", f"""WITH {jn1_sql(_DAY_US)}, {JN2}, {JN6},
 merged AS ({last_values_sql('jn6', PAIR_ORDER, MERGED)})
-SELECT substr(md5(CAST(uid AS VARCHAR)), 1, 5) || uid || dn AS row_key, {WIDE} FROM merged""")
+SELECT substr(md5(CAST(uid AS VARCHAR)), 1, 5) || uid || dn AS row_key, {STORED} FROM merged""")
 def snk7(spark, sf_dir):
     """Pairs upserted in two batches; the cut lies between two windows."""
     pairs = enrich(join_member_facts(*views.facts(spark, sf_dir), size=DAY), *views.dimensions(spark, sf_dir))

@@ -18,7 +18,7 @@ from rollcall.streaming.event_time import fact_time, member_time
 from rollcall.streaming.ttl_state import last_logins
 
 from . import views
-from .joins import JN2, JN6, MERGED, PAIR_ORDER, WIDE, jn1_sql, last_values_sql
+from .joins import JN2, JN6, MERGED, PAIR_ORDER, STORED, WIDE, jn1_sql, last_values_sql
 from .registry import check
 from .sources_sinks import _latest_sql
 from .views import DAY, names
@@ -107,7 +107,7 @@ def jn1_stream(spark, sf_dir):
     """Pairs at once; rows without a match once the watermark has passed their window."""
     member, regtype = _timed(spark, sf_dir)
     joined = join_regtype(member, regtype, size=DAY)
-    return _landed(spark, joined.withColumn("win_us", F.unix_micros("win.start")).drop("win"))
+    return _landed(spark, joined.withColumn("win_us", F.unix_micros("win.start")).drop("win", "member_tie", "regtype_tie"))
 
 
 @check("str8_early_results", f"WITH {jn1_sql(_DAY_US)} SELECT * FROM jn1")
@@ -117,7 +117,7 @@ def str8(spark, sf_dir):
     pairs = early.where(~F.col("provisional"))
     matched = pairs.select("uid", "dn", "win_us").distinct()
     alone = early.where(F.col("provisional")).join(matched, ["uid", "dn", "win_us"], "left_anti")
-    return pairs.unionByName(alone).drop("provisional")
+    return pairs.unionByName(alone).drop("provisional", "member_tie")
 
 
 def _late_half(spark: SparkSession, sf_dir: str, lateness: str) -> DataFrame:
@@ -154,11 +154,20 @@ def str9(spark, sf_dir):
 
 
 @check("str11_login_state", """
-SELECT user_id, min(us) AS first_us, max(us) AS last_us, CAST(NULL AS BIGINT) AS previous_us FROM ev GROUP BY user_id""")
+WITH g AS (SELECT user_id, us, lag(us) OVER (PARTITION BY user_id ORDER BY us) AS before_us FROM ev)
+SELECT user_id, us, CASE WHEN us - before_us <= 3600000000 THEN before_us END AS previous_us FROM g""")
 def str11_state(spark, sf_dir):
-    """One micro-batch, so there is no login before; the tests have several."""
-    rows = _event_stream(spark, sf_dir).select("user_id", "ts")
-    return _landed(spark, last_logins(rows, ["user_id"]))
+    """Four runs on one checkpoint, each with the logins of one stretch of time."""
+    folder, out, checkpoint = fresh_dir(spark, "logins"), fresh_dir(spark, "landed"), fresh_dir(spark, "cp")
+    rows = views.table(spark, sf_dir, "events").select("user_id", "ts")
+    cuts = [None, "2024-01-08", "2024-01-15", "2024-01-22", None]
+    for begin, end in zip(cuts, cuts[1:]):
+        part = rows.where(" AND ".join([f"ts >= '{begin}'"] * bool(begin) + [f"ts < '{end}'"] * bool(end)))
+        part.selectExpr("user_id", "CAST(ts AS timestamp) AS ts").write.mode("append").parquet(folder)
+        logins = last_logins(spark.readStream.schema("user_id long, ts timestamp").parquet(folder), ["user_id"])
+        (logins.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+         .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema("user_id long, us long, previous_us long").parquet(out)
 
 
 @check("udf2_two_outputs", """
@@ -191,7 +200,7 @@ vips2 AS ({_latest_sql('vip_log', 'vip_id', names('vips'))}),
 """ + JN6.replace("FROM ads)", "FROM ads2)").replace("FROM websites)", "FROM websites2)").replace("FROM vips)", "FROM vips2)").strip()
        + f""",
 merged AS ({last_values_sql('jn6', PAIR_ORDER, MERGED)})
-SELECT substr(md5(CAST(uid AS VARCHAR)), 1, 5) || uid || dn AS row_key, {WIDE} FROM merged""")
+SELECT substr(md5(CAST(uid AS VARCHAR)), 1, 5) || uid || dn AS row_key, {STORED} FROM merged""")
 def str3(spark, sf_dir):
     """All streaming jobs one after the other: raw log, second layer and dimension tables, two joins, wide table.
 

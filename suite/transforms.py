@@ -40,11 +40,11 @@ def flt2(spark, sf_dir):
 
 
 @check("flt3_poison_guard", r"""
-SELECT doc_id, unnest(string_split_regex(text, '\s')) AS word FROM documents""")
+SELECT * FROM (SELECT doc_id, unnest(string_split_regex(text, '\s')) AS word FROM documents) WHERE word <> 'the'""")
 def flt3(spark, sf_dir):
-    """No word can hold a blank, so the guard looks at all words and lets all pass."""
+    """The guard would fail at a word that is frequent in the texts, had not a filter set it aside."""
     found = words.words_on_whitespace(views.lines(spark, sf_dir), keep=("doc_id",))
-    return words.fail_on(found, poison="b u g")
+    return words.fail_on(found.where("word <> 'the'"), poison="the")
 
 
 @check("rte1_facts", f"""WITH {TOPICS}

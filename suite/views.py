@@ -98,9 +98,15 @@ def payment(rows: DataFrame) -> DataFrame:
     return _of_type(rows, "purchase", PAYMENT_FIELDS)
 
 
-def facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+# A time before all events, from which they can be squeezed together.
+BEGIN_US = 1_704_067_200_000_000
+
+
+def facts(spark: SparkSession, sf_dir: str, squeeze: int = 1) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Member, registration and payment rows; ``squeeze`` divides the time since the beginning, for small windows."""
     rows = events(spark, sf_dir)
-    return tuple(view(rows).drop("event_id") for view in (member, regtype, payment))
+    ts = F.expr(f"timestamp_micros({BEGIN_US} + (unix_micros(ts) - {BEGIN_US}) div {squeeze})")
+    return tuple(view(rows).drop("event_id").withColumn("ts", ts) for view in (member, regtype, payment))
 
 
 def ads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from pathlib import Path
 
@@ -226,11 +227,21 @@ def test_last_login_expires(spark):
     us = MINUTE * 1000
     shift = START * 1000
     found = Counter(
-        (r.user, r.first_us - shift, r.last_us - shift, r.previous_us and r.previous_us - shift)
-        for r in spark.table("logins").collect())
+        (r.user, r.us - shift, r.previous_us and r.previous_us - shift) for r in spark.table("logins").collect())
     assert found == Counter([
-        (1, 0, 5 * us, None), (2, 0, 0, None), (1, 60 * us, 60 * us, 5 * us),
-        (1, 200 * us, 200 * us, None), (2, 201 * us, 201 * us, None), (1, 230 * us, 230 * us, 200 * us)])
+        (1, 0, None), (1, 5 * us, 0), (2, 0, None), (1, 60 * us, 5 * us), (1, 200 * us, None), (2, 201 * us, None),
+        (1, 230 * us, 200 * us)])
+
+
+def test_records_without_time_are_kept_apart(spark):
+    feeds = [Feed(spark, s) for s in (MEMBER, REGTYPE)]
+    feeds[0].add([member(1, 1), record(MEMBER, uid=2, dn="webA", register="soon")])
+    feeds[1].add([record(REGTYPE, uid=3, dn="webA"), regtype(4, 2)])
+    out = fresh_dir(spark, "untimed")
+    streams = {"member": member_time(feeds[0].stream()), "regtype": fact_time(feeds[1].stream())}
+    jobs.start_untimed_stream(streams, out, fresh_dir(spark, "cp")).awaitTermination()
+    found = {(r.side, json.loads(r.value)["uid"]) for r in spark.read.parquet(out).collect()}
+    assert found == {("member", 2), ("regtype", 3)}
 
 
 def test_fact_stream_writes_each_record_once(spark):
@@ -276,7 +287,7 @@ def test_rows_through_a_client(spark, tmp_path):
 def test_console(spark, capfd):
     feed = Feed(spark, spark.createDataFrame([], "word string").schema)
     feed.add([("hello-console",)])
-    query = show_on_console(feed.stream(), "wordcount").trigger(availableNow=True).start()
+    query = show_on_console(feed.stream(), 1_000, "wordcount").trigger(availableNow=True).start()
     assert query.name == "wordcount"
     query.awaitTermination()
     assert query.exception() is None
