@@ -14,7 +14,8 @@ from rollcall.llm.labelled import fold, sample
 
 from .helpers import awkward, docs, prose, stored
 
-EVERYONE = F.lit(True)
+def everyone():
+    return F.lit(True)
 
 
 def labels(spark, rows, name):
@@ -32,7 +33,7 @@ def test_sample_is_bounded_and_skips_nulls(spark):
     marks = labels(spark, [(i, i % 2) for i in range(30)] + [(None, 1), (3, None), (4, 1)], "toxic")
     found = sample(given, marks, "toxic", F.col("doc_id") != 0, rows=10).collect()
     assert len({r.id for r in found}) == 10 and 0 not in {r.id for r in found}
-    whole = {r.id: r.label for r in sample(given, marks, "toxic", EVERYONE).collect()}
+    whole = {r.id: r.label for r in sample(given, marks, "toxic", everyone()).collect()}
     assert len(whole) == 30 and whole[4] == 1
 
 
@@ -43,8 +44,8 @@ def toxic_corpus(count):
         parts = [prose(i * 5 + n, 12, 300) for n in range(4)]
         if i % 4 == 0:
             parts[chosen.randrange(4)] += " " + chosen.choice(("vilewort", "badword", "Vilewart"))
-        rows.append((i, ". ".join(parts)))
-        marks.append((i, int(i % 4 == 0)))
+        rows.append((1_000 + i, ". ".join(parts)))
+        marks.append((1_000 + i, int(i % 4 == 0)))
     return rows, marks
 
 
@@ -66,9 +67,9 @@ def test_toxic_sentences_are_found_from_document_labels(spark):
 @pytest.mark.parametrize("marks", [[], [(1, 1)], [(1, 0), (2, 0)]])
 def test_without_both_kinds_of_labels(spark, marks):
     given = docs(spark, awkward())
-    model = toxicity.fit(given, labels(spark, marks, "toxic"), EVERYONE)
+    model = toxicity.fit(given, labels(spark, marks, "toxic"), everyone())
     assert all(r.score < 1e-9 for r in toxicity.score(given, model).collect())
-    trees = quality.fit(given, labels(spark, marks, "quality"), EVERYONE)
+    trees = quality.fit(given, labels(spark, marks, "quality"), everyone())
     assert all(r.score == 0.5 for r in quality.score(given, trees).collect())
 
 
@@ -145,7 +146,7 @@ def test_probabilities_after_a_word_sum_to_one(spark):
 
 
 def test_corner_tables(spark):
-    assert language_model.score(docs(spark, []), EVERYONE).collect() == []
+    assert language_model.score(docs(spark, []), everyone()).collect() == []
     nobody = language_model.score(stored(spark, docs(spark, awkward())), F.lit(None).cast("boolean")).collect()
     assert len(nobody) == len(awkward()) and all(math.isfinite(r.score) and r.train_tokens == 0 for r in nobody)
 
