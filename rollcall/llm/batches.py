@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import SparkSession
 
 PIECE_BYTES = 1 << 20
 #: What Spark hands to Python at once; its default is 64 MB, of which there are several copies in a worker.
-BATCH_BYTES = "16m"
+BATCH_BYTES = "4m"
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -21,6 +22,20 @@ def small_batches(spark: SparkSession) -> None:
 def bounded(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` has about ``limit`` bytes; a longer text is alone in its batch."""
     for batch in batches:
+        yield from _pieces(batch, column, limit)
+    _give_back()
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: the worker lives on and waits for other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def _pieces(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    if batch.num_rows:
         begin = 0
         ends = np.concatenate([[0], np.cumsum(lengths(batch.column(column)))])
         while begin < batch.num_rows:
