@@ -1,6 +1,7 @@
 """Times of the headline queries: one JSON line on standard output.
 
-Each query runs twice into a sink that discards the rows; the second time counts.
+Each query runs twice into a sink that discards the rows; the second time counts. The raw log that some of them
+read is written in the first one.
 """
 
 from __future__ import annotations

@@ -30,15 +30,17 @@ _DAY_US = 86_400_000_000
 
 
 @check("src1_raw_log", """
-SELECT CASE event_type WHEN 'view' THEN 'basewebsite' ELSE 'basead' END AS topic, us AS arrived,
-       event_id AS "offset", 1 AS has_value
-FROM ev WHERE event_type IN ('view', 'error')""")
+SELECT 'basewebsite' AS topic, arrived, "offset", CAST(siteid AS VARCHAR) AS id, sitename AS name, creator, dn FROM website_log
+UNION ALL SELECT 'basead', arrived, "offset", CAST(adid AS VARCHAR), adname, NULL, dn FROM ad_log""")
 def src1(spark, sf_dir):
     """Two of six topics; the topic filter prunes directories."""
     path = fresh_dir(spark, "raw-log")
     views.raw_log(spark, sf_dir).write.partitionBy("topic").parquet(path)
     log = read_raw_log(spark, ["basead", "basewebsite"], path=path, stream=False, arrival=True)
-    return log.select("topic", "arrived", "offset", F.col("value").isNotNull().cast("int").alias("has_value"))
+    field = lambda *names: F.coalesce(*[F.get_json_object("value", f"$.{n}") for n in names])
+    return log.select(
+        "topic", "arrived", "offset", field("siteid", "adid").alias("id"), field("sitename", "adname").alias("name"),
+        field("creator").alias("creator"), field("dn").alias("dn"))
 
 
 def _second_layer(spark: SparkSession, sf_dir: str) -> DataFrame:

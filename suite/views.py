@@ -157,10 +157,17 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_events.unionByName(from_orders).unionByName(junk)
 
 
+_logs: dict[tuple[str, str], str] = {}
+
+
 def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw log written out by topic and read again, as a job finds it."""
-    path = fresh_dir(spark, "raw-log")
-    raw_log(spark, sf_dir).write.partitionBy("topic").parquet(path)
+    """The raw log written out by topic, once for an application, and read again, as a job finds it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _logs:
+        path = fresh_dir(spark, "raw-log")
+        raw_log(spark, sf_dir).write.partitionBy("topic").parquet(path)
+        _logs[key] = path
+    path = _logs[key]
     return read_raw_log(spark, [*FACT_TOPICS, *DIMENSION_TOPICS], path=path, stream=False, arrival=True)
 
 
