@@ -27,6 +27,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from rollcall.session import fresh_dir
@@ -126,12 +127,13 @@ def prefix(n, percent: int):
     return n - -(-percent * n // 100) + 1
 
 
-def _listed(size: int, percent: int, cells: np.ndarray, light: int):
-    """For each row: its first shingles in order of frequency, and the subsets of light sets."""
+def _listed(size: int, percent: int, cells: np.ndarray, light: int, wanted: np.ndarray):
+    """For each wanted row: its first shingles in order of frequency, and the subsets of light sets."""
     sizes = range(-(-percent * (light + 1) // 100), light + 1)  # light sets that may link with heavy ones
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, "text"):
+        chosen = (b.filter(pa.array(wanted[b.column("bit").to_numpy()])) for b in batches)
+        for batch in bounded(chosen, "text"):
             text, value = shingles(batch.column("text"), size)
             order = np.lexsort((value, cells[(value % np.uint64(CELLS)).astype(np.int64)], text))
             text, value = text[order], value[order]
@@ -195,15 +197,22 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     wanted = bitmap(members, "row")
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Compressed, for they are shuffled twice."""
+        compressor = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            yield batch.filter(pa.array(wanted[batch.column("bit").to_numpy()])).select(["row", "text"])
+            some = batch.filter(pa.array(wanted[batch.column("bit").to_numpy()]))
+            texts = [compressor.compress(t.as_py().encode()) for t in some.column("text")]
+            yield pa.RecordBatch.from_arrays([some.column("row"), pa.array(texts, pa.binary())], names=["row", "text"])
+
+    def unpacked(texts: pa.Array) -> pa.Array:
+        return pa.array([zstandard.ZstdDecompressor().decompress(t.as_py()) for t in texts], pa.binary())
 
     def compare(table: pa.Table) -> pa.Table:
         name, found = table.column("a")[0].as_py(), [np.empty(0, np.int64)]
         rows = table.column("row").to_numpy()
-        _, own = shingles(table.column("text").take([int(np.flatnonzero(rows == name)[0])]).combine_chunks(), size)
+        _, own = shingles(unpacked(table.column("text").take([int(np.flatnonzero(rows == name)[0])]).combine_chunks()), size)
         for batch in bounded(iter(table.to_batches()), "text"):
-            text, value = shingles(batch.column("text"), size)
+            text, value = shingles(unpacked(batch.column("text")), size)
             sizes = np.bincount(text, minlength=batch.num_rows)
             common = np.bincount(text[np.isin(value, own)], minlength=batch.num_rows)
             rows = batch.column("row").to_numpy()
@@ -211,7 +220,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
         linked = np.concatenate(found)
         return pa.table({"a": np.full(len(linked), name), "b": linked})
 
-    some = texts.withColumn("bit", bit("row")).mapInArrow(needed, "row long, text string")
+    some = texts.withColumn("bit", bit("row")).mapInArrow(needed, "row long, text binary")
     return members.join(some, "row").groupBy("a", "part").applyInArrow(compare, "a long, b long")
 
 
@@ -236,10 +245,10 @@ def links(rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> tuple
     name = ["n", "name_a", "name_b"]
     sets = _stored(described.where("n > 0").groupBy(*name).agg(F.min("row").alias("set")), "distinct-sets")
     texts = rows.where("text IS NOT NULL").select("row", "text")
-    listed = texts.mapInArrow(
-        _listed(size, percent, order, light),
-        "row long, n long, first array<long>, subsets array<struct<few: int, many: int, key: long>>")
-    listed = _stored(listed.join(sets.select(F.col("set").alias("row")), "row", "left_semi"), "first-shingles")
+    # One row of each set. A copy that the bitmap lets through changes no class: it links to its like.
+    listed = _stored(texts.withColumn("bit", bit("row")).mapInArrow(
+        _listed(size, percent, order, light, bitmap(sets, "set")),
+        "row long, n long, first array<long>, subsets array<struct<few: int, many: int, key: long>>"), "first-shingles")
     posted = listed.select("row", "n", F.posexplode("first").alias("place", "shingle"))
     several = posted.groupBy("shingle").agg(F.count("*").alias("members")).where("members > 1").select("shingle")
     posted = _stored(posted.join(several, "shingle"), "postings")
