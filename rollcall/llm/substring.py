@@ -36,7 +36,7 @@ PER_BUCKET = 250_000
 #: Windows of a super-k-mer at most, so that a document of one repeated word is no single string.
 LONGEST = 2_048
 #: Text of the input that is packed together.
-PACKED_BYTES = 1 << 22
+PACKED_BYTES = 1 << 21
 NO_ID = 2 ** 63 - 1
 
 
