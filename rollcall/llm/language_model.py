@@ -2,35 +2,37 @@
 
 Every word (and the beginning of a text) is the context of a restaurant in which the words after it are seated at
 tables; all these restaurants share one parent, in which each of their tables is a customer, and the parent's base is
-even over the known words and one unknown. Seatings are sampled by Gibbs sweeps: the tables of each word in a restaurant
-are drawn again, given the tables of all others there. The predictive probabilities are averaged over the sweeps
-after the first ones; they are linear in the numbers of tables, so the mean numbers are kept.
+even over the known words and one unknown. Seatings are sampled by Gibbs sweeps over the whole corpus: the parent's
+customers are the tables of all restaurants, its tables are drawn given them, and then the tables of each word in a
+restaurant are drawn again, given the tables of all others there and the word's probability in the parent. The
+predictive probabilities are averaged over the sweeps after the first ones.
 
 The text is worked on in segments of some megabytes. Each segment sends the counts of its words to buckets of words,
-where they are summed over the corpus and the parent's customers are seated, and the counts of its pairs to buckets of
-contexts, where the restaurants are seated; both send back what the segment asked for, in its order. So a word
-or pair that stands everywhere reaches a bucket once for each segment. A context with more than ``hot`` tokens
-is split over buckets by the word that follows; its number of tables is summed afterwards. In a bucket the parent is
-represented by the bucket's own contexts, which are a random share of all. Discounts come from the counts of words
-and pairs seen once and twice. More than ``EXACT`` customers of one word are seated in blocks.
+where they are summed over the corpus, and the counts of its pairs to buckets of contexts, where the restaurants are
+seated; both send back what the segment asked for, in its order. So a word or pair that stands everywhere reaches a
+bucket once for each segment. A context with more than ``hot`` tokens is split over buckets by the word that follows;
+its number of tables is summed after each sweep. The parent is dealt out by words: in each sweep the buckets of
+contexts send it the numbers of tables of their words and get back the words' customers and tables there. Discounts
+come from the counts of words and pairs seen once and twice. More than ``EXACT`` customers of one word are seated in
+blocks.
 
 Tokens are ASCII lower-cased words between ASCII white space, then one end of text. NULL and empty texts have the end only.
 Repeated rows count and are scored each for itself. Rows for which ``train`` is not true, NULL included, are scored but not
-learned from. Words are told apart by 64-bit hashes, pairs in a bucket by 32 bits of each. The input has to give the
-same rows in the same order each time it is read, as a stored table does.
+learned from. Words are told apart by 64-bit hashes. The input has to give the same rows in the same order each time it
+is read, as a stored table does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollcall.session import fresh_dir
 
@@ -42,6 +44,8 @@ HOT = 1_000_000
 STRENGTH, DISCOUNT = 1.0, 0.75
 BURN_IN, SAMPLES = 2, 4
 EXACT = 16
+#: Buckets of contexts for one bucket of the parent.
+PER_PARENT = 8
 END, BEGIN = np.uint64(1), np.uint64(2)
 ADD = 0.1
 
@@ -123,12 +127,11 @@ def _word_counts(buckets: int):
         for number, _, segment in _segments(batches):
             order, bucket = segment.word_order(buckets)
             count = np.bincount(segment.token, segment.learned, len(segment.words))[order].astype("<i4")
-            tables = np.bincount(segment.word, segment.pair_counts > 0, len(segment.words))[order].astype("<i4")
             words = segment.words[order].astype("<u8")
             own, cut = _slices(bucket)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(own, pa.int32()), pa.array(np.full(len(own), number), pa.int64()),
-                 pa.array([packed(words[a:b], count[a:b], tables[a:b]) for a, b in zip(cut, cut[1:])], pa.binary())],
+                 pa.array([packed(words[a:b], count[a:b]) for a, b in zip(cut, cut[1:])], pa.binary())],
                 names=["bucket", "segment", "data"])
 
     return run
@@ -150,41 +153,25 @@ def seated(random: np.random.Generator, count: np.ndarray, pull: np.ndarray, dis
     return np.minimum(tables, count)
 
 
-STATS = "v long, n long, customers long, tables double, once long, twice long, hot array<long>, hot_n array<long>, hot_tables array<double>"
-REPLY = f"bucket int, segment long, data binary, {STATS}"
+WORDS = "bucket int, segment long, data binary, v long, n long, hot array<long>, hot_n array<long>"
 
 
-def _reply(bucket: int, segments: list[int], data: list[bytes], stats: dict) -> pa.Table:
-    """A row for each segment, and one of figures of the bucket."""
-    schema = pa.schema([("bucket", pa.int32()), ("segment", pa.int64()), ("data", pa.binary()), ("v", pa.int64()),
-                        ("n", pa.int64()), ("customers", pa.int64()), ("tables", pa.float64()), ("once", pa.int64()),
-                        ("twice", pa.int64()), ("hot", pa.list_(pa.int64())), ("hot_n", pa.list_(pa.int64())),
-                        ("hot_tables", pa.list_(pa.float64()))])
-    rows = [{"bucket": bucket, "segment": s, "data": d} for s, d in zip(segments, data)]
-    return pa.Table.from_pylist([*rows, {"bucket": bucket, **stats}], schema)
+def _sum_words(hot_size: int):
+    """The counts that each segment asked for, and a row of figures of the bucket."""
 
-
-def _seat_words(buckets: int, hot_size: int, seed: int):
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        parts = [unpacked(d, "<u8", "<i4", "<i4") for d in table.column("data").to_pylist()]
+        parts = [unpacked(d, "<u8", "<i4") for d in table.column("data").to_pylist()]
         sizes = np.cumsum([len(p[0]) for p in parts])[:-1]
         own, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        count, customers = (np.bincount(which, np.concatenate([p[i] for p in parts]), len(own)).astype(np.int64) for i in (1, 2))
-        random = np.random.Generator(np.random.PCG64([seed, 0, bucket]))
-        known = int((count > 0).sum())
-        even, tables, mean = 1 / (buckets * known + 1), np.minimum(customers, 1).astype(float), np.zeros(len(own))
-        for sweep in range(BURN_IN + SAMPLES):
-            pull = np.full(len(own), (STRENGTH + DISCOUNT * tables.sum() * buckets) * even)
-            tables = seated(random, customers, pull, DISCOUNT)
-            mean += tables * (sweep >= BURN_IN) / SAMPLES
+        count = np.bincount(which, np.concatenate([p[1] for p in parts]), len(own)).astype(np.int64)
         hot = np.flatnonzero(count > hot_size)
-        replies = [packed(count[w].astype("<i8"), customers[w].astype("<i8"), mean[w].astype("<f4"))
-                   for w in np.split(which, sizes)]
-        return _reply(bucket, table.column("segment").to_pylist(), replies, {
-            "v": known, "n": int(count.sum()), "customers": int(customers.sum()), "tables": float(mean.sum()),
-            "once": int((customers == 1).sum()), "twice": int((customers == 2).sum()),
-            "hot": own[hot].view(np.int64).tolist(), "hot_n": count[hot].tolist()})
+        replies = [packed(count[w].astype("<i8")) for w in np.split(which, sizes)]
+        rows = [{"bucket": bucket, "segment": s, "data": d} for s, d in zip(table.column("segment").to_pylist(), replies)]
+        figures = {"v": int((count > 0).sum()), "n": int(count.sum()), "hot": own[hot].view(np.int64).tolist(), "hot_n": count[hot].tolist()}
+        return pa.Table.from_pylist([*rows, {"bucket": bucket, **figures}], pa.schema(
+            [("bucket", pa.int32()), ("segment", pa.int64()), ("data", pa.binary()), ("v", pa.int64()), ("n", pa.int64()),
+             ("hot", pa.list_(pa.int64())), ("hot_n", pa.list_(pa.int64()))]))
 
     return run
 
@@ -193,13 +180,13 @@ def _pair_counts(buckets: int, hot: np.ndarray, parts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, _, segment in _segments(batches):
             order, bucket = segment.pair_order(buckets, hot, parts)
-            context, word = segment.context[order], segment.words[segment.word[order]].astype("<u4")
+            context, word = segment.context[order], segment.words[segment.word[order]].astype("<u8")
             count = segment.pair_counts[order].astype("<i4")
             own, cut = _slices(bucket)
             data = []
             for a, b in zip(cut, cut[1:]):
                 names, runs = _slices(context[a:b])
-                data.append(packed(segment.contexts[names].astype("<u4"), np.diff(runs).astype("<i4"), word[a:b], count[a:b]))
+                data.append(packed(segment.contexts[names].astype("<u8"), np.diff(runs).astype("<i4"), word[a:b], count[a:b]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(own, pa.int32()), pa.array(np.full(len(own), number), pa.int64()), pa.array(data, pa.binary())],
                 names=["bucket", "segment", "data"])
@@ -207,64 +194,177 @@ def _pair_counts(buckets: int, hot: np.ndarray, parts: np.ndarray):
     return run
 
 
-def _seat_pairs(hot: np.ndarray, parts: np.ndarray, seed: int):
+#: What buckets of contexts and of the parent keep and send each other. ``kind`` is one of those below.
+SENT = "kind int, bucket int, parent int, segment long, sweep int, data binary, once long, twice long, customers long, tables long, hot array<long>, hot_tables array<long>"
+SENT_SCHEMA = pa.schema([
+    ("kind", pa.int32()), ("bucket", pa.int32()), ("parent", pa.int32()), ("segment", pa.int64()), ("sweep", pa.int32()),
+    ("data", pa.binary()), ("once", pa.int64()), ("twice", pa.int64()), ("customers", pa.int64()), ("tables", pa.int64()),
+    ("hot", pa.list_(pa.int64())), ("hot_tables", pa.list_(pa.int64()))])
+#: Pairs of a bucket; what a segment asked it for; its words in a bucket of the parent, and where these stand there; the
+#: bucket's tables for each pair, and for each of these words; customers and tables of these words in the parent; figures.
+PAIRS, ASKED, NAMES, PLACES, TABLES, SUMS, ANSWER, FIGURES = range(8)
+
+
+def _sent(rows: list[dict]) -> pa.Table:
+    return pa.Table.from_pylist(rows, SENT_SCHEMA)
+
+
+def steps(places: np.ndarray) -> np.ndarray:
+    """Places as differences, which are small and pack well."""
+    return np.diff(places, prepend=0).astype("<i4")
+
+
+class Pairs:
+    """The restaurants of one bucket: count, context and word of each pair; words are in order of the parent's buckets."""
+
+    def __init__(self, data: bytes) -> None:
+        self.contexts, runs, word, self.count, self.edges = unpacked(data, "<u8", "<i4", "<i4", "<i4", "<i8")
+        self.context, self.word = np.repeat(np.arange(len(self.contexts)), runs), word
+
+    def totals(self, values: np.ndarray, split: dict[int, int]) -> np.ndarray:
+        """Sums for each context; ``split`` are those of contexts that lie in several buckets."""
+        total = np.bincount(self.context, values, len(self.contexts))
+        for name, whole in split.items():
+            total[self.contexts == np.uint64(name)] = whole
+        return total
+
+    def sent(self, bucket: int, sweep: int, tables: np.ndarray, hot: np.ndarray) -> list[dict]:
+        """The tables, their sums for the parent and those of split contexts."""
+        sums = np.bincount(self.word, tables, int(self.edges[-1])).astype("<i4")
+        here = np.flatnonzero(np.isin(self.contexts, hot))
+        local = np.bincount(self.context, tables, len(self.contexts)).astype(np.int64)
+        return [{"kind": TABLES, "bucket": bucket, "sweep": sweep, "data": packed(tables.astype("<i4"))},
+                {"kind": FIGURES, "bucket": bucket, "hot": self.contexts[here].view(np.int64).tolist(), "hot_tables": local[here].tolist()},
+                *({"kind": SUMS, "bucket": bucket, "parent": p, "data": packed(sums[a:b])}
+                  for p, (a, b) in enumerate(zip(self.edges, self.edges[1:])) if b > a)]
+
+
+def _sum_pairs(parents: int, hot: np.ndarray):
+    """Pairs over the corpus, each with one table if it was learned."""
+
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        blobs = [unpacked(d, "<u4", "<i4", "<u4", "<i4") for d in table.column("data").to_pylist()]
-        keys = [np.repeat(c.astype(np.uint64), n) << np.uint64(32) | w for c, n, w, _ in blobs]
-        own, which = np.unique(np.concatenate(keys), return_inverse=True)
-        count = np.bincount(which, np.concatenate([b[3] for b in blobs]), len(own)).astype(np.int64)
-        contexts, context = np.unique(own >> np.uint64(32), return_inverse=True)
-        _, word = np.unique(own & np.uint64(0xFFFFFFFF), return_inverse=True)
-        parent = np.bincount(word, count > 0) / max(1, int((count > 0).sum()))
-        share = np.ones(len(contexts))  # of a split context only this part is here
-        for name, pieces in zip(hot.astype("<u4"), parts):
-            share[contexts == name] = pieces
-        random = np.random.Generator(np.random.PCG64([seed, 1, bucket]))
-        tables, mean = np.minimum(count, 1).astype(float), np.zeros(len(own))
-        for sweep in range(BURN_IN + SAMPLES):
-            total = np.bincount(context, tables, len(contexts)) * share
-            tables = seated(random, count, (STRENGTH + DISCOUNT * total[context]) * parent[word], DISCOUNT)
-            mean += tables * (sweep >= BURN_IN) / SAMPLES
-        total = np.bincount(context, mean, len(contexts))
-        replies, at = [], 0
-        for c, n, w, _ in blobs:
-            mine = which[at: at + len(w)]
-            at += len(w)
-            replies.append(packed(count[mine].astype("<i4"), mean[mine].astype("<f4"),
-                                  total[np.searchsorted(contexts, c)].astype("<f4")))
-        here = np.isin(hot.astype("<u4"), contexts.astype("<u4"))
-        return _reply(bucket, table.column("segment").to_pylist(), replies, {
-            "once": int((count == 1).sum()), "twice": int((count == 2).sum()), "hot": hot[here].view(np.int64).tolist(),
-            "hot_tables": total[np.searchsorted(contexts, hot[here].astype("<u4"))].tolist()})
+        blobs = [unpacked(d, "<u8", "<i4", "<u8", "<i4") for d in table.column("data").to_pylist()]
+        contexts, context = np.unique(np.concatenate([np.repeat(c, n) for c, n, _, _ in blobs]), return_inverse=True)
+        words, word = np.unique(np.concatenate([b[2] for b in blobs]), return_inverse=True)
+        own, which = np.unique(context.astype(np.int64) * len(words) + word, return_inverse=True)
+        count = np.bincount(which, np.concatenate([b[3] for b in blobs]), len(own)).astype("<i4")
+        parent = (mixed(words) % np.uint64(parents)).astype(np.int64)
+        order = np.argsort(parent, kind="stable")
+        place = np.empty(len(words), "<i4")
+        place[order] = np.arange(len(words))
+        edges = np.searchsorted(parent[order], np.arange(parents + 1)).astype("<i8")
+        state = packed(contexts.astype("<u8"), np.bincount(own // len(words), minlength=len(contexts)).astype("<i4"),
+                       place[own % len(words)], count, edges)
+        asked = np.split(which, np.cumsum([len(b[2]) for b in blobs])[:-1])
+        named = words[order].astype("<u8")
+        return _sent([
+            {"kind": PAIRS, "bucket": bucket, "data": state, "once": int((count == 1).sum()), "twice": int((count == 2).sum())},
+            *({"kind": ASKED, "bucket": bucket, "segment": s, "data": packed(steps(w))}
+              for s, w in zip(table.column("segment").to_pylist(), asked)),
+            *({"kind": NAMES, "bucket": bucket, "parent": p, "data": packed(named[a:b])}
+              for p, (a, b) in enumerate(zip(edges, edges[1:])) if b > a),
+            *Pairs(state).sent(bucket, 0, np.minimum(count, 1), hot)])
+
+    return run
+
+
+def _place_words(table: pa.Table) -> pa.Table:
+    """Where the words of each bucket of contexts stand among those of a bucket of the parent; how many have 1 or 2 customers."""
+    rows = table.to_pylist()
+    names = {r["bucket"]: unpacked(r["data"], "<u8")[0] for r in rows if r["kind"] == NAMES}
+    sums = {r["bucket"]: unpacked(r["data"], "<i4")[0] for r in rows if r["kind"] == SUMS}
+    own, which = np.unique(np.concatenate(list(names.values())), return_inverse=True)
+    customers = np.bincount(which, np.concatenate([sums[b] for b in names]), len(own))
+    parts = np.split(which, np.cumsum([len(w) for w in names.values()])[:-1])
+    parent = rows[0]["parent"]
+    return _sent([*({"kind": PLACES, "bucket": b, "parent": parent, "data": packed(steps(w))} for b, w in zip(names, parts)),
+                  {"kind": FIGURES, "parent": parent, "once": int((customers == 1).sum()), "twice": int((customers == 2).sum())}])
+
+
+def _seat_parent(known: int, before: int, sweep: int, seed: int):
+    """The parent seated once more: its customers are the tables of all restaurants; ``before`` tables stood there."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        parent = rows[0]["parent"]
+        places = {r["bucket"]: np.cumsum(unpacked(r["data"], "<i4")[0]) for r in rows if r["kind"] == PLACES}
+        sums = {r["bucket"]: unpacked(r["data"], "<i4")[0] for r in rows if r["kind"] == SUMS}
+        order = sorted(places)
+        customers = np.bincount(np.concatenate([places[b] for b in order]), np.concatenate([sums[b] for b in order])).astype(np.int64)
+        random = np.random.Generator(np.random.PCG64([seed, 0, parent, sweep]))
+        pull = np.full(len(customers), (STRENGTH + DISCOUNT * before) / (known + 1))
+        tables = seated(random, customers, pull, DISCOUNT)
+        return _sent([
+            *({"kind": ANSWER, "bucket": b, "parent": parent, "sweep": sweep,
+               "data": packed(customers[places[b]].astype("<i8"), tables[places[b]].astype("<i8"))} for b in order),
+            {"kind": FIGURES, "parent": parent, "customers": int(customers.sum()), "tables": int(tables.sum())}])
 
     return run
 
 
 @dataclass(frozen=True)
-class Figures:
-    """Sums over the corpus."""
+class Sweep:
+    """Sums over the corpus between two sweeps: customers and tables of the parent, tables of split contexts."""
 
-    known: int
-    tokens: int
     customers: int
-    tables: float
-    parent_discount: float
-    discount: float
-    hot: np.ndarray
-    hot_tables: np.ndarray
+    tables: int
+    split: dict[int, int]
+
+    def parent(self, answers: list[dict], known: int, discount: float) -> np.ndarray:
+        """Probability in the parent of each word of a bucket, from the answers in order of the parent's buckets."""
+        customers, tables = _joined(sorted(answers, key=lambda r: r["parent"]), "<i8", "<i8")
+        return (customers - discount * tables + (STRENGTH + discount * self.tables) / (known + 1)) / (STRENGTH + self.customers)
+
+
+def _seat_pairs(known: int, state: Sweep, sweep: int, hot: np.ndarray, seed: int):
+    """The restaurants seated once more under the parent's probabilities."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        bucket = rows[0]["bucket"]
+        pairs, tables = (next(r["data"] for r in rows if r["kind"] == k) for k in (PAIRS, TABLES))
+        pairs, tables = Pairs(pairs), unpacked(tables, "<i4")[0]
+        parent = state.parent([r for r in rows if r["kind"] == ANSWER], known, DISCOUNT)
+        total = pairs.totals(tables, state.split)
+        random = np.random.Generator(np.random.PCG64([seed, 1, bucket, sweep]))
+        pull = (STRENGTH + DISCOUNT * total[pairs.context]) * parent[pairs.word]
+        return _sent(pairs.sent(bucket, sweep + 1, seated(random, pairs.count, pull, DISCOUNT), hot))
+
+    return run
+
+
+def _chances(known: int, states: dict[int, Sweep], visits: dict[int, int], discount: float, parent_discount: float):
+    """For each segment the mean predictive probability of the pairs that it asked for."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        pairs = Pairs(next(r["data"] for r in rows if r["kind"] == PAIRS))
+        visited, mean = pairs.totals(pairs.count, visits)[pairs.context], np.zeros(len(pairs.count))
+        for sweep, state in states.items():
+            tables = unpacked(next(r["data"] for r in rows if r["kind"] == TABLES and r["sweep"] == sweep), "<i4")[0]
+            parent = state.parent([r for r in rows if r["kind"] == ANSWER and r["sweep"] == sweep], known, parent_discount)
+            total = pairs.totals(tables, state.split)[pairs.context]
+            chance = np.maximum(pairs.count - discount * tables, 0) + (STRENGTH + discount * total) * parent[pairs.word]
+            mean += chance / (STRENGTH + visited) / len(states)
+        asked = [r for r in rows if r["kind"] == ASKED]
+        return pa.table({
+            "bucket": pa.array([r["bucket"] for r in asked], pa.int32()), "segment": pa.array([r["segment"] for r in asked], pa.int64()),
+            "data": pa.array([packed(mean[np.cumsum(unpacked(r["data"], "<i4")[0])].astype("<f4")) for r in asked], pa.binary())})
+
+    return run
 
 
 def _discount(once: int, twice: int) -> float:
     return float(np.clip(once / max(1, once + 2 * twice), 0.1, 0.98))
 
 
-def _scored(buckets: int, figures: Figures, hot: np.ndarray, parts: np.ndarray):
+def _scored(buckets: int, known: int, tokens: int, hot: np.ndarray, parts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 segment = Segment(*_payload(row["data"]))
-                yield _scores(segment, row, buckets, figures, hot, parts, batch.schema.field("ids").type)
+                yield _scores(segment, row, buckets, known, tokens, hot, parts, batch.schema.field("ids").type)
 
     return run
 
@@ -274,35 +374,21 @@ def _payload(data: bytes) -> list[np.ndarray]:
     return [words[token], counts, train]
 
 
-def _replies(rows: list[dict], *kinds: str) -> list[np.ndarray]:
-    parts = [unpacked(r["data"], *kinds) for r in sorted(rows, key=lambda r: r["bucket"])]
-    return [np.concatenate(p) for p in zip(*parts)]
-
-
-def _scores(segment: Segment, row: dict, buckets: int, f: Figures, hot: np.ndarray, parts: np.ndarray, ids) -> pa.RecordBatch:
-    order, _ = segment.word_order(buckets)
-    count, customers, tables = (np.empty(len(order)) for _ in range(3))
-    count[order], customers[order], tables[order] = _replies(row["words"], "<i8", "<i8", "<f4")
-    parent = (customers - f.parent_discount * tables + (STRENGTH + f.parent_discount * f.tables) / (f.known + 1)) / (STRENGTH + f.customers)
-    order, bucket = segment.pair_order(buckets, hot, parts)
-    seen, mean, _ = pair_replies = _replies(row["pairs"], "<i4", "<f4", "<f4")
-    context = segment.context[order]
-    new = np.ones(len(context), bool)
-    new[1:] = (context[1:] != context[:-1]) | (bucket[1:] != bucket[:-1])
-    total = pair_replies[2][np.cumsum(new) - 1]
-    at = np.searchsorted(f.hot, segment.contexts[context])
-    is_hot = (at < len(f.hot)) & (np.append(f.hot, 0)[at] == segment.contexts[context])
-    total = np.where(is_hot, np.append(f.hot_tables, 0)[at], total)
-    ends = count[np.searchsorted(segment.words, END)]
-    visits = np.append(count, ends)[context]
-    chance = np.empty(len(order))
-    chance[order] = (np.maximum(seen - f.discount * mean, 0) + (STRENGTH + f.discount * total) * parent[segment.word[order]]) / (STRENGTH + visits)
+def _joined(rows: list[dict], *kinds: str) -> list[np.ndarray]:
+    return [np.concatenate(p) for p in zip(*(unpacked(r["data"], *kinds) for r in rows))]
+
+
+def _scores(segment: Segment, row: dict, buckets: int, known: int, tokens: int, hot: np.ndarray, parts: np.ndarray, ids) -> pa.RecordBatch:
+    replies = {name: sorted(row[name], key=lambda r: r["bucket"]) for name in ("words", "pairs")}
+    count, chance = np.empty(len(segment.words)), np.empty(len(segment.context))
+    count[segment.word_order(buckets)[0]] = _joined(replies["words"], "<i8")[0]
+    chance[segment.pair_order(buckets, hot, parts)[0]] = _joined(replies["pairs"], "<f4")[0]
     rows = len(segment.counts)
-    base = np.log10((count + ADD) / (f.tokens + ADD * (f.known + 1)))
+    base = np.log10((count + ADD) / (tokens + ADD * (known + 1)))
     by_doc = lambda values: np.bincount(segment.doc, values, rows)
     return pa.RecordBatch.from_arrays([
         pa.array(row["ids"], ids.value_type), pa.array(segment.counts), pa.array(by_doc(count[segment.token] > 0).astype(np.int64)),
-        pa.array(np.full(rows, f.tokens), pa.int64()), pa.array(by_doc(base[segment.token])),
+        pa.array(np.full(rows, tokens), pa.int64()), pa.array(by_doc(base[segment.token])),
         pa.array(by_doc(np.log10(chance)[segment.pair])),
     ], names=["id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
@@ -326,6 +412,43 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _free_shuffles(spark: SparkSession) -> None:
+    """Spark deletes the shuffles of past sweeps once the driver's heap has let go of them."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def _of(sent: DataFrame, *kinds: int) -> DataFrame:
+    return sent.where(F.col("kind").isin(*kinds)).select("kind", "bucket", "parent", "segment", "sweep", "data")
+
+
+def _split_tables(sent: DataFrame) -> dict[int, int]:
+    found = sent.where(F.col("kind") == FIGURES).select(F.explode(F.arrays_zip("hot", "hot_tables")).alias("x")).groupBy("x.hot").agg(
+        F.sum("x.hot_tables").alias("t")).collect()
+    return {int(r.hot) % 2 ** 64: r.t for r in found}
+
+
+def _chance_replies(counted: DataFrame, parents: int, known: int, visits: dict[int, int], hot: np.ndarray, seed: int) -> DataFrame:
+    """bucket, segment, data: the mean predictive probabilities of the pairs of each segment, after all sweeps."""
+    pairs = _stored(counted.groupBy("bucket").applyInArrow(_sum_pairs(parents, hot), SENT), "pairs")
+    places = _stored(_of(pairs, NAMES, SUMS).groupBy("parent").applyInArrow(_place_words, SENT), "places")
+    discount, parent_discount = (_discount(*(x or 0 for x in df.agg(F.sum("once"), F.sum("twice")).first())) for df in (pairs, places))
+    seatings, answers, states, before = [pairs], [], {}, known
+    for sweep in range(BURN_IN + SAMPLES + 1):
+        _free_shuffles(counted.sparkSession)
+        answers.append(_stored(_of(places, PLACES).union(_of(seatings[-1], SUMS)).groupBy("parent").applyInArrow(
+            _seat_parent(known, before, sweep, seed), SENT), "parent"))
+        customers, before = (x or 0 for x in answers[-1].agg(F.sum("customers"), F.sum("tables")).first())
+        states[sweep] = Sweep(customers, before, _split_tables(seatings[-1]) if len(hot) else {})
+        if sweep < BURN_IN + SAMPLES:
+            seatings.append(_stored(_of(pairs, PAIRS).union(_of(seatings[-1], TABLES)).union(_of(answers[-1], ANSWER)).groupBy(
+                "bucket").applyInArrow(_seat_pairs(known, states[sweep], sweep, hot, seed), SENT), "seated"))
+    kept = range(BURN_IN + 1, BURN_IN + SAMPLES + 1)
+    gathered = reduce(DataFrame.union, [_of(pairs, PAIRS, ASKED), *(_of(seatings[i], TABLES) for i in kept),
+                                        *(_of(answers[i], ANSWER) for i in kept)])
+    return _stored(gathered.groupBy("bucket").applyInArrow(
+        _chances(known, {i: states[i] for i in kept}, visits, discount, parent_discount), "bucket int, segment long, data binary"), "chances")
+
+
 def score(docs: DataFrame, train: Column, *, id_column: str = "doc_id", text_column: str = "text", hot: int = HOT,
           bucket_bytes: int = SEGMENT_BYTES, seed: int = 1) -> DataFrame:
     """id, n_tokens, n_known, train_tokens, base_score, score of each row; ``train`` tells the rows to learn from.
@@ -339,25 +462,17 @@ def score(docs: DataFrame, train: Column, *, id_column: str = "doc_id", text_col
     buckets = max(1, -(-size // bucket_bytes))
     sent = "bucket int, segment long, data binary"
     words = _stored(rows.mapInArrow(_word_counts(buckets), sent).groupBy("bucket").applyInArrow(
-        _seat_words(buckets, hot, seed), REPLY), "words")
+        _sum_words(hot), WORDS), "words")
     stats = words.where("segment IS NULL")
-    v, n, customers, tables, once, twice = (x or 0 for x in stats.agg(*[
-        F.sum(c) for c in ("v", "n", "customers", "tables", "once", "twice")]).first())
+    v, n = (x or 0 for x in stats.agg(F.sum("v"), F.sum("n")).first())
     known = {int(h) % 2 ** 64: c for r in stats.where(F.size("hot") > 0).select("hot", "hot_n").collect() for h, c in zip(*r)}
     if int(END) in known:
         known[int(BEGIN)] = known[int(END)]
     names = np.array(sorted(known), np.uint64)
     parts = np.array([-(-known[int(h)] // hot) for h in names], np.uint64)
 
-    pairs = _stored(rows.mapInArrow(_pair_counts(buckets, names, parts), sent).groupBy("bucket").applyInArrow(
-        _seat_pairs(names, parts, seed), REPLY), "pairs")
-    stats = pairs.where("segment IS NULL")
-    pair_once, pair_twice = (x or 0 for x in stats.agg(F.sum("once"), F.sum("twice")).first())
-    split = stats.select(F.explode(F.arrays_zip("hot", "hot_tables")).alias("x")).groupBy("x.hot").agg(
-        F.sum("x.hot_tables").alias("t")).collect()
-    totals = {int(r.hot) % 2 ** 64: r.t for r in split}
-    figures = Figures(v, n, customers, float(tables), _discount(once, twice), _discount(pair_once, pair_twice),
-                      names, np.array([totals.get(int(h), 0.0) for h in names]))
+    counted = rows.mapInArrow(_pair_counts(buckets, names, parts), sent)
+    pairs = _chance_replies(counted, -(-buckets // PER_PARENT), v, known, names, seed)
 
     def gathered(replies: DataFrame, name: str) -> DataFrame:
         return replies.where("segment IS NOT NULL").groupBy("segment").agg(
@@ -366,5 +481,5 @@ def score(docs: DataFrame, train: Column, *, id_column: str = "doc_id", text_col
     bodies = rows.mapInArrow(_bodies, f"segment long, ids array<{kind}>, data binary")
     joined = bodies.join(gathered(words, "words"), "segment").join(gathered(pairs, "pairs"), "segment")
     return joined.mapInArrow(
-        _scored(buckets, figures, names, parts),
+        _scored(buckets, v, n, names, parts),
         f"id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")

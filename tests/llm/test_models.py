@@ -133,6 +133,17 @@ def test_language_model(spark, hot):
     assert sorted(map(repr, again)) == sorted(map(repr, found))
 
 
+def test_language_model_has_one_parent_over_the_corpus(spark):
+    """A pair is one customer of the parent in however many segments, and the parent is not that of a bucket."""
+    given = docs(spark, texts_for_model(200))
+    together, apart = (stored(spark, given.repartition(n)) for n in (1, 6))
+    scores = lambda df, size: {r.id: r.score for r in language_model.score(df, fold("doc_id", 10) != 0, bucket_bytes=size).collect()}
+    whole = scores(together, 1 << 22)
+    assert scores(apart, 1 << 22) == pytest.approx(whole, abs=1e-6)
+    cut = scores(apart, 2_000)
+    assert max(abs(cut[i] - whole[i]) / (1 + abs(whole[i])) for i in whole) < 0.03
+
+
 def test_probabilities_after_a_word_sum_to_one(spark):
     """One word texts: all words that can begin a text, and one unknown for all others."""
     rows = [(i, f"w{i % 7}") for i in range(60)]
