@@ -7,7 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from rollcall.session import fresh_dir
 
 PIECE_BYTES = 1 << 20
 #: What Spark hands to Python at once; its default is 64 MB, of which there are several copies in a worker.
@@ -19,6 +21,16 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def numbered(df: DataFrame, label: str) -> DataFrame:
+    """``df`` with a number of each row, ``row``, from the shared folder.
+
+    How Spark splits files may change from job to job, so numbers that are to be met again are drawn once and stored.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def bounded(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` has about ``limit`` bytes; a longer text is alone in its batch."""
     for batch in batches:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from rollcall.session import fresh_dir
 
-from .batches import bounded, small_batches
+from .batches import bounded, numbered, small_batches
 
 CHUNK_CHARS = 32_768
 OVERLAP = 256
@@ -116,7 +116,7 @@ def encode(
 ) -> DataFrame:
     """row, id, part, parts, ids: the ids of each piece of each text, as little-endian unsigned 32-bit integers.
 
-    ``row`` tells input rows apart, ``part`` orders the pieces of a long text; shorter texts have part 0 of 1.
+    ``row`` tells input rows apart (those of long texts are negative), ``part`` orders the pieces of a long text; shorter texts have part 0 of 1.
     """
     return reduce(DataFrame.unionByName, _encoded(docs, ranks_path, pattern, id_column, text_column, chunk_chars, overlap))
 
@@ -130,7 +130,8 @@ def _encoded(docs: DataFrame, ranks_path: str, pattern: str, id_column: str, tex
     kind = _kind(rows, "id")
     long = F.coalesce(F.length("text"), F.lit(0)) > chunk_chars
     short = rows.where(~long).selectExpr("row", "id", "0 AS part", "1 AS parts", "text")
-    pieces = long_pieces(rows.where(long), kind, pattern, chunk_chars, overlap)
+    long_rows = numbered(rows.where(long).drop("row"), "long-texts").withColumn("row", -1 - F.col("row")).select("row", "id", "text")
+    pieces = long_pieces(long_rows, kind, pattern, chunk_chars, overlap)
     return [side.mapInArrow(_encode(ranks_path, pattern), f"row long, id {kind}, part int, parts int, ids binary")
             for side in (short, pieces)]
 

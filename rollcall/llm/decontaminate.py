@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollcall.session import fresh_dir
 
-from .batches import bounded, raw, small_batches
+from .batches import bounded, numbered, raw, small_batches
 from .words import LETTERS_DIGITS, LOWER, Hasher, of_text
 
 WINDOW = 10
@@ -55,10 +55,11 @@ def item_words(items: DataFrame, id_column: str, text_column: str) -> DataFrame:
         "octet_length(words) > 0")
 
 
-def index(docs: DataFrame, terms: np.ndarray | None, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def index(docs: DataFrame, terms: np.ndarray | None, *, id_column: str = "doc_id", text_column: str = "text",
+          row_column: str | None = None) -> DataFrame:
     """The stored index: segment, rows, ids, counts (words of each document), terms, ends, gaps (of positions).
 
-    ``terms`` are the sorted terms to keep postings of; None keeps all.
+    ``terms`` are the sorted terms to keep postings of; None keeps all. Without ``row_column`` rows are numbered here.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +86,8 @@ def index(docs: DataFrame, terms: np.ndarray | None, *, id_column: str = "doc_id
                     np.cumsum(sizes[sizes > 0]).astype("<i8"), gaps)),
             ], names=["rows", "ids", "counts", "terms", "ends", "gaps"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    number = F.col(row_column) if row_column else F.monotonically_increasing_id()
+    rows = docs.select(number.alias("row"), F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     path = fresh_dir(docs.sparkSession, "postings")
     rows.mapInArrow(run, f"rows array<bigint>, ids array<{kind}>, counts binary, terms binary, ends binary, gaps binary").withColumn(
@@ -181,11 +183,11 @@ def _hits(name: int, segment: Segment, hit: np.ndarray, pairs: np.ndarray, ids:
 def matches(
     docs: DataFrame, items: DataFrame, *, window: int = WINDOW, slop: int = 0, id_column: str = "doc_id",
     text_column: str = "text", item_column: str = "item_id", item_text: str = "text",
-    block_words: int = BLOCK_WORDS, vocabulary: int = VOCABULARY,
+    block_words: int = BLOCK_WORDS, vocabulary: int = VOCABULARY, row_column: str | None = None,
 ) -> DataFrame:
     """row, id, n_words, n_hit, spans (of hit words), items (with a window in the document) for each document.
 
-    ``row`` is the document's monotonically_increasing_id().
+    ``row`` is the document's ``row_column``, or a number that it gets in the stored index.
     """
     small_batches(docs.sparkSession)
     path = fresh_dir(docs.sparkSession, "benchmark-words")
@@ -193,7 +195,7 @@ def matches(
     wanted = docs.sparkSession.read.parquet(path)
     total = wanted.agg(F.coalesce(F.sum(F.octet_length("words")) / 8, F.lit(0)).cast("long")).first()[0]
     terms = _vocabulary(wanted, vocabulary)
-    postings = index(docs, terms, id_column=id_column, text_column=text_column)
+    postings = index(docs, terms, id_column=id_column, text_column=text_column, row_column=row_column)
     kind = wanted.schema["item"].dataType.simpleString()
     blocks = max(1, -(-total // block_words))
     found = []
@@ -245,9 +247,10 @@ def _documents(postings: DataFrame) -> DataFrame:
         run, f"segment long, at int, row long, id {kind}, n_words long")
 
 
-def without_matches(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` in which no item has a window. ``docs`` has to give its rows in the same order each time."""
-    hit = matches(docs, items, **options).where("n_hit > 0").select("row")
-    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).select(
-        F.monotonically_increasing_id().alias("row"), "doc")
+def without_matches(docs: DataFrame, items: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` in which no item has a window."""
+    given = numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "rows")
+    doc = F.col("doc").getField
+    texts = given.select("row", doc(id_column).alias("id"), doc(text_column).alias("text"))
+    hit = matches(texts, items, id_column="id", text_column="text", row_column="row", **options).where("n_hit > 0").select("row")
     return given.join(hit, "row", "left_anti").select("doc.*")

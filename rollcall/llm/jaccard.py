@@ -14,8 +14,7 @@ the whole texts, and classes are the connected components of links.
 ASCII letters are folded to lower case, words are runs of anything but ASCII white space, and shingles are 64-bit hashes.
 A text with fewer words than a shingle has its whole sequence as its one shingle; NULL, empty and blank texts have
 none and are a class of their own each. Repeated rows are linked to each other. A row with a NULL id has a place in
-its class, which takes the smallest id that is not NULL. The input has to give the same rows in the same order each
-time it is read, as a stored table does.
+its class, which takes the smallest id that is not NULL. The input is read once and stored with a number for each row.
 """
 
 from __future__ import annotations
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollcall.session import fresh_dir
 
-from .batches import bounded, raw, small_batches
+from .batches import bounded, numbered, raw, small_batches
 from .bitmap import bit, bitmap
 from .components import components
 from .words import LOWER, NOT_SPACE, Hasher, inside_text, mixed, of_text, windows
@@ -287,10 +286,13 @@ def join(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT, id_col
          text_column: str = "text") -> DataFrame:
     """row, id, n, class, component of each row of ``docs``: the size of its set, its class and the smallest id there.
 
-    ``row`` is the row's monotonically_increasing_id(); classes are called by a row of theirs.
+    ``row`` is a number of the row; classes are called by a row of theirs.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("id"),
-                       F.col(text_column).alias("text"))
+    return _joined(numbered(docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")), "rows"),
+                   size, percent)
+
+
+def _joined(rows: DataFrame, size: int, percent: int) -> DataFrame:
     described, classes = links(rows, size, percent)
     name = ["n", "name_a", "name_b"]
     smallest = described.where("n > 0").groupBy(*name).agg(F.min("id").alias("id")).join(classes, name)
@@ -303,10 +305,10 @@ def join(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT, id_col
 def one_of_each(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT, id_column: str = "doc_id",
                 text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` with the smallest id of their class; of repeated rows one, and all rows without words."""
-    found = join(docs, size=size, percent=percent, id_column=id_column, text_column=text_column)
+    given = numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "rows")
+    doc = F.col("doc").getField
+    found = _joined(given.select("row", doc(id_column).cast("long").alias("id"), doc(text_column).alias("text")), size, percent)
     # NULL ids come last.
     order = F.struct(F.col("id").isNull().alias("last"), "id", "row")
     kept = found.groupBy("class").agg(F.min(order).alias("least")).select(F.col("least.row").alias("row"))
-    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).select(
-        F.monotonically_increasing_id().alias("row"), "doc")
     return given.join(kept, "row").select("doc.*")

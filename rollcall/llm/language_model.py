@@ -18,8 +18,7 @@ blocks.
 
 Tokens are ASCII lower-cased words between ASCII white space, then one end of text. NULL and empty texts have the end only.
 Repeated rows count and are scored each for itself. Rows for which ``train`` is not true, NULL included, are scored but not
-learned from. Words are told apart by 64-bit hashes. The input has to give the same rows in the same order each time it
-is read, as a stored table does.
+learned from. Words are told apart by 64-bit hashes. Segments are cut and numbered once and stored.
 """
 
 from __future__ import annotations
@@ -108,13 +107,11 @@ class Segment:
         return order, bucket[order].astype(np.int64)
 
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, Segment]]:
-    """(number, rows, segment) for each piece of the input of a task."""
-    first = TaskContext.get().partitionId() << 32
-    for number, batch in enumerate(bounded(batches, "text", SEGMENT_BYTES)):
-        found = hasher().find(*raw(batch.column("text")))
-        train = batch.column("train").fill_null(False).to_numpy(zero_copy_only=False)
-        yield first + number, batch, Segment(found.hashes, found.counts, train)
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Segment]]:
+    """(number, segment) of each stored piece of the input."""
+    for batch in bounded(batches, "data", SEGMENT_BYTES):
+        for number, data in zip(batch.column("segment").to_pylist(), batch.column("data")):
+            yield number, Segment(*_payload(data.as_py()))
 
 
 def _slices(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +121,7 @@ def _slices(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _word_counts(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, _, segment in _segments(batches):
+        for number, segment in _segments(batches):
             order, bucket = segment.word_order(buckets)
             count = np.bincount(segment.token, segment.learned, len(segment.words))[order].astype("<i4")
             words = segment.words[order].astype("<u8")
@@ -178,7 +175,7 @@ def _sum_words(hot_size: int):
 
 def _pair_counts(buckets: int, hot: np.ndarray, parts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, _, segment in _segments(batches):
+        for number, segment in _segments(batches):
             order, bucket = segment.pair_order(buckets, hot, parts)
             context, word = segment.context[order], segment.words[segment.word[order]].astype("<u8")
             count = segment.pair_counts[order].astype("<i4")
@@ -461,7 +458,9 @@ def score(docs: DataFrame, train: Column, *, id_column: str = "doc_id", text_col
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(1, -(-size // bucket_bytes))
     sent = "bucket int, segment long, data binary"
-    words = _stored(rows.mapInArrow(_word_counts(buckets), sent).groupBy("bucket").applyInArrow(
+    bodies = _stored(rows.mapInArrow(_bodies, f"segment long, ids array<{kind}>, data binary"), "segments")
+    segments = bodies.select("segment", "data")
+    words = _stored(segments.mapInArrow(_word_counts(buckets), sent).groupBy("bucket").applyInArrow(
         _sum_words(hot), WORDS), "words")
     stats = words.where("segment IS NULL")
     v, n = (x or 0 for x in stats.agg(F.sum("v"), F.sum("n")).first())
@@ -471,14 +470,13 @@ def score(docs: DataFrame, train: Column, *, id_column: str = "doc_id", text_col
     names = np.array(sorted(known), np.uint64)
     parts = np.array([-(-known[int(h)] // hot) for h in names], np.uint64)
 
-    counted = rows.mapInArrow(_pair_counts(buckets, names, parts), sent)
+    counted = segments.mapInArrow(_pair_counts(buckets, names, parts), sent)
     pairs = _chance_replies(counted, -(-buckets // PER_PARENT), v, known, names, seed)
 
     def gathered(replies: DataFrame, name: str) -> DataFrame:
         return replies.where("segment IS NOT NULL").groupBy("segment").agg(
             F.collect_list(F.struct("bucket", "data")).alias(name))
 
-    bodies = rows.mapInArrow(_bodies, f"segment long, ids array<{kind}>, data binary")
     joined = bodies.join(gathered(words, "words"), "segment").join(gathered(pairs, "pairs"), "segment")
     return joined.mapInArrow(
         _scored(buckets, v, n, names, parts),

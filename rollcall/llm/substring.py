@@ -11,8 +11,8 @@ the other documents of the piece the whole string repeats an earlier one. A mini
 hot; its windows are dealt out one by one, by their own hash. Buckets hold about ``per_bucket`` windows.
 
 Ids are compared as numbers; a NULL id counts as larger than all others, and rows with equal ids remove nothing from
-each other. NULL and empty texts have no words. Texts shorter than a window stay as they are. The input has to
-give the same rows in the same order each time it is read, as a stored table does.
+each other. NULL and empty texts have no words. Texts shorter than a window stay as they are. The input
+is read once and stored with a number for each row.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollcall.session import fresh_dir
 
-from .batches import bounded, raw, small_batches
+from .batches import bounded, numbered, raw, small_batches
 from .bitmap import bit, bitmap
 from .words import Hasher, Words, inside_text, mixed, of_text, windows
 
@@ -276,8 +276,7 @@ def dedupe(docs: DataFrame, *, window: int = WINDOW, per_bucket: int = PER_BUCKE
     Only the texts that may lose words move to meet what they lose.
     """
     small_batches(docs.sparkSession)
-    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    rows = given.select(F.monotonically_increasing_id().alias("row"), "doc")
+    rows = numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "rows")
     text = F.col("doc").getField(text_column)
     keyed = rows.select("row", F.coalesce(F.col("doc").getField(id_column), F.lit(NO_ID)).alias("key"), text.alias("text"))
     path = fresh_dir(docs.sparkSession, "removals")

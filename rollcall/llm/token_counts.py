@@ -26,7 +26,7 @@ from tokenizers import Tokenizer
 
 from rollcall.session import fresh_dir
 
-from .batches import bounded, raw, small_batches
+from .batches import bounded, numbered, raw, small_batches
 from .bpe import _cut
 from .words import LOWER, Hasher, of_text
 
@@ -155,12 +155,12 @@ def count(
     """id, n_bytes (UTF-8), n_tokens of each row."""
     small_batches(docs.sparkSession)
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"),
+        F.col(id_column).alias("id"),
         F.coalesce(F.octet_length(text_column), F.lit(0)).cast("long").alias("n_bytes"), F.col(text_column).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     is_long = F.coalesce(F.length("text"), F.lit(0)) > chunk_chars
     short = rows.where(~is_long).select("id", "n_bytes", "text").mapInArrow(
         _short(tokenizer_path), f"id {kind}, n_bytes long, n_tokens long")
-    long = rows.where(is_long)
+    long = numbered(rows.where(is_long), "long-texts")
     counted = _long(long.select("row", "id", "text"), tokenizer_path, chunk_chars, overlap)
     return short.unionByName(long.select("row", "id", "n_bytes").join(counted, "row").drop("row"))

@@ -4,6 +4,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from rollcall.llm import components, decontaminate, jaccard, substring
 
@@ -215,3 +216,31 @@ def test_empty_tables(spark):
     empty = stored(spark, docs(spark, []))
     assert substring.dedupe(empty).collect() == []
     assert jaccard.join(empty).collect() == [] and jaccard.one_of_each(empty).collect() == []
+
+
+@pytest.mark.parametrize("operator", ["near copies", "repeats", "passages", "counts", "model"])
+def test_rows_are_met_again_when_files_are_split_anew(spark, operator):
+    """Between the jobs of an operator Spark may plan other splits, as when an executor is lost."""
+    import public_tokenizers
+
+    from rollcall.llm import language_model, token_counts
+
+    given = stored(spark, docs(spark, [(i, prose(i, 20 + 9 * i) + " " + prose(i % 7, 30)) for i in range(60)], parts=12))
+    item = spark.createDataFrame([(1, prose(3, 30))], "item_id long, text string")
+    run = {
+        "near copies": lambda: jaccard.one_of_each(given), "repeats": lambda: substring.dedupe(given).select("doc.doc_id", "n_removed", "kept"),
+        "passages": lambda: decontaminate.without_matches(given, item),
+        "counts": lambda: token_counts.count(given, public_tokenizers.path("word_bpe_49k.json"), chunk_chars=400, overlap=100),
+        "model": lambda: language_model.score(given, F.lit(True)).select("id", "n_tokens"),
+    }[operator]
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    expected = sorted(map(repr, run().collect()))
+    try:
+        found = run()
+        for name in names:
+            spark.conf.set(name, "1k")
+        assert sorted(map(repr, found.collect())) == expected
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
