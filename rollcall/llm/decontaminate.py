@@ -3,8 +3,10 @@
 The index is positional and lies in the shared folder: each row is a segment of some megabytes of documents
 with, for every term, the sorted list of its word positions. Terms are 64-bit word hashes. A window of an
 item is found by taking the list of its rarest term in a segment and intersecting it with the lists of the
-next rarest ones, each adjusted by its offset in the window. With ``slop`` a term may stand that many words
-off its place (proximity matches); with 0 the match is the exact phrase.
+next rarest ones, each adjusted by its offset in the window; this is the exact phrase. With ``slop`` (proximity
+matches) there has to be a place in the document, which may reach over its ends, such that each term of a window laid
+there stands at most that many words off its own; a word of the document is taken for one term only, the first that
+fits. The words taken, at each such place, are the hit ones.
 
 The benchmark is read in blocks of a bounded number of words; each block is sent to the tasks, which read
 the index. If its vocabulary is small enough to be sent as well, only postings of its terms are stored.
@@ -111,7 +113,7 @@ class Segment:
         at = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
         return np.where(self.terms[at] == words, at, -1)
 
-    def phrase(self, lists: np.ndarray, slop: int = 0) -> np.ndarray:
+    def phrase(self, lists: np.ndarray) -> np.ndarray:
         """Where the words with these lists stand one after the other inside one document."""
         sizes = self.ends[lists + 1] - self.ends[lists]
         begins = None
@@ -122,13 +124,30 @@ class Segment:
                 begins = begins[(begins >= 0) & (begins + len(lists) <= len(self.doc))]
                 begins = begins[self.doc[begins] == self.doc[begins + len(lists) - 1]]
             else:
-                nearest = np.searchsorted(own, begins + offset - slop)
+                nearest = np.searchsorted(own, begins + offset)
                 there = own[np.minimum(nearest, len(own) - 1)]
-                begins = begins[(nearest < len(own)) & (there <= begins + offset + slop)]
+                begins = begins[(nearest < len(own)) & (there == begins + offset)]
             if not len(begins):
                 break
         return begins
 
+    def near(self, lists: np.ndarray, slop: int) -> np.ndarray:
+        """Positions of the words with these lists at each place where all stand at most ``slop`` words off, inside one document."""
+        of = [self.positions[self.ends[at]: self.ends[at + 1]] for at in lists]
+        rarest = int(np.argmin([len(own) for own in of]))
+        places = of[rarest][:, None] - rarest + np.arange(-slop, slop + 1)
+        begin, doc = np.unique(np.stack([places.ravel(), np.repeat(self.doc[of[rarest]], 2 * slop + 1)]), axis=1)
+        upto = np.cumsum(self.counts)[doc]
+        first, good, found = upto - self.counts[doc], np.ones(len(begin), bool), []
+        free: dict[int, np.ndarray] = {}  # behind what earlier terms of the same word have taken
+        for offset, (at, own) in enumerate(zip(lists.tolist(), of)):
+            next_ = np.searchsorted(own, np.maximum(free.get(at, first), begin + offset - slop))
+            there = own[np.minimum(next_, len(own) - 1)]
+            good &= (next_ < len(own)) & (there <= begin + offset + slop) & (there < upto)
+            free[at] = there + 1
+            found.append(there)
+        return np.stack(found, -1)[good]
+
 
 def _search(block: pa.Table, window: int, slop: int):
     """Documents of a segment with hits: segment, at, spans of hit words, items."""
@@ -152,10 +171,12 @@ def _search(block: pa.Table, window: int, slop: int):
                 edges = np.zeros(len(segment.doc) + 1, np.int64)
                 pairs = []
                 for at in np.flatnonzero(lacking[cut[1:]] == lacking[cut[:-1]]):
-                    begins = segment.phrase(lists[cut[at]: cut[at + 1]], slop)
+                    own = lists[cut[at]: cut[at + 1]]
+                    taken = segment.near(own, slop) if slop else None
+                    begins = segment.phrase(own) if taken is None else taken[:, 0]
                     if len(begins):
-                        np.add.at(edges, begins, 1)
-                        np.add.at(edges, begins + (cut[at + 1] - cut[at]), -1)
+                        np.add.at(edges, begins if taken is None else taken, 1)
+                        np.add.at(edges, begins + len(own) if taken is None else taken + 1, -1)
                         of = np.array(phrases[at][1])
                         pairs.append(np.stack(np.broadcast_arrays(np.unique(segment.doc[begins])[:, None], of), -1).reshape(-1, 2))
                 if pairs:

@@ -212,6 +212,31 @@ def test_proximity_and_nothing_to_find(spark):
     assert clean.columns == given.columns and sorted(r.doc_id for r in clean.collect()) == [2, 3, 4]
 
 
+def near_by_hand(words, phrase, slop):
+    taken = set()
+    for begin in range(-slop, len(words) + slop):
+        places = [[p for p in range(max(0, begin + i - slop), min(len(words), begin + i + slop + 1)) if words[p] == w] for i, w in enumerate(phrase)]
+        taken |= set(min((c for c in itertools.product(*places) if len(set(c)) == len(c)), default=()))
+    return taken
+
+
+@pytest.mark.parametrize("slop", [1, 2])
+def test_proximity_does_not_depend_on_neighbours(spark, slop):
+    chosen = random.Random(slop)
+    texts = ["a x b y c", "x a b", "c", "a b", "a a", "a"] + [" ".join(chosen.choices("abcx", k=chosen.randrange(1, 9))) for _ in range(60)]
+    phrases = ["a b c", "a a", "c b a b"]
+    item = spark.createDataFrame(list(enumerate(phrases)), "item_id long, text string")
+    expected = {}
+    for i, text in enumerate(texts):
+        hits = [near_by_hand(text.split(), p.split(), slop) for p in phrases]
+        expected[i] = (set().union(*hits), {n for n, h in enumerate(hits) if h})
+    assert 0 in expected[0][1]
+    for neighbours in ("a a a a " * 40, "b " * 200, "c " * 200):
+        given = docs(spark, [*enumerate(texts), (-1, neighbours)], parts=1)
+        found = decontaminate.matches(given, item, slop=slop).where("id >= 0").collect()
+        assert {r.id: ({p for s in r.spans or () for p in range(s.begin, s.end)}, set(r.items)) for r in found} == expected
+
+
 def test_empty_tables(spark):
     empty = stored(spark, docs(spark, []))
     assert substring.dedupe(empty).collect() == []
