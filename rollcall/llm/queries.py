@@ -5,8 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, jaccard, language_model, quality, sharding, substring, token_counts, topk, toxicity
+from . import (
+    bpe, conversations, decontaminate, jaccard, language_model, mixing, negatives, quality, sharding, substring, token_counts, topk, toxicity,
+)
 from .labelled import fold
+from .sql import CONVERSATIONS, MIXING, NEGATIVES
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,9 +87,35 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_byte_bpe, op3_substring_dedup, op4_toxicity, op5_token_counts, op6_quality, op7_jaccard_join, op8_decontamination, op9_language_model, op10_shards)}
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, and the cheapest edits that mend it."""
+    given = _table(spark, sf_dir, "conversations")
+    report, rows = conversations.repair(conversations.damaged(given), given.select(F.col("conv_id").alias("id")))
+    digest = conversations.digests(rows).withColumnRenamed("id", "of")
+    return report.join(digest, F.col("id").eqNullSafe(F.col("of")), "left").select(
+        F.col("id").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every 100th vector and its 5 best of the same label: the 10 best of other labels that score 30 to 90 % of it."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document are in a mix of 1.5 times all words, sources weighing 5, 2, 1."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_byte_bpe, op3_substring_dedup, op4_toxicity, op5_token_counts, op6_quality, op7_jaccard_join, op8_decontamination, op9_language_model, op10_shards,
+                                 op11_conversations, op12_hard_negatives, op13_source_mix)}
 
 SQL = {
+    "op11_conversations": CONVERSATIONS,
+    "op12_hard_negatives": NEGATIVES,
+    "op13_source_mix": MIXING,
     "op1_top_k": """
 WITH kept AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
