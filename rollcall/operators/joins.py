@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from ..schemas import MEMBER_KEY
 from .projection import MEMBER_COLUMNS, PAYMENT_COLUMNS, REGTYPE_COLUMNS, without_member_amount
-from .skew import PART, HotKeys, row_hash, spread
+from .skew import PART, HotKeys, deal_streams, row_hash, spread
 
 WINDOW = "10 minutes"
 SMALL_WINDOW = "10 seconds"
@@ -57,23 +57,27 @@ def left_join_chain(
 ) -> DataFrame:
     """left ⟕ rights[0] ⟕ rights[1] ..., all on the same keys, all pairs.
 
-    Every input is shuffled at most once: the joins share the partitioning. In a
-    batch hot keys are spread first; a stream is joined as it is. Left rows without
+    In a batch every input is shuffled at most once: the joins share the partitioning,
+    and hot keys are spread first. Streams are dealt out by ``deal_streams``, if the window is one of the
+    keys; with ``hot_keys=None`` they are joined as they are. Left rows without
     a whole key match nothing: a hash of the row joins the key, so that they do not
     meet in one task.
     """
-    streaming = left.isStreaming or any(side.isStreaming for side, _ in rights)
+    streams = [side.isStreaming for side in (left, *[side for side, _ in rights])]
+    streaming = any(streams)
     dealt = None
     whole_key = " AND ".join(f"{k} IS NOT NULL" for k in keys)
     sides = [left, *[side.where(whole_key).select(*keys, *columns) for side, columns in rights]]
     if hot_keys is not None and not streaming:
         dealt = spread(sides, keys, hot_keys, counted)
+    elif hot_keys is not None and all(streams) and "win" in keys:
+        dealt = deal_streams(sides[0], sides[1:], keys, hot_keys)
     on = [*keys, "_alone", *([PART] if dealt else [])]
     joined = (dealt or sides)[0].selectExpr("*", f"IF({whole_key}, 0L, {row_hash(left.columns)}) AS _alone")
     for number, side in enumerate((dealt or sides)[1:], start=1):
         hit = f"_hit{number}"
         joined = joined.join(side.selectExpr("*", "0L AS _alone", f"true AS {hit}"), on, "left")
-        if dealt:
+        if dealt and not streaming:
             joined = joined.where(f"NOT _split{number} OR {hit}")
     return joined.select(*left.columns, *[c for _, columns in rights for c in columns])
 
@@ -111,7 +115,12 @@ def join_payment(
     joined: DataFrame, payment: DataFrame, ts: str = "ts", size: str = WINDOW,
     hot_keys: HotKeys | None = HotKeys(),
 ) -> DataFrame:
-    """Rows that are in a window already, with the payments of the same member, site and window."""
+    """Rows that are in a window already, with the payments of the same member, site and window.
+
+    Streams are joined as they are: dealing them out would run what ``joined`` comes from twice. ``join_member_facts``
+    deals out the member rows once for both joins.
+    """
+    hot_keys = None if joined.isStreaming else hot_keys
     right = payment_side(payment, ts, size)
     return left_join_chain(joined, [(right, (*PAYMENT_COLUMNS, "payment_us", "payment_tie"))], hot_keys=hot_keys)
 

@@ -22,9 +22,15 @@ PART = "_part"
 
 @dataclass(frozen=True)
 class HotKeys:
-    """A key is hot with more than ``rows_per_part`` rows on a side: so many one task may hold of it."""
+    """A key is hot with more than ``rows_per_part`` rows on a side: so many one task may hold of it.
+
+    A stream cannot count ahead. There the left rows of every key are dealt out over ``lanes``, and right rows are repeated
+    for the lanes that its left rows are in; ``right_lanes`` spread the right rows of a key on the way there.
+    """
 
     rows_per_part: int = 500_000
+    lanes: int = 32
+    right_lanes: int = 8
 
 
 def hot_key_parts(sides: Sequence[DataFrame], keys: Sequence[str], policy: HotKeys) -> DataFrame:
@@ -109,3 +115,27 @@ def spread(
         flags = [f"_n{j} > 1 AS _split{j}" for j in numbers[1:]] if i == 0 else []
         result.append(dealt.selectExpr(*columns, f"{part} AS {PART}", *flags))
     return result
+
+
+def deal_streams(
+    left: DataFrame, rights: Sequence[DataFrame], keys: Sequence[str], policy: HotKeys, event_time: str = "win",
+) -> list[DataFrame]:
+    """Streams with a ``_part`` column to be joined on together with the keys; a left row has exactly one part.
+
+    Each left row takes the part its own hash gives. The first one of a key and part is a notice, kept in state until the
+    watermark passes ``event_time``, which is one of the keys. Right rows meet the notices of their key in state: a right row goes out
+    once for every part that is in use, at once where the notice is there already, and later where it comes later. A key
+    with few left rows has few parts, so there are no more copies than pairs. Notices stand once in every
+    right lane, and right rows are dealt over these, so a frequent key is spread on the way as well.
+    """
+    whole_key = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    part = f"CAST(IF({whole_key}, pmod(xxhash64({', '.join(_quoted(left.columns))}), {policy.lanes}), 0) AS int) AS {PART}"
+    dealt = left.selectExpr("*", part)
+    notices = dealt.where(whole_key).select(*keys, PART).dropDuplicates([*keys, PART])
+    lanes = notices.selectExpr("*", f"explode(sequence(0, {policy.right_lanes - 1})) AS _lane")
+    result = [dealt]
+    for right in rights:
+        lane = f"CAST(pmod(xxhash64({', '.join(_quoted(right.columns))}), {policy.right_lanes}) AS int) AS _lane"
+        met = right.selectExpr("*", lane).join(lanes, [*keys, "_lane"])
+        result.append(met.select(*right.columns, PART))
+    return result

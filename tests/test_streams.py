@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.operators.joins import SMALL_WINDOW, join_regtype
+from rollcall.operators.joins import SMALL_WINDOW, join_member_facts, join_regtype
 from rollcall.plans import ods
 from rollcall.plans.member_wide import current_members, wide_rows, wide_table
 from rollcall.schemas import MEMBER, PAYMENT, REGTYPE
@@ -291,3 +291,46 @@ def test_console(spark, capfd):
     assert query.name == "wordcount"
     query.awaitTermination()
     assert query.exception() is None
+
+
+def held_by_partition(spark, checkpoint):
+    """Rows in the state of every stateful operator, by partition."""
+    found = {}
+    for operator in sorted(Path(checkpoint, "state").iterdir(), key=lambda p: int(p.name)):
+        reader = spark.read.format("statestore").option("operatorId", operator.name)
+        if (operator / "0" / "left-keyToNumValues").exists():
+            reader = reader.option("joinSide", "left")
+        found[int(operator.name)] = {r.partition_id: r["count"] for r in reader.load(checkpoint).groupBy("partition_id").count().collect()}
+    return found
+
+
+def test_a_frequent_member_is_dealt_out_in_the_stream(spark):
+    """One member has a third of the member rows and of the right rows; matches come before and after, in two runs."""
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        left, right, pay = Feed(spark, MEMBER), Feed(spark, REGTYPE), Feed(spark, PAYMENT)
+        out, checkpoint = fresh_dir(spark, "out"), fresh_dir(spark, "cp")
+        columns = ["uid", "register", "appkey", "paymoney", "member_us", "regtype_us", "payment_us"]
+        steps = [
+            ([(7, 1 + i / 1000) for i in range(150)] + [(100 + i, 2) for i in range(300)], [(7, 3 + i / 1000) for i in range(15)] + [(100, 1)], []),
+            ([(7, 4 + i / 1000) for i in range(150)] + [(500 + i, 5) for i in range(300)],
+             [(7, 5), (7, 5), (101, 4), (500, 5)], [(7, 6), (7, 6.5), (101, 5)]),
+        ]
+        for step in (*steps, CLOSING):
+            for feed, make, rows in zip((left, right, pay), (member, regtype, payment), step):
+                feed.add([make(*r) for r in rows])
+            joined = join_member_facts(member_time(left.stream()), fact_time(right.stream()), fact_time(pay.stream()))
+            (joined.select(*columns).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start().awaitTermination())
+            if step is steps[1]:
+                held = held_by_partition(spark, checkpoint)
+        batch = join_member_facts(member_time(left.batch()), fact_time(right.batch()), fact_time(pay.batch()))
+        expected = Counter(map(tuple, batch.select(*columns).where("uid > 0").collect()))
+        assert Counter(map(tuple, spark.read.parquet(out).where("uid > 0").collect())) == expected
+        assert sum(expected.values()) == 300 * 17 * 2 + 600
+        # Of 900 member rows 300 are those of one key: no partition of the joins has much more than its share.
+        whole = [h for h in held.values() if sum(h.values()) >= 900]
+        assert len(whole) >= 2 and all(len(h) == 8 and max(h.values()) < 2 * sum(h.values()) / 8 for h in whole), held
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
