@@ -100,25 +100,62 @@ def current_members(
     return with_row_key(wide_row(latest_values(order, MEMBER_KEY, ("_win_us",)), keep=_quoted(STORED_EXTRA)))
 
 
+#: Ids that a side looks dimensions up by.
+MEMBER_IDS, PAYMENT_IDS = ("ad_id",), ("siteid", "vip_id")
+
+
+def collapse_with_ids(side: DataFrame, columns: Sequence[str], order: Sequence[str], ids: Sequence[str], name: str) -> DataFrame:
+    """One row per member, site and window: the last value of each column, and in ``name`` every id with the last time it came.
+
+    Rows are reduced per id first, so what is kept of a member in a window is as long as the list of its different ids.
+    Each value carries its time through both steps.
+    """
+    keys = [*MEMBER_KEY, "win"]
+    when = ", ".join(f"`{c}`" for c in order)
+    others = [c for c in columns if c not in ids]
+    dated = side.selectExpr(
+        *keys, *ids, f"struct({when}) AS _order",
+        *[f"IF(`{c}` IS NULL, NULL, struct({when}, `{c}` AS value)) AS `{c}`" for c in others])
+    per_id = dated.groupBy(*keys, *ids).agg(F.max("_order").alias("_order"), *[F.max(c).alias(c) for c in others])
+    last = [F.expr(f"max(IF(`{c}` IS NULL, NULL, struct(_order, `{c}` AS value))) AS `{c}`") for c in ids]
+    listed = F.expr(f"collect_list(struct({', '.join(f'`{c}`' for c in ids)}, _order)) AS `{name}`")
+    merged = per_id.groupBy(*keys).agg(F.max("_order").alias("_order"), *[F.max(c).alias(c) for c in others], *last, listed)
+    return merged.selectExpr(
+        *keys, *[f"`{c}`.value AS `{c}`" for c in columns], *[f"_order.`{c}` AS `{c}`" for c in order],
+        f"transform(`{name}`, x -> struct({', '.join(f'x.`{c}`' for c in ids)}, {', '.join(f'x._order.`{c}`' for c in order)})) AS `{name}`")
+
+
 def collapsed_streams(
     member: DataFrame, regtype: DataFrame, payment: DataFrame, ts: str = "ts", size: str = WINDOW,
 ) -> DataFrame:
-    """Stream: one row per member, site and window, with the last values of all three sides.
+    """Stream: one row per member, site and window, with the last values of all three sides and all their lookup ids.
 
     Each side is an aggregation by window first, so its rows are reduced before
     the shuffle and the join keeps one row of state per key instead of all. The
-    lookups follow in the batch. Keeps the last row of a lookup's key, where
-    the pairs would keep the last key that was found.
+    lookups follow in the batch: see ``with_each_id``.
     """
     keys = [*MEMBER_KEY, "win"]
+    values = [c for c in MEMBER_COLUMNS if c not in MEMBER_KEY]
     joined = (
-        collapse_member(member_side(member, ts, size))
+        collapse_with_ids(member_side(member, ts, size), values, MEMBER_ORDER, MEMBER_IDS, "member_ids")
         .join(collapse_right(regtype_side(regtype, ts, size), REGTYPE_COLUMNS, REGTYPE_ORDER), keys, "left")
-        .join(collapse_right(payment_side(payment, ts, size), PAYMENT_COLUMNS, PAYMENT_ORDER), keys, "left")
+        .join(collapse_with_ids(payment_side(payment, ts, size), PAYMENT_COLUMNS, PAYMENT_ORDER, PAYMENT_IDS, "payment_ids"), keys, "left")
     )
     return joined.drop("win")
 
 
+def with_each_id(collapsed: DataFrame) -> DataFrame:
+    """Collapsed rows, each followed by a row for every id that a side has: of all pairs what the lookups depend on.
+
+    A dimension may not know the last id of a window but an earlier one. In a table that ignores NULLs these rows
+    leave the last value that was found, as all pairs would.
+    """
+    rows = collapsed.drop("member_ids", "payment_ids")
+    members = collapsed.select(*MEMBER_KEY, F.inline("member_ids"))
+    payments = collapsed.select(*MEMBER_KEY, *MEMBER_ORDER, F.inline("payment_ids"))
+    return rows.unionByName(members, allowMissingColumns=True).unionByName(payments, allowMissingColumns=True)
+
+
 def with_row_key(wide: DataFrame) -> DataFrame:
     return wide.select(salted_row_key(F.col("uid"), F.col("dn")).alias("row_key"), *wide.columns)
 

@@ -35,9 +35,13 @@ class _BatchFolders:
         base = max(finished["base"], default=None)
         return base, sorted(b for b in finished["delta"] if base is None or b > base)
 
-    def load(self, schema: StructType) -> tuple[DataFrame | None, bool]:
-        """Rows of the newest base and of the batches after it, with their batch id; whether they are one per key."""
+    def load(self, schema: StructType, before: int | None = None) -> tuple[DataFrame | None, bool]:
+        """Rows of the newest base and of the batches after it, with their batch id; whether they are one per key.
+
+        With ``before`` only batches with a smaller number count.
+        """
         base, deltas = self.listed()
+        deltas = [b for b in deltas if before is None or b < before]
         kinds = [("delta", b) for b in deltas] + ([("base", base)] if base is not None else [])
         if not kinds:
             return None, True
@@ -78,18 +82,22 @@ class _Folded:
 
     _folders: _BatchFolders
 
-    def compact(self, every: int = 1) -> bool:
-        """Fold all batches so far into a new base, if at least ``every`` have come since the last one."""
+    def compact(self, every: int = 1, before: int | None = None) -> bool:
+        """Fold all batches so far into a new base, if at least ``every`` have come since the last one.
+
+        With ``before`` only batches with a smaller number, as long as a later one may be run again.
+        """
         _, since = self._folders.listed()
+        since = [b for b in since if before is None or b < before]
         if not since or len(since) < every:
             return False
         # A batch that comes in between is read twice, once in the base and once by itself: merging is idempotent.
-        self._folders.write(self._current(), "base", since[-1])
+        self._folders.write(self._current(before), "base", since[-1])
         return True
 
-    def keep_small(self, every: int) -> None:
+    def keep_small(self, every: int, before: int | None = None) -> None:
         """Fold now and then, and delete what no reader can need any more."""
-        if self.compact(every):
+        if self.compact(every, before):
             self._folders.drop_folded()
 
     def drop_folded(self) -> int:
@@ -119,9 +127,9 @@ class UpsertTable(_Folded):
         reduced = latest_rows(rows.select(*names, *extra), self.keys, list(order)).select(*names)
         self._folders.write(reduced, "delta", batch_id)
 
-    def read(self) -> DataFrame:
-        """The current rows, one per key."""
-        loaded, single = self._folders.load(self.schema)
+    def read(self, before: int | None = None) -> DataFrame:
+        """The current rows, one per key; with ``before`` as they were before that batch."""
+        loaded, single = self._folders.load(self.schema, before)
         if loaded is None:
             return self.spark.createDataFrame([], self.schema)
         return loaded.drop(_BATCH) if single else latest_rows(loaded, self.keys, [_BATCH]).drop(_BATCH)
@@ -170,8 +178,8 @@ class CellTable(_Folded):
         return cells.selectExpr(*[
             f"`{f.name}`" if f.name in self.keys else f"`{f.name}`.value AS `{f.name}`" for f in self.schema])
 
-    def _current(self) -> DataFrame | None:
-        loaded, single = self._folders.load(self._stored)
+    def _current(self, before: int | None = None) -> DataFrame | None:
+        loaded, single = self._folders.load(self._stored, before)
         if loaded is None:
             return None
         cells = loaded.drop(_BATCH)

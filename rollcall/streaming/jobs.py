@@ -15,7 +15,7 @@ from ..operators.joins import WINDOW, join_member_facts, without_event_time
 from ..operators.lookup import dead_letters
 from ..operators.routing import dimension_records, json_records, second_layer
 from ..operators.words import POISON, count_words, fail_on, labelled_counts, words_on_space
-from ..plans.member_wide import collapsed_streams, enrich, upsert_members
+from ..plans.member_wide import collapsed_streams, enrich, upsert_members, with_each_id
 from ..plans.ods import upsert_dimensions
 from ..sinks.topic_log import topic_stream, write_text_topic
 from ..sinks.upsert_table import CellTable, UpsertTable
@@ -98,20 +98,29 @@ def start_member_stream(
 def start_collapsed_member_stream(
     member: DataFrame, regtype: DataFrame, payment: DataFrame,
     dimensions: Mapping[str, UpsertTable], wide: CellTable, checkpoint: str,
-    *, size: str = WINDOW, every: str | None = None, compact_after: int = 500,
+    *, dead_letter_path: str | None = None, size: str = WINDOW, every: str | None = None, compact_after: int = 500,
 ) -> StreamingQuery:
-    """The same wide table without the pairs, for streams with very frequent members.
+    """The same wide table without the pairs, whose number grows with the square of a member's rows.
 
-    See ``collapsed_streams``. Rows come out when their window has closed.
+    See ``collapsed_streams``. Rows come out when their window has closed. Dead letters name the failed keys
+    of a window; an id that is NULL is none.
     """
     joined = collapsed_streams(member, regtype, payment, size=size)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        enriched = enrich(
-            batch, dimensions["dwd_basead"].read(), dimensions["dwd_basewebsite"].read(),
-            dimensions["dwd_membervip"].read(),
-        )
-        upsert_members(enriched, batch_id, wide)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            enriched = enrich(
+                with_each_id(batch), dimensions["dwd_basead"].read(), dimensions["dwd_basewebsite"].read(),
+                dimensions["dwd_membervip"].read(),
+            )
+            upsert_members(enriched, batch_id, wide)
+            if dead_letter_path is not None:
+                known = F.col("ad_hit") | F.col("ad_id").isNull()
+                letters = dead_letters(enriched.withColumn("ad_hit", known)).distinct()
+                letters.write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
         wide.keep_small(compact_after)
 
     writer = joined.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)

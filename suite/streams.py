@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.operators.joins import join_regtype
+from rollcall.operators.joins import in_window, join_regtype
 from rollcall.operators.windows import tumbling_counts
 from rollcall.plans import ods
 from rollcall.plans.member_wide import wide_table
@@ -15,6 +16,8 @@ from rollcall.sources import member_records, payment_records, read_lines, read_r
 from rollcall.streaming import jobs
 from rollcall.streaming.early import early_left_join
 from rollcall.streaming.event_time import fact_time, member_time
+from rollcall.streaming.grouped import cogroup_stream
+from rollcall.streaming.running import RunningCount, start_running_count
 from rollcall.streaming.ttl_state import last_logins
 
 from . import views
@@ -110,6 +113,54 @@ def jn1_stream(spark, sf_dir):
     return _landed(spark, joined.withColumn("win_us", F.unix_micros("win.start")).drop("win", "member_tie", "regtype_tie"))
 
 
+_COGROUPED = "uid string, dn string, register string, appkey string, createtime string"
+
+
+@check("jn9_cogroup_stream", """
+SELECT CAST(m.uid AS VARCHAR) AS uid, m.dn, register, appkey, createtime
+FROM member_all m LEFT JOIN regtype_all r
+  ON m.uid = r.uid AND m.dn = r.dn AND m.us // 86400000000 = r.us // 86400000000""")
+def jn9_stream(spark, sf_dir):
+    """A function over both streams, in two runs on one checkpoint; the second one brings a closing day."""
+    folder, out, checkpoint = fresh_dir(spark, "events"), fresh_dir(spark, "landed"), fresh_dir(spark, "cp")
+    rows = views.events(spark, sf_dir).where("event_type IN ('signup', 'click')")
+    shape = rows.schema
+    closing = spark.sql(f"SELECT timestamp_micros({_CLOSING_US}) AS ts, -1 AS uid, 'webA' AS dn, k AS event_type, "
+                        f"'{_CLOSING_US // 1000}' AS ms FROM VALUES ('signup'), ('click') AS t(k)")
+
+    def left_pairs(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        both = l.merge(r, on=["uid", "dn", "win_us"], how="left")
+        return both[["uid", "dn", "register", "appkey", "createtime"]].astype(object).where(lambda c: c.notna(), None)
+
+    for part in (rows, rows.limit(0).unionByName(closing, allowMissingColumns=True)):
+        part.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(shape).parquet(folder)
+        uid, win_us = F.col("uid").cast("string").alias("uid"), F.unix_micros("win.start").alias("win_us")
+        left = in_window(member_time(views.member(stream).drop("ts")), "ts", DAY).select(uid, "dn", "win", win_us, "register")
+        right = in_window(fact_time(views.regtype(stream).drop("ts")), "ts", DAY).select(uid, "dn", "win", win_us, "appkey", "createtime")
+        pairs = cogroup_stream(left, right, ["uid", "dn"], left_pairs, _COGROUPED, rows_per_call=20_000)
+        (pairs.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+         .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(_COGROUPED).parquet(out).where("uid <> '-1'")
+
+
+@check("agg1_running_rows", """
+SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type ORDER BY ts, event_id
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM events""")
+def agg1_rows(spark, sf_dir):
+    """One updated count for each record, in three runs on one checkpoint; the counts are folded in between."""
+    folder, checkpoint = fresh_dir(spark, "events"), fresh_dir(spark, "cp")
+    rows = views.table(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    counts = RunningCount(spark, fresh_dir(spark, "running"), [rows.schema["event_type"]])
+    cuts = [None, "2024-01-10", "2024-01-20", None]
+    for begin, end in zip(cuts, cuts[1:]):
+        part = rows.where(" AND ".join([f"ts >= '{begin}'"] * bool(begin) + [f"ts < '{end}'"] * bool(end)))
+        part.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).parquet(folder)
+        start_running_count(stream, counts, checkpoint, "ts", ["event_id"], compact_after=2).awaitTermination()
+    return counts.read(rows.schema).drop("ts")
+
+
 @check("str8_early_results", f"WITH {jn1_sql(_DAY_US)} SELECT * FROM jn1")
 def str8(spark, sf_dir):
     """Early rows settled: a row without a match goes once a pair of it is there. No window stays open."""
@@ -202,9 +253,9 @@ vips2 AS ({_latest_sql('vip_log', 'vip_id', names('vips'))}),
 merged AS ({last_values_sql('jn6', PAIR_ORDER, MERGED)})
 SELECT substr(md5(CAST(uid AS VARCHAR)), 1, 5) || uid || dn AS row_key, {STORED} FROM merged""")
 def str3(spark, sf_dir):
-    """All streaming jobs one after the other: raw log, second layer and dimension tables, two joins, wide table.
+    """All streaming jobs one after the other: raw log, second layer and dimension tables, wide table without pairs.
 
-    The joins are stopped and go on from their checkpoint when the closing rows have come.
+    A day holds several ids of a member, of which the dimensions know some. The joins are stopped and go on from their checkpoint when the closing rows have come.
     """
     raw, second, tables_at = fresh_dir(spark, "raw"), fresh_dir(spark, "second"), fresh_dir(spark, "tables")
     fact_cp, dim_cp, join_cp = (fresh_dir(spark, "cp") for _ in range(3))
@@ -216,7 +267,7 @@ def str3(spark, sf_dir):
         dims = read_raw_log(spark, DIMENSION_TOPICS, path=raw, arrival=True)
         jobs.start_dimension_stream(dims, tables, dim_cp).awaitTermination()
         facts = read_raw_log(spark, [f"dwd{t}" for t in FACT_TOPICS], path=second)
-        jobs.start_member_stream(
+        jobs.start_collapsed_member_stream(
             member_time(member_records(facts)), fact_time(regtype_records(facts)), fact_time(payment_records(facts)),
             tables, wide, join_cp, dead_letter_path=fresh_dir(spark, "dead"), size=DAY,
         ).awaitTermination()

@@ -9,7 +9,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.operators.joins import SMALL_WINDOW, join_member_facts, join_regtype
+from rollcall.operators.joins import SMALL_WINDOW, in_window, join_member_facts, join_regtype
+from rollcall.operators.skew import HotKeys
 from rollcall.plans import ods
 from rollcall.plans.member_wide import current_members, wide_rows, wide_table
 from rollcall.schemas import MEMBER, PAYMENT, REGTYPE
@@ -22,6 +23,8 @@ from rollcall.sources import read_lines
 from rollcall.streaming import jobs
 from rollcall.streaming.early import early_left_join
 from rollcall.streaming.event_time import fact_time, member_time
+from rollcall.streaming.grouped import cogroup_stream
+from rollcall.streaming.running import RunningCount
 from rollcall.streaming.ttl_state import last_logins
 
 MINUTE = 60_000
@@ -116,6 +119,33 @@ def test_wide_table_of_the_stream_is_that_of_the_batch(spark, start):
     assert Counter(wide.read().where("uid > 0").collect()) == Counter(expected)
 
 
+def test_found_before_missed_in_one_window(spark):
+    """Of several ids in a window the last one that a dimension knows counts, also where a later one is unknown or NULL."""
+    feeds = [Feed(spark, s) for s in (MEMBER, REGTYPE, PAYMENT)]
+    tables, wide, checkpoint, dead = (dimension_tables(spark), wide_table(spark, fresh_dir(spark, "wide")), fresh_dir(spark, "cp"),
+                                      fresh_dir(spark, "dead"))
+    def with_ad(uid, minute, ad_id, **more):
+        return record(MEMBER, uid=uid, dn="webA", ad_id=ad_id, register=str(int(minute * MINUTE)), **more)
+
+    feeds[0].add([with_ad(1, 1, 1, fullname="a"), with_ad(1, 2, 2), with_ad(1, 3, 99, qq="q"), with_ad(1, 4, None), with_ad(2, 1, 98)])
+    feeds[2].add([payment(1, 1, 1, 9), payment(1, 2, 8, 1), payment(1, 3, None, 7), payment(1, 4, 6, None), payment(3, 1)])
+    feeds[1].add([regtype(1, 2)])
+    jobs.start_collapsed_member_stream(*timed(feeds), tables, wide, checkpoint, dead_letter_path=dead).awaitTermination()
+    for feed, make in zip(feeds, (member, regtype, payment)):
+        feed.add([make(-1, 900)])
+    jobs.start_collapsed_member_stream(*timed(feeds), tables, wide, checkpoint, dead_letter_path=dead).awaitTermination()
+    dims = [tables[t].read() for t in ("dwd_basead", "dwd_basewebsite", "dwd_membervip")]
+    expected = current_members(*batch_facts(feeds), *dims).where("uid > 0").collect()
+    found = wide.read().where("uid > 0").collect()
+    assert Counter(found) == Counter(expected)
+    assert {(r.uid, r.ad_id, r.adname, r.siteid, r.sitename, r.vip_level) for r in found} == {
+        (1, 99, "two", 6, "s", "v"), (2, 98, None, None, None, None)}
+    letters = spark.read.parquet(dead).where("uid > 0").collect()
+    assert Counter((r.uid, r.ad_id, r.siteid, r.vip_id, r.missed) for r in letters) == Counter([
+        (1, 99, 6, 7, "ad,site,vip"), (1, 99, None, None, "ad"), (1, None, 8, 1, "site"), (1, None, 1, 9, "vip"),
+        (1, None, None, 7, "vip"), (1, None, 6, None, "site"), (2, 98, None, None, "ad")])
+
+
 def test_dead_letters_and_pairs(spark):
     feeds = [Feed(spark, s) for s in (MEMBER, REGTYPE, PAYMENT)]
     dead = fresh_dir(spark, "dead")
@@ -334,3 +364,47 @@ def test_a_frequent_member_is_dealt_out_in_the_stream(spark):
         assert len(whole) >= 2 and all(len(h) == 8 and max(h.values()) < 2 * sum(h.values()) / 8 for h in whole), held
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+
+
+def test_cogroup_of_streams_is_that_of_the_batch(spark):
+    """Restarted after each step; a frequent key is called in parts, and keys that only the right side has give nothing."""
+    left, right, out, checkpoint = Feed(spark, MEMBER), Feed(spark, REGTYPE), fresh_dir(spark, "out"), fresh_dir(spark, "cp")
+    schema = "uid long, register string, before int"
+
+    def earlier(l, r):
+        """How many right rows of the key are not later than each left row: nothing a join says."""
+        both = l.merge(r, on="uid", how="left")
+        both["before"] = both["createtime"].fillna("~").le(both["register"]).astype(int)
+        return both.groupby(["uid", "register"], as_index=False)["before"].sum().astype({"before": "int32"})
+
+    def sides(member_rows, regtype_rows):
+        l = in_window(member_rows, "ts").select(F.col("uid").cast("long").alias("uid"), "win", "register")
+        return l, in_window(regtype_rows, "ts").select(F.col("uid").cast("long").alias("uid"), "win", "createtime")
+
+    steps = [([(7, 1 + i / 100) for i in range(100)] + [(1, 2)], [(7, 1.5), (9, 2)]),
+             ([(7, 3), (2, 12)], [(7, 4), (7, 1.2), (2, 11), (3, 12)]), ([(-1, 900)], [(-1, 900)])]
+    for members, regtypes in steps:
+        left.add([member(*m) for m in members])
+        right.add([regtype(*r) for r in regtypes])
+        found = cogroup_stream(*sides(member_time(left.stream()), fact_time(right.stream())), ["uid"], earlier, schema, HotKeys(lanes=4))
+        (found.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start().awaitTermination())
+    l, r = sides(member_time(left.batch()), fact_time(right.batch()))
+    expected = l.alias("l").join(r.alias("r"), ["uid", "win"], "left").where("uid > 0").groupBy("uid", "win", "register").agg(
+        F.count_if(F.col("createtime") <= F.col("register")).cast("int").alias("before")).select("uid", "register", "before")
+    assert Counter(map(tuple, spark.read.schema(schema).parquet(out).where("uid > 0").collect())) == Counter(map(tuple, expected.collect()))
+
+
+def test_running_rows_after_a_replay_and_a_fold(spark):
+    rows = spark.createDataFrame([("a", 1, 0), ("a", 2, 1), (None, 3, 2), ("a", 4, None), ("b", 5, 3)], "word string, id int, ms long")
+    rows = rows.selectExpr("word", "id", "timestamp_millis(ms) AS ts")
+    counts = RunningCount(spark, fresh_dir(spark, "running"), [rows.schema["word"]])
+    counts.number(rows, 0, "ts", ["id"])
+    more = spark.createDataFrame([("a", 6, 9), (None, 7, 9), (None, 8, 8), ("c", 9, 1)], "word string, id int, ms long")
+    more = more.selectExpr("word", "id", "timestamp_millis(ms) AS ts")
+    for _ in range(2):  # as after a failure between the writes and the end of the batch
+        assert counts.totals.compact(before=1) in (True, False)
+        counts.number(more, 1, "ts", ["id"])
+    found = {r.id: (r.word, r.n) for r in counts.read(rows.schema).collect()}
+    assert found == {4: ("a", 1), 1: ("a", 2), 2: ("a", 3), 3: (None, 1), 5: ("b", 1), 6: ("a", 4), 8: (None, 2), 7: (None, 3), 9: ("c", 1)}
+    assert {r.key.word: r.n for r in counts.totals.read().collect()} == {"a": 4, None: 3, "b": 1, "c": 1}
