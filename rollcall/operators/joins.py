@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from ..schemas import MEMBER_KEY
 from .projection import MEMBER_COLUMNS, PAYMENT_COLUMNS, REGTYPE_COLUMNS, without_member_amount
-from .skew import PART, HotKeys, deal_streams, row_hash, spread
+from .skew import PART, HotKeys, deal_streams, key_counts, row_hash, spread
 
 WINDOW = "10 minutes"
 SMALL_WINDOW = "10 seconds"
@@ -113,16 +113,19 @@ def join_regtype(
 
 def join_payment(
     joined: DataFrame, payment: DataFrame, ts: str = "ts", size: str = WINDOW,
-    hot_keys: HotKeys | None = HotKeys(),
+    hot_keys: HotKeys | None = HotKeys(), counted: DataFrame | None = None,
 ) -> DataFrame:
     """Rows that are in a window already, with the payments of the same member, site and window.
 
+    ``counted`` gives the member rows that ``joined`` comes from, which are cheaper to count.
+
     Streams are joined as they are: dealing them out would run what ``joined`` comes from twice. ``join_member_facts``
     deals out the member rows once for both joins.
     """
     hot_keys = None if joined.isStreaming else hot_keys
     right = payment_side(payment, ts, size)
-    return left_join_chain(joined, [(right, (*PAYMENT_COLUMNS, "payment_us", "payment_tie"))], hot_keys=hot_keys)
+    base = None if counted is None else [in_window(counted, ts, size), right]
+    return left_join_chain(joined, [(right, (*PAYMENT_COLUMNS, "payment_us", "payment_tie"))], hot_keys=hot_keys, counted=base)
 
 
 def join_member_facts(
@@ -177,14 +180,15 @@ def cogroup(
 
         return _cogrouped(left, right, keys).applyInPandas(whole, schema)
 
-    dealt = spread([left, right], keys, hot_keys)
+    counts = key_counts([left, right], keys)
+    dealt = spread([left, right], keys, hot_keys, counts=counts)
     left_dealt, right_dealt = dealt or [side.withColumns({PART: F.lit(0), "_split1": F.lit(False)}) for side in (left, right)]
     together = [*keys, PART]
     if rows_per_call is None:
         grouped = together
     else:
         grouped = ["_bucket"]
-        buckets = max(1, -(-(left_dealt.count() + right_dealt.count()) // rows_per_call))
+        buckets = max(1, -(-counts.rows // rows_per_call))
         bucket = f"pmod(xxhash64({', '.join(together)}), {int(buckets)}) AS _bucket"
         left_dealt, right_dealt = (side.selectExpr("*", bucket) for side in (left_dealt, right_dealt))
 

@@ -33,28 +33,57 @@ class HotKeys:
     right_lanes: int = 8
 
 
+@dataclass(frozen=True)
+class KeyCounts:
+    """What one pass over the key columns tells: all rows, and the most of one side that share the beginning of the key."""
+
+    rows: int
+    most: int
+
+
+def _ones(sides: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    numbers = range(len(sides))
+    return reduce(
+        DataFrame.unionByName,
+        [side.selectExpr(*_quoted(keys), *[f"{int(i == j)}L AS _c{j}" for j in numbers]) for i, side in enumerate(sides)],
+    )
+
+
+def _sums(ones: DataFrame, names: Sequence[str], numbers: range) -> DataFrame:
+    return ones.groupBy(*names).agg(*[F.expr(f"sum(_c{j}) AS _c{j}") for j in numbers])
+
+
+def _largest(numbers: range) -> str:
+    return f"greatest({', '.join(f'_c{j}' for j in numbers)})" if len(numbers) > 1 else "_c0"
+
+
+def key_counts(sides: Sequence[DataFrame], keys: Sequence[str]) -> KeyCounts:
+    """One reading of the key columns, counted before the shuffle.
+
+    A key can only be hot if what it begins with is, and that is counted: whole keys with a window occur once or twice each.
+    """
+    numbers = range(len(sides))
+    begin = list(keys)[:-1] or list(keys)
+    sums = _sums(_ones(sides, begin), begin, numbers)
+    found = sums.selectExpr(f"sum({' + '.join(f'_c{j}' for j in numbers)}) AS n", f"max({_largest(numbers)}) AS most").first()
+    return KeyCounts(found.n or 0, found.most or 0)
+
+
 def hot_key_parts(sides: Sequence[DataFrame], keys: Sequence[str], policy: HotKeys) -> DataFrame:
     """keys, _n0, _n1, ...: in how many parts each side of a hot key is dealt out.
 
-    Only the key columns are read, and they are counted before the shuffle. A key can
-    only be hot if what it begins with is, so that is counted first: whole keys, most of
-    which occur once, are counted for the few that are left.
+    Whole keys are counted for those only whose beginning has enough rows.
     """
     numbers = range(len(sides))
-    counted = reduce(
-        DataFrame.unionByName,
-        [side.selectExpr(*keys, *[f"{int(i == j)}L AS _c{j}" for j in numbers]) for i, side in enumerate(sides)],
-    )
-    largest = F.expr(f"greatest({', '.join(f'_c{j}' for j in numbers)})")
+    counted = _ones(sides, keys)
 
-    def hot(rows: DataFrame, names: Sequence[str]) -> DataFrame:
-        sums = rows.groupBy(*names).agg(*[F.expr(f"sum(_c{j}) AS _c{j}") for j in numbers])
-        return sums.where(largest > policy.rows_per_part)
+    def hot(names: Sequence[str]) -> DataFrame:
+        return _sums(counted, names, numbers).where(f"{_largest(numbers)} > {policy.rows_per_part}")
 
     begin = list(keys)[:-1]
     if begin:
-        counted = counted.join(_stored(hot(counted, begin).select(*begin)), begin, "left_semi")
-    return hot(counted, keys).selectExpr(
+        counted = counted.join(_stored(hot(begin).select(*begin)), begin, "left_semi")
+    return hot(keys).selectExpr(
         *keys, *[f"CAST(greatest(1, ceil(_c{j} / {policy.rows_per_part})) AS int) AS _n{j}" for j in numbers])
 
 
@@ -81,9 +110,12 @@ def _own_part(columns: Sequence[str], parts: str) -> str:
 
 def spread(
     sides: Sequence[DataFrame], keys: Sequence[str], policy: HotKeys, counted: Sequence[DataFrame] | None = None,
+    counts: KeyCounts | None = None,
 ) -> list[DataFrame] | None:
     """The sides with a ``_part`` column to be joined on together with the keys; None if no key is hot.
 
+    Where no key is hot this takes one reading of the key columns, or none if ``counts`` of the sides are known.
+
     The list of hot keys holds at most (rows of all sides) / ``rows_per_part`` keys and
     is joined by whatever Spark chooses for its size. Where that is a shuffle, AQE can
     split the hot key's rows, which stand on the other side of that join.
@@ -96,6 +128,9 @@ def spread(
     the sides already hold the work of one-to-one lookups.
     """
     numbers = range(len(sides))
+    counts = counts or key_counts(counted or sides, keys)
+    if counts.most <= policy.rows_per_part:
+        return None
     hot = _stored(hot_key_parts(counted or sides, keys, policy))
     if hot.isEmpty():
         return None

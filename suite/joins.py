@@ -85,7 +85,7 @@ def jn1_ten_minutes(spark, sf_dir):
 @check("jn2_member_payment", f"WITH {jn1_sql(_DAY_US)}, {JN2} SELECT * FROM jn2")
 def jn2(spark, sf_dir):
     member, regtype, payment = views.facts(spark, sf_dir)
-    return _flat(op.join_payment(op.join_regtype(member, regtype, size=DAY), payment, size=DAY))
+    return _flat(op.join_payment(op.join_regtype(member, regtype, size=DAY), payment, size=DAY, counted=member))
 
 
 @check("jn2_chain_spread", f"WITH {jn1_sql(_DAY_US)}, {JN2} SELECT * FROM jn2")

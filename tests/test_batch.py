@@ -561,3 +561,24 @@ def test_shared_folder_is_the_one_named(spark):
 
 def test_payment_layout():
     assert [f.name for f in PAYMENT if f.dataType.typeName() == "integer"] == ["uid", "siteid", "vip_id"]
+
+
+@pytest.mark.parametrize("joined, most", [("one", 3), ("two", 6), ("chain", 3)])
+def test_joins_read_the_keys_once_where_none_is_hot(spark, joined, most):
+    """Planning a join takes the jobs of one small aggregation for each join, and none that runs a join."""
+    from rollcall.operators.joins import join_member_facts, join_payment, join_regtype
+    from suite import views
+
+    facts = views.facts(spark, "/root/testdata/sf0.001")
+    tracker, group = spark.sparkContext.statusTracker(), f"planning-{joined}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        if joined == "one":
+            join_regtype(*facts[:2])
+        elif joined == "two":
+            join_payment(join_regtype(*facts[:2]), facts[2], counted=facts[0])
+        else:
+            join_member_facts(*facts)
+        assert 1 <= len(tracker.getJobIdsForGroup(group)) <= most
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
