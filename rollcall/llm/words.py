@@ -1,16 +1,21 @@
 """Words of many texts at once: where they are and a 64-bit hash of each, without a Python object per word.
 
 A word is a longest run of the bytes of an alphabet. The hash of a word is a polynomial of its bytes modulo
-2^64, mixed; differences of running sums give the hashes of all words of a block in a few array operations.
+2^64, mixed; differences of running sums give the hashes of all words of a block in a few array operations. Modulo a
+power of two some long words over few letters have one polynomial whatever its base, so words of more than ``SHORT`` bytes get
+a keyed BLAKE2b digest of 64 bits instead.
 """
 
 from __future__ import annotations
 
+import hashlib
 from typing import NamedTuple
 
 import numpy as np
 
 BLOCK = 1 << 18
+#: Bytes of the longest word that is told apart by a polynomial: up to there no two words must share more than 14 bits.
+SHORT = 16
 #: Everything but the ASCII white space characters.
 NOT_SPACE = np.array([b != 0x20 and not 0x09 <= b <= 0x0D for b in range(256)])
 #: ASCII digits and lower-case letters, and every byte of characters beyond ASCII.
@@ -36,9 +41,13 @@ class Hasher:
         values = random.integers(0, 2 ** 64, 257, dtype=np.uint64) | np.uint64(1)
         base = int(values[256]) // 8 * 8 + 5
         self.is_word, self.code = alphabet[fold], values[:256][fold]
+        self._given, self._fold, self._key = (alphabet, fold, seed), fold, seed.to_bytes(8, "little")
         self._base, self._inverse = base, pow(base, -1, 2 ** 64)
         self._grow(BLOCK)
 
+    def __reduce__(self):
+        return Hasher, self._given
+
     def _grow(self, size: int) -> None:
         self._powers, self._back = (np.concatenate([np.ones(1, np.uint64), np.full(size, x, np.uint64)])
                                     for x in (self._base, self._inverse))
@@ -77,7 +86,11 @@ class Hasher:
             first = starts[at:upto] - begin
             out[at:upto] = (sums[ends[at:upto] - begin] - sums[first]) * self._back[first]
             at = upto
-        return mixed(out)
+        out = mixed(out)
+        for n in np.flatnonzero(ends - starts > SHORT):
+            word = self._fold[data[starts[n]: ends[n]]].tobytes()
+            out[n] = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=self._key).digest(), "little")
+        return out
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
