@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall.session import fresh_dir
 
+from .scratch import left_behind
+
 PIECE_BYTES = 1 << 20
 #: What Spark hands to Python at once; its default is 64 MB, of which there are several copies in a worker.
 BATCH_BYTES = "4m"
@@ -27,6 +29,7 @@ def numbered(df: DataFrame, label: str) -> DataFrame:
     How Spark splits files may change from job to job, so numbers that are to be met again are drawn once and stored.
     """
     path = fresh_dir(df.sparkSession, label)
+    left_behind(df.sparkSession, path)
     df.withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rollcall.session import fresh_dir
 
 from .batches import bounded, numbered, small_batches
+from .scratch import left_behind
 
 CHUNK_CHARS = 32_768
 OVERLAP = 256
@@ -149,6 +150,7 @@ def long_pieces(rows: DataFrame, kind: str, pattern: str, chunk: int, overlap: i
         stitched = begun.withColumn("end", F.lead("begin").over(in_doc) + F.lit(chunk)).withColumn(
             "apart", F.max(F.col("begin").isNull()).over(Window.partitionBy("row"))).drop("head", "tail")
         path = fresh_dir(spark, "bpe-pieces")
+        left_behind(spark, path)
         stitched.write.parquet(path)
         stitched = spark.read.parquet(path)
         done.append(stitched.where("NOT apart").selectExpr(

@@ -2,40 +2,41 @@
 
 Each round links every node to the smallest it knows, first all its larger neighbours (large star), then all
 its smaller ones (small star), until nothing changes. Nothing is gathered per node but a minimum, so a node with very
-many links is no single task. Every round is written to the shared folder.
+many links is no single task. Every round is written to the shared folder, and deleted when the next one is.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rollcall.session import fresh_dir
-
-
-def _stored(df: DataFrame) -> DataFrame:
-    path = fresh_dir(df.sparkSession, "links")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+from .scratch import Scratch
 
 
 def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, root (the smallest node of its component) for every node that is in a link (a, b) and is not the root."""
-    links = _stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
+    """node, root (the smallest node of its component) for every node that is in a link (a, b) and is not the root.
+
+    The result is a table of ``scratch``.
+    """
+    links = scratch.store(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
     state = _state(links)
     while state[0]:
         both = links.union(links.select("b", "a"))
         smallest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = _stored(large.where("a <> b").distinct())
+        large = scratch.store(large.where("a <> b").distinct(), "links")
+        scratch.drop(links)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             least.select("a", F.col("m").alias("b")))
-        links = _stored(small.where("a <> b").distinct())
+        links = scratch.store(small.where("a <> b").distinct(), "links")
+        scratch.drop(large)
         before, state = state, _state(links)
         if state == before:
             break
-    return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    classes = scratch.store(links.select(F.col("a").alias("node"), F.col("b").alias("root")), "classes")
+    scratch.drop(links)
+    return classes

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from rollcall.session import fresh_dir
 
 from .batches import bounded, numbered, raw, small_batches
+from .scratch import left_behind
 from .words import LETTERS_DIGITS, LOWER, Hasher, of_text
 
 WINDOW = 10
@@ -92,6 +93,7 @@ def index(docs: DataFrame, terms: np.ndarray | None, *, id_column: str = "doc_id
     rows = docs.select(number.alias("row"), F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     path = fresh_dir(docs.sparkSession, "postings")
+    left_behind(docs.sparkSession, path)
     rows.mapInArrow(run, f"rows array<bigint>, ids array<{kind}>, counts binary, terms binary, ends binary, gaps binary").withColumn(
         "segment", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.parquet(path)
@@ -212,6 +214,7 @@ def matches(
     """
     small_batches(docs.sparkSession)
     path = fresh_dir(docs.sparkSession, "benchmark-words")
+    left_behind(docs.sparkSession, path)
     item_words(items, item_column, item_text).write.parquet(path)
     wanted = docs.sparkSession.read.parquet(path)
     total = wanted.agg(F.coalesce(F.sum(F.octet_length("words")) / 8, F.lit(0)).cast("long")).first()[0]

@@ -20,7 +20,6 @@ its class, which takes the smallest id that is not NULL. The input is read once
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 from itertools import combinations
 from math import comb
 
@@ -29,11 +28,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from rollcall.session import fresh_dir
-
-from .batches import bounded, numbered, raw, small_batches
+from .batches import bounded, raw, small_batches
 from .bitmap import bit, bitmap
 from .components import components
+from .scratch import Scratch
 from .words import LOWER, NOT_SPACE, Hasher, inside_text, mixed, of_text, windows
 
 SHINGLE, PERCENT = 4, 85
@@ -45,9 +43,14 @@ PER_PART = 500
 MOST_SUBSETS = 150
 
 
-@cache
+#: Made once in each task: functions travel with the plan, so nothing is kept in a module of the workers.
+_made: list[Hasher] = []
+
+
 def hasher() -> Hasher:
-    return Hasher(NOT_SPACE, LOWER)
+    if not _made:
+        _made.append(Hasher(NOT_SPACE, LOWER))
+    return _made[0]
 
 
 def shared(n: int, m: int, percent: int) -> int:
@@ -168,12 +171,6 @@ def _subsets(values: np.ndarray, light: int, percent: int) -> list[dict]:
     return found
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _light_links(listed: DataFrame) -> DataFrame:
     """Links of light sets: those of one size with the smallest of the other size that has the subset."""
     keyed = listed.select("row", "n", F.explode("subsets").alias("s")).select("row", "n", "s.few", "s.many", "s.key").distinct()
@@ -186,11 +183,10 @@ def _light_links(listed: DataFrame) -> DataFrame:
         F.col("low")).alias("b")).where("a <> b").distinct()
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) that link. The texts of b travel to a; a set with many partners is dealt out with its text."""
-    spark = pairs.sparkSession
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_PART).alias("parts"))
-    dealt = _stored(pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part")), "pairs")
+    dealt = scratch.store(pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part")), "pairs")
     members = dealt.select("a", "part", F.col("b").alias("row")).union(
         dealt.select("a", "part", F.col("a").alias("row")).distinct())
     wanted = bitmap(members, "row")
@@ -220,16 +216,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
         return pa.table({"a": np.full(len(linked), name), "b": linked})
 
     some = texts.withColumn("bit", bit("row")).mapInArrow(needed, "row long, text binary")
-    return members.join(some, "row").groupBy("a", "part").applyInArrow(compare, "a long, b long")
+    found = members.join(some, "row").groupBy("a", "part").applyInArrow(compare, "a long, b long")
+    linked = scratch.store(found, "linked")
+    scratch.drop(dealt)
+    return linked
 
 
-def links(rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def links(rows: DataFrame, scratch: Scratch, size: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(described, classes): row, id, n and name of the set of each of ``rows`` (row, id, text); set and class of each name.
 
-    Sets are called by their smallest row; classes by the smallest set that links reach.
+    Sets are called by their smallest row; classes by the smallest set that links reach. Both results read tables of ``scratch``.
     """
     small_batches(rows.sparkSession)
-    described = _stored(rows.mapInArrow(
+    described = scratch.store(rows.mapInArrow(
         _described(size), "row long, id long, n long, name_a long, name_b long, slice int, cells binary"), "sets")
     counted = described.where("cells IS NOT NULL").select("slice", "cells").groupBy("slice").applyInArrow(
         _summed, "slice int, cells binary").orderBy("slice").toArrow()
@@ -242,15 +241,15 @@ def links(rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> tuple
 
     described = described.where("row IS NOT NULL").drop("slice", "cells")
     name = ["n", "name_a", "name_b"]
-    sets = _stored(described.where("n > 0").groupBy(*name).agg(F.min("row").alias("set")), "distinct-sets")
+    sets = scratch.store(described.where("n > 0").groupBy(*name).agg(F.min("row").alias("set")), "distinct-sets")
     texts = rows.where("text IS NOT NULL").select("row", "text")
     # One row of each set. A copy that the bitmap lets through changes no class: it links to its like.
-    listed = _stored(texts.withColumn("bit", bit("row")).mapInArrow(
+    listed = scratch.store(texts.withColumn("bit", bit("row")).mapInArrow(
         _listed(size, percent, order, light, bitmap(sets, "set")),
         "row long, n long, first array<long>, subsets array<struct<few: int, many: int, key: long>>"), "first-shingles")
     posted = listed.select("row", "n", F.posexplode("first").alias("place", "shingle"))
     several = posted.groupBy("shingle").agg(F.count("*").alias("members")).where("members > 1").select("shingle")
-    posted = _stored(posted.join(several, "shingle"), "postings")
+    posted = scratch.store(posted.join(several, "shingle"), "postings")
 
     # Each set with the most central set of its lists: the one in which the shingle stands first.
     step = float(np.log(100 / percent))
@@ -260,13 +259,18 @@ def links(rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> tuple
     met = sized.join(centres, ["shingle", "bucket"]).where("a <> row").groupBy("row", "a").count()
     nearest = met.groupBy("row").agg(F.max(F.struct("count", -F.col("a"))).alias("best")).select(
         (-F.col("best.col2")).alias("a"), F.col("row").alias("b"))
-    found = _stored(_light_links(listed).union(_verified(nearest, texts, size, percent)), "first-links")
-    first = _stored(components(found), "first-classes")
+    near = _verified(nearest, texts, size, percent, scratch)
+    light_links = scratch.store(_light_links(listed), "light-links")
+    scratch.drop(listed)
+    first = components(light_links.union(near), scratch)
+    scratch.drop(light_links, near)
 
     # Then the pairs of sets in different classes, from the lists in which both stand early enough to link.
-    placed = _stored(posted.join(first.withColumnRenamed("node", "row"), "row", "left").select(
+    placed = scratch.store(posted.join(first.withColumnRenamed("node", "row"), "row", "left").select(
         "shingle", "row", "n", "place", F.coalesce("root", "row").alias("root")), "placed")
+    scratch.drop(posted)
     open_lists = placed.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("shingle")
+    stored_places = placed
     placed = placed.join(open_lists, "shingle")
     low, high = (placed.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("row", "n", "place", "root")]) for s in "ab")
     needed = F.ceil(F.lit(percent) * (F.col("n_a") + F.col("n_b")) / (100 + percent) - F.lit(1e-9))
@@ -276,8 +280,10 @@ def links(rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> tuple
         & ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("row_a") < F.col("row_b"))))
         & (F.col("n_a") - F.col("place_a") >= needed) & (F.col("n_b") - F.col("place_b") >= needed))
     pairs = pairs.select(F.col("row_a").alias("a"), F.col("row_b").alias("b")).distinct()
-    more = _verified(pairs, texts, size, percent)
-    classes = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+    more = _verified(pairs, texts, size, percent, scratch)
+    scratch.drop(stored_places)
+    classes = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more), scratch)
+    scratch.drop(first, more)
     return described, sets.join(classes.withColumnRenamed("node", "set"), "set", "left").select(
         *name, "set", F.coalesce("root", "set").alias("class"))
 
@@ -288,12 +294,16 @@ def join(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT, id_col
 
     ``row`` is a number of the row; classes are called by a row of theirs.
     """
-    return _joined(numbered(docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")), "rows"),
-                   size, percent)
+    with Scratch(docs.sparkSession) as scratch:
+        rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+        rows = scratch.store(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+        found = scratch.store(_joined(rows, scratch, size, percent), "classes")
+        scratch.keep(found)
+    return found
 
 
-def _joined(rows: DataFrame, size: int, percent: int) -> DataFrame:
-    described, classes = links(rows, size, percent)
+def _joined(rows: DataFrame, scratch: Scratch, size: int, percent: int) -> DataFrame:
+    described, classes = links(rows, scratch, size, percent)
     name = ["n", "name_a", "name_b"]
     smallest = described.where("n > 0").groupBy(*name).agg(F.min("id").alias("id")).join(classes, name)
     of_class = smallest.groupBy("class").agg(F.min("id").alias("component"))
@@ -305,9 +315,13 @@ def _joined(rows: DataFrame, size: int, percent: int) -> DataFrame:
 def one_of_each(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT, id_column: str = "doc_id",
                 text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` with the smallest id of their class; of repeated rows one, and all rows without words."""
-    given = numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "rows")
-    doc = F.col("doc").getField
-    found = _joined(given.select("row", doc(id_column).cast("long").alias("id"), doc(text_column).alias("text")), size, percent)
+    with Scratch(docs.sparkSession) as scratch:
+        given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+        given = scratch.store(given.withColumn("row", F.monotonically_increasing_id()), "rows")
+        doc = F.col("doc").getField
+        rows = given.select("row", doc(id_column).cast("long").alias("id"), doc(text_column).alias("text"))
+        found = scratch.store(_joined(rows, scratch, size, percent), "classes")
+        scratch.keep(given, found)
     # NULL ids come last.
     order = F.struct(F.col("id").isNull().alias("last"), "id", "row")
     kept = found.groupBy("class").agg(F.min(order).alias("least")).select(F.col("least.row").alias("row"))

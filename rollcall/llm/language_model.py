@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache, reduce
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +49,14 @@ END, BEGIN = np.uint64(1), np.uint64(2)
 ADD = 0.1
 
 
-@cache
+#: Made once in each task: functions travel with the plan, so nothing is kept in a module of the workers.
+_made: list[Hasher] = []
+
+
 def hasher() -> Hasher:
-    return Hasher(NOT_SPACE, LOWER)
+    if not _made:
+        _made.append(Hasher(NOT_SPACE, LOWER))
+    return _made[0]
 
 
 def packed(*arrays: np.ndarray) -> bytes:

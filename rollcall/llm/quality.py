@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .batches import bounded, raw, small_batches
 from .labelled import SAMPLE_ROWS, sample
@@ -160,5 +161,4 @@ def score(docs: DataFrame, model: Trees, *, text_column: str = "text", output: s
             scores = model.scores(statistics(hash_words, batch.column(text_column)))
             yield batch.append_column(output, pa.array(scores))
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema)
-    return given.mapInArrow(run, f"{fields}, `{output}` double")
+    return given.mapInArrow(run, StructType([*given.schema.fields, StructField(output, DoubleType())]))

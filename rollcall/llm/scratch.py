@@ -7,11 +7,41 @@ from pyspark.sql import DataFrame, SparkSession
 from rollcall.session import fresh_dir
 
 
+#: Folders of each application that results may still read.
+_left: dict[str, list[str]] = {}
+
+
+def left_behind(spark: SparkSession, path: str) -> None:
+    """Remember a folder that a result reads."""
+    _left.setdefault(spark.sparkContext.applicationId, []).append(path)
+
+
+def folders(spark: SparkSession) -> list[str]:
+    """All folders that results of this application were left with."""
+    return list(_left.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, paths: list[str], *reading: DataFrame) -> None:
+    """Delete folders that results were left with and that are not needed, but for those that ``reading`` reads."""
+    read = [f for frame in reading for f in frame.inputFiles()]
+    left = _left.get(spark.sparkContext.applicationId, [])
+    for path in paths:
+        name = path.rstrip("/").rsplit("/", 1)[-1]
+        if path in left and not any(f"/{name}/" in f for f in read):
+            left.remove(path)
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    # Hadoop's own file system client, so that any cluster storage will do.
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class Scratch:
     """Tables below the shared folder. What is not kept goes when the block ends, also when it fails.
 
-    A table that a returned, not yet written DataFrame reads has to be kept: whoever writes the result deletes it, or
-    whoever owns the shared folder.
+    A table that a returned, not yet written DataFrame reads has to be kept; ``release`` deletes it later.
     """
 
     def __init__(self, spark: SparkSession) -> None:
@@ -35,15 +65,14 @@ class Scratch:
 
     def drop(self, *stored: DataFrame) -> None:
         """Delete tables that are not needed any more."""
-        # Hadoop's own file system client, so that any cluster storage will do.
-        hadoop = self._spark._jvm.org.apache.hadoop.fs
         for frame in stored:
             _, path = self._paths.pop(id(frame), (None, None))
             if path:
-                folder = hadoop.Path(path)
-                folder.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(folder, True)
+                _delete(self._spark, path)
 
     def keep(self, *stored: DataFrame) -> None:
         """Leave tables where they are, for a result that reads them."""
         for frame in stored:
-            self._paths.pop(id(frame), None)
+            _, path = self._paths.pop(id(frame), (None, None))
+            if path:
+                left_behind(self._spark, path)

@@ -18,17 +18,18 @@ is read once and stored with a number for each row.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from rollcall.session import fresh_dir
 
 from .batches import bounded, numbered, raw, small_batches
 from .bitmap import bit, bitmap
+from .scratch import left_behind
 from .words import Hasher, Words, inside_text, mixed, of_text, windows
 
 WINDOW, MINIMISER = 13, 3
@@ -40,9 +41,14 @@ PACKED_BYTES = 1 << 21
 NO_ID = 2 ** 63 - 1
 
 
-@cache
+#: Made once in each task: functions travel with the plan, so nothing is kept in a module of the workers.
+_made: list[Hasher] = []
+
+
 def hasher() -> Hasher:
-    return Hasher()
+    if not _made:
+        _made.append(Hasher())
+    return _made[0]
 
 
 def sliding_min(values: np.ndarray, size: int) -> np.ndarray:
@@ -280,6 +286,7 @@ def dedupe(docs: DataFrame, *, window: int = WINDOW, per_bucket: int = PER_BUCKE
     text = F.col("doc").getField(text_column)
     keyed = rows.select("row", F.coalesce(F.col("doc").getField(id_column), F.lit(NO_ID)).alias("key"), text.alias("text"))
     path = fresh_dir(docs.sparkSession, "removals")
+    left_behind(docs.sparkSession, path)
     removals(keyed, window, per_bucket).write.parquet(path)
     found = docs.sparkSession.read.parquet(path)
     marked = bitmap(found, "row")
@@ -291,8 +298,9 @@ def dedupe(docs: DataFrame, *, window: int = WINDOW, per_bucket: int = PER_BUCKE
 
         return run
 
-    kind = rows.schema["doc"].dataType.simpleString()
-    still, moved = (rows.withColumn("bit", bit("row")).mapInArrow(having(marks), f"row long, doc {kind}") for marks in (False, True))
+    kind = StructType([rows.schema["row"], rows.schema["doc"]])
+    still, moved = (rows.withColumn("bit", bit("row")).mapInArrow(having(marks), kind) for marks in (False, True))
     still = still.withColumn("spans", F.lit(None).cast(found.schema["spans"].dataType))
     sides = [side.select("doc", text.alias("text"), "spans") for side in (still, moved.join(found, "row", "left"))]
-    return sides[0].unionByName(sides[1]).mapInArrow(_kept, f"doc {kind}, n_words long, n_removed long, kept string")
+    return sides[0].unionByName(sides[1]).mapInArrow(_kept, StructType([
+        rows.schema["doc"], StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept", StringType())]))

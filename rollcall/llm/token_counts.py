@@ -28,6 +28,7 @@ from rollcall.session import fresh_dir
 
 from .batches import bounded, numbered, raw, small_batches
 from .bpe import _cut
+from .scratch import left_behind
 from .words import LOWER, Hasher, of_text
 
 CHUNK_CHARS = 65_536
@@ -137,6 +138,7 @@ def _long(rows: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
         last = F.when(F.col("part") == F.col("parts") - 1, F.col("tokens")).otherwise(
             F.map_from_arrays("tail", "tail_tokens")[F.col("end")])
         target = fresh_dir(spark, "token-splices")
+        left_behind(spark, target)
         spliced.groupBy("row").agg(F.sum(last - first).alias("n_tokens"), F.max((last - first).isNull()).alias("apart")
                                    ).write.parquet(target)
         counted = spark.read.parquet(target)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall.llm import components, decontaminate, jaccard, substring
+from rollcall.llm.scratch import Scratch
 
 from .helpers import awkward, docs, prose, stored
 
@@ -76,11 +77,13 @@ def test_equal_hashes_are_told_apart(monkeypatch):
     assert list(zip(text.tolist(), first.tolist())) == [(1, 1), (2, 0)]
 
 
+def shingles_by_hand(text, size):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i: i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set())
+
+
 def classes_by_hand(rows, size, percent):
-    sets = []
-    for _, t in rows:
-        w = (t or "").encode().lower().split()
-        sets.append({tuple(w[i: i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set()))
+    sets = [shingles_by_hand(t, size) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(x):
@@ -144,7 +147,8 @@ def test_subset_sizes():
 def test_components(spark):
     chosen = random.Random(5)
     links = [(chosen.randrange(200), chosen.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 360)] + [(7, 7)]
-    found = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    with Scratch(spark) as scratch:
+        found = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long"), scratch).collect()}
     root = list(range(400))
 
     def find(x):
@@ -156,7 +160,8 @@ def test_components(spark):
         low, high = sorted((find(a), find(b)))
         root[high] = low
     assert found == {x: find(x) for x in range(400) if find(x) != x}
-    assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+    with Scratch(spark) as scratch:
+        assert components.components(spark.createDataFrame([], "a long, b long"), scratch).collect() == []
 
 
 def words_of(text):
