@@ -320,7 +320,8 @@ def one_of_each(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT,
         given = scratch.store(given.withColumn("row", F.monotonically_increasing_id()), "rows")
         doc = F.col("doc").getField
         rows = given.select("row", doc(id_column).cast("long").alias("id"), doc(text_column).alias("text"))
-        found = scratch.store(_joined(rows, scratch, size, percent), "classes")
+        # Spark broadcasts by the size of files, and packed numbers look far smaller than they are.
+        found = scratch.store(_joined(rows, scratch, size, percent), "classes", compression="uncompressed")
         scratch.keep(given, found)
     # NULL ids come last.
     order = F.struct(F.col("id").isNull().alias("last"), "id", "row")
