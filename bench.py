@@ -21,7 +21,7 @@ HEADLINE = (
     "jn10_current_members", "flt1_json_object", "src2_member_records", "prj1_decode_member", "rte2_target_table",
     "snk8_latest_rows", "snk8_latest_values", "agg2_word_count", "prj6_words_on_space", "agg3_running_count",
     "agg4_windowed_count", "str4_tumbling", "str6_sliding", "str7_sessions", "str11_previous_login",
-    "fn2_row_key", "fn3_safe_json_parse", "fn12_money_text", "jn9_cogroup", "ods_dimension_rows",
+    "fn2_row_key", "fn3_safe_json_parse", "fn12_money_text", "jn9_cogroup", "ods_dimension_rows", "jn1_stream",
 )
 
 

@@ -45,8 +45,8 @@ MEMBER_FIELDS = {
     "birthday": "date_format(date_add(DATE '1960-01-01', CAST(user_id % 14000 AS int)), 'yyyy-MM-dd')",
     "email": "concat('u', user_id, '@mail.test')", "fullname": "concat('user', user_id)", "iconurl": "'-'",
     "lastlogin": "IF(event_id % 4 <> 0, concat('l', event_id), NULL)", "mailaddr": "'-'",
-    "memberlevel": "CAST(user_id % 8 + 1 AS string)", "password": "'123456'", "paymoney": "'-'",
-    "phone": "concat('1371', user_id)", "qq": "'10000'", "register": "ms", "regupdatetime": "'-'", "unitname": "'-'",
+    "memberlevel": "CAST(user_id % 8 + 1 AS string)", "password": "'pw-field'", "paymoney": "'-'",
+    "phone": "concat('0170', user_id)", "qq": "'44001'", "register": "ms", "regupdatetime": "'-'", "unitname": "'-'",
     "userip": f"concat_ws('.', {_octet(24)}, {_octet(16)}, {_octet(8)}, {_octet(0)})", "zipcode": "'-'",
     "dt": "dt", "dn": "dn",
 }
@@ -196,8 +196,8 @@ member_all AS (
          strftime(DATE '1960-01-01' + CAST(user_id % 14000 AS INTEGER), '%Y-%m-%d') AS birthday,
          'u' || user_id || '@mail.test' AS email, 'user' || user_id AS fullname, '-' AS iconurl,
          CASE WHEN event_id % 4 <> 0 THEN 'l' || event_id END AS lastlogin, '-' AS mailaddr,
-         CAST(user_id % 8 + 1 AS VARCHAR) AS memberlevel, '123456' AS password, '-' AS paymoney,
-         '1371' || user_id AS phone, '10000' AS qq, ms AS register, '-' AS regupdatetime, '-' AS unitname,
+         CAST(user_id % 8 + 1 AS VARCHAR) AS memberlevel, 'pw-field' AS password, '-' AS paymoney,
+         '0170' || user_id AS phone, '44001' AS qq, ms AS register, '-' AS regupdatetime, '-' AS unitname,
          concat_ws('.', (event_id * 2654435 % 2147483647 >> 24) & 255, (event_id * 2654435 % 2147483647 >> 16) & 255,
                    (event_id * 2654435 % 2147483647 >> 8) & 255, event_id * 2654435 % 2147483647 & 255) AS userip,
          '-' AS zipcode, dt, dn, us // 1000 * 1000 AS us, event_id
