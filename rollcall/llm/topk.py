@@ -5,8 +5,8 @@ Queries and candidates are packed into matrices: blocks of queries and shards of
 tiles of one block and merges their lists as it goes; the lists of the tasks meet in a window per query, of
 which Spark already keeps only the first k of each task before the shuffle.
 
-Components count as floor(scale * x). Vectors that are NULL or hold NULL, NaN, infinite or (after scaling)
-larger than 64-bit components take no part. Vectors of other lengths are no candidates for a query. Products
+Components count as floor(scale * x). Vectors that are NULL or hold NULL, NaN or infinite components (also after scaling)
+take no part. Vectors of other lengths are no candidates for a query. Products
 are exact: floating matrices while every sum is below 2^53, whole numbers of any size beyond (scores past 64 bits
 are held to the nearest). Ties go to the smaller id. Rows with a NULL id take no part; of rows with one id each is
 a candidate, and none of them is a candidate for the others. An empty table gives no rows.
@@ -27,8 +27,13 @@ SHARDS_PER_TASK = 64
 
 
 def _scaled(vector: str, scale: int) -> Column:
-    whole = F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("double"))
-    fine = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x.cast("double") * F.lit(float(scale))) < F.lit(2.0 ** 63)))
+    # Spark's floor gives a 64-bit number; components beyond 2^53 are whole anyway.
+    def floor(x: Column) -> Column:
+        return F.when(F.abs(x) < F.lit(2.0 ** 53), F.floor(x).cast("double")).otherwise(x)
+
+    whole = F.transform(vector, lambda x: floor(x.cast("double") * F.lit(float(scale))))
+    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (
+        F.abs(x.cast("double") * F.lit(float(scale))) < F.lit(float("inf"))))
     return F.when(fine & F.col(vector).isNotNull(), whole)
 
 

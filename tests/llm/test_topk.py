@@ -42,6 +42,12 @@ def test_sums_beyond_floating_point_are_exact(spark):
     assert [tuple(r)[2:] for r in sorted(found.collect())] == [t[2:] for t in brute(rows, 3, 100)]
 
 
+def test_components_beyond_64_bits_take_part(spark):
+    rows = [(0, [2.0 ** -58, 1.0]), (1, [2.0 ** 58, 1.0]), (2, [-(2.0 ** 58), 1.0]), (3, [2.0 ** 57, 0.5]), (4, [1e308, 0.0])]
+    found = topk.search(table(spark, rows), F.col("vec_id") == 0, 5)
+    assert sorted(map(tuple, found.collect())) == brute(rows[:4], 5, 10)
+
+
 def test_repeated_ids_and_empty_table(spark):
     rows = [(0, [1.0]), (1, [2.0]), (1, [2.0]), (0, [5.0])]
     found = topk.search(table(spark, rows), F.col("vec_id") == 0, 5).collect()
