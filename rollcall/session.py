@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # What a finished query has shuffled is deleted at its end, not when the driver's heap is next collected.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # Call sites for every column expression cost several round trips to the JVM each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Stream state larger than the heap: keep it in RocksDB and checkpoint only the changes.
