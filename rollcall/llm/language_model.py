@@ -5,42 +5,42 @@ tables; all these restaurants share one parent, in which each of their tables is
 even over the known words and one unknown. Seatings are sampled by Gibbs sweeps over the whole corpus: the parent's
 customers are the tables of all restaurants, its tables are drawn given them, and then the tables of each word in a
 restaurant are drawn again, given the tables of all others there and the word's probability in the parent. The
-predictive probabilities are averaged over the sweeps after the first ones.
+predictive probabilities, under the same discounts, are averaged over the sweeps after the first ones.
 
 The text is worked on in segments of some megabytes. Each segment sends the counts of its words to buckets of words,
 where they are summed over the corpus, and the counts of its pairs to buckets of contexts, where the restaurants are
 seated; both send back what the segment asked for, in its order. So a word or pair that stands everywhere reaches a
 bucket once for each segment. A context with more than ``hot`` tokens is split over buckets by the word that follows;
 its number of tables is summed after each sweep. The parent is dealt out by words: in each sweep the buckets of
-contexts send it the numbers of tables of their words and get back the words' customers and tables there. Discounts
-come from the counts of words and pairs seen once and twice. More than ``EXACT`` customers of one word are seated in
-blocks.
+contexts send it the numbers of tables of their words and get back the words' customers and tables there. A bucket
+adds up the probabilities of its pairs itself, so that a sweep needs the last one only, and older ones are deleted. The
+discount of the restaurants and that of the parent come from the counts of pairs and words seen once and twice. More than
+``EXACT`` customers of one word are seated in blocks.
 
 Tokens are ASCII lower-cased words between ASCII white space, then one end of text. NULL and empty texts have the end only.
 Repeated rows count and are scored each for itself. Rows for which ``train`` is not true, NULL included, are scored but not
-learned from. Words are told apart by 64-bit hashes. Segments are cut and numbered once and stored.
+learned from. Words are told apart by 64-bit hashes. Segments are cut and numbered once and stored. The result reads stored
+segments and replies, which stay until ``scratch.release`` is called.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from rollcall.session import fresh_dir
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .batches import bounded, raw, small_batches
+from .scratch import Scratch
 from .words import LOWER, NOT_SPACE, Hasher, mixed, of_text
 
 SEGMENT_BYTES = 1 << 22
 HOT = 1_000_000
-STRENGTH, DISCOUNT = 1.0, 0.75
+STRENGTH = 1.0
 BURN_IN, SAMPLES = 2, 4
 EXACT = 16
 #: Buckets of contexts for one bucket of the parent.
@@ -197,14 +197,15 @@ def _pair_counts(buckets: int, hot: np.ndarray, parts: np.ndarray):
 
 
 #: What buckets of contexts and of the parent keep and send each other. ``kind`` is one of those below.
-SENT = "kind int, bucket int, parent int, segment long, sweep int, data binary, once long, twice long, customers long, tables long, hot array<long>, hot_tables array<long>"
+SENT = "kind int, bucket int, parent int, segment long, data binary, once long, twice long, customers long, tables long, hot array<long>, hot_tables array<long>"
 SENT_SCHEMA = pa.schema([
-    ("kind", pa.int32()), ("bucket", pa.int32()), ("parent", pa.int32()), ("segment", pa.int64()), ("sweep", pa.int32()),
+    ("kind", pa.int32()), ("bucket", pa.int32()), ("parent", pa.int32()), ("segment", pa.int64()),
     ("data", pa.binary()), ("once", pa.int64()), ("twice", pa.int64()), ("customers", pa.int64()), ("tables", pa.int64()),
     ("hot", pa.list_(pa.int64())), ("hot_tables", pa.list_(pa.int64()))])
 #: Pairs of a bucket; what a segment asked it for; its words in a bucket of the parent, and where these stand there; the
-#: bucket's tables for each pair, and for each of these words; customers and tables of these words in the parent; figures.
-PAIRS, ASKED, NAMES, PLACES, TABLES, SUMS, ANSWER, FIGURES = range(8)
+#: bucket's tables for each pair, and for each of these words; customers and tables of these words in the parent; figures;
+#: the sum so far of each pair's predictive probabilities.
+PAIRS, ASKED, NAMES, PLACES, TABLES, SUMS, ANSWER, FIGURES, CHANCES = range(9)
 
 
 def _sent(rows: list[dict]) -> pa.Table:
@@ -230,12 +231,18 @@ class Pairs:
             total[self.contexts == np.uint64(name)] = whole
         return total
 
-    def sent(self, bucket: int, sweep: int, tables: np.ndarray, hot: np.ndarray) -> list[dict]:
+    def chances(self, tables: np.ndarray, split: dict[int, int], visits: dict[int, int], parent: np.ndarray, discount: float) -> np.ndarray:
+        """Predictive probability of each pair; ``parent``: of each word in the parent, ``visits``: customers of split contexts."""
+        served = np.maximum(self.count - discount * tables, 0)
+        anew = (STRENGTH + discount * self.totals(tables, split)[self.context]) * parent[self.word]
+        return (served + anew) / (STRENGTH + self.totals(self.count, visits)[self.context])
+
+    def sent(self, bucket: int, tables: np.ndarray, hot: np.ndarray) -> list[dict]:
         """The tables, their sums for the parent and those of split contexts."""
         sums = np.bincount(self.word, tables, int(self.edges[-1])).astype("<i4")
         here = np.flatnonzero(np.isin(self.contexts, hot))
         local = np.bincount(self.context, tables, len(self.contexts)).astype(np.int64)
-        return [{"kind": TABLES, "bucket": bucket, "sweep": sweep, "data": packed(tables.astype("<i4"))},
+        return [{"kind": TABLES, "bucket": bucket, "data": packed(tables.astype("<i4"))},
                 {"kind": FIGURES, "bucket": bucket, "hot": self.contexts[here].view(np.int64).tolist(), "hot_tables": local[here].tolist()},
                 *({"kind": SUMS, "bucket": bucket, "parent": p, "data": packed(sums[a:b])}
                   for p, (a, b) in enumerate(zip(self.edges, self.edges[1:])) if b > a)]
@@ -266,7 +273,7 @@ def _sum_pairs(parents: int, hot: np.ndarray):
               for s, w in zip(table.column("segment").to_pylist(), asked)),
             *({"kind": NAMES, "bucket": bucket, "parent": p, "data": packed(named[a:b])}
               for p, (a, b) in enumerate(zip(edges, edges[1:])) if b > a),
-            *Pairs(state).sent(bucket, 0, np.minimum(count, 1), hot)])
+            *Pairs(state).sent(bucket, np.minimum(count, 1), hot)])
 
     return run
 
@@ -284,7 +291,7 @@ def _place_words(table: pa.Table) -> pa.Table:
                   {"kind": FIGURES, "parent": parent, "once": int((customers == 1).sum()), "twice": int((customers == 2).sum())}])
 
 
-def _seat_parent(known: int, before: int, sweep: int, seed: int):
+def _seat_parent(known: int, before: int, discount: float, sweep: int, seed: int):
     """The parent seated once more: its customers are the tables of all restaurants; ``before`` tables stood there."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -295,10 +302,10 @@ def _seat_parent(known: int, before: int, sweep: int, seed: int):
         order = sorted(places)
         customers = np.bincount(np.concatenate([places[b] for b in order]), np.concatenate([sums[b] for b in order])).astype(np.int64)
         random = np.random.Generator(np.random.PCG64([seed, 0, parent, sweep]))
-        pull = np.full(len(customers), (STRENGTH + DISCOUNT * before) / (known + 1))
-        tables = seated(random, customers, pull, DISCOUNT)
+        pull = np.full(len(customers), (STRENGTH + discount * before) / (known + 1))
+        tables = seated(random, customers, pull, discount)
         return _sent([
-            *({"kind": ANSWER, "bucket": b, "parent": parent, "sweep": sweep,
+            *({"kind": ANSWER, "bucket": b, "parent": parent,
                "data": packed(customers[places[b]].astype("<i8"), tables[places[b]].astype("<i8"))} for b in order),
             {"kind": FIGURES, "parent": parent, "customers": int(customers.sum()), "tables": int(tables.sum())}])
 
@@ -307,48 +314,60 @@ def _seat_parent(known: int, before: int, sweep: int, seed: int):
 
 @dataclass(frozen=True)
 class Sweep:
-    """Sums over the corpus between two sweeps: customers and tables of the parent, tables of split contexts."""
+    """What holds for the whole corpus in one sweep.
+
+    ``customers`` and ``tables`` of the parent, tables and visits of split contexts, the discounts and the number of known words.
+    """
 
     customers: int
     tables: int
     split: dict[int, int]
+    visits: dict[int, int]
+    discount: float
+    parent_discount: float
+    known: int
 
-    def parent(self, answers: list[dict], known: int, discount: float) -> np.ndarray:
+    def parent(self, answers: list[dict]) -> np.ndarray:
         """Probability in the parent of each word of a bucket, from the answers in order of the parent's buckets."""
         customers, tables = _joined(sorted(answers, key=lambda r: r["parent"]), "<i8", "<i8")
-        return (customers - discount * tables + (STRENGTH + discount * self.tables) / (known + 1)) / (STRENGTH + self.customers)
+        anew = (STRENGTH + self.parent_discount * self.tables) / (self.known + 1)
+        return (customers - self.parent_discount * tables + anew) / (STRENGTH + self.customers)
+
+    def opened(self, rows: list[dict]) -> tuple[Pairs, np.ndarray, np.ndarray, np.ndarray | None]:
+        """Pairs, their tables, the parent's probabilities and the sum of chances, if there is one, of a bucket."""
+        data = {r["kind"]: r["data"] for r in rows if r["kind"] in (PAIRS, TABLES, CHANCES)}
+        chances = unpacked(data[CHANCES], "<f8")[0] if CHANCES in data else None
+        return Pairs(data[PAIRS]), unpacked(data[TABLES], "<i4")[0], self.parent([r for r in rows if r["kind"] == ANSWER]), chances
 
+    def added(self, pairs: Pairs, tables: np.ndarray, parent: np.ndarray, before: np.ndarray | None) -> np.ndarray:
+        now = pairs.chances(tables, self.split, self.visits, parent, self.discount)
+        return now if before is None else before + now
 
-def _seat_pairs(known: int, state: Sweep, sweep: int, hot: np.ndarray, seed: int):
-    """The restaurants seated once more under the parent's probabilities."""
+
+def _seat_pairs(state: Sweep, sweep: int, hot: np.ndarray, seed: int):
+    """The restaurants seated once more under the parent's probabilities, after their chances are added up."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         bucket = rows[0]["bucket"]
-        pairs, tables = (next(r["data"] for r in rows if r["kind"] == k) for k in (PAIRS, TABLES))
-        pairs, tables = Pairs(pairs), unpacked(tables, "<i4")[0]
-        parent = state.parent([r for r in rows if r["kind"] == ANSWER], known, DISCOUNT)
+        pairs, tables, parent, chances = state.opened(rows)
+        summed = []
+        if sweep > BURN_IN:
+            summed = [{"kind": CHANCES, "bucket": bucket, "data": packed(state.added(pairs, tables, parent, chances))}]
         total = pairs.totals(tables, state.split)
         random = np.random.Generator(np.random.PCG64([seed, 1, bucket, sweep]))
-        pull = (STRENGTH + DISCOUNT * total[pairs.context]) * parent[pairs.word]
-        return _sent(pairs.sent(bucket, sweep + 1, seated(random, pairs.count, pull, DISCOUNT), hot))
+        pull = (STRENGTH + state.discount * total[pairs.context]) * parent[pairs.word]
+        return _sent([*pairs.sent(bucket, seated(random, pairs.count, pull, state.discount), hot), *summed])
 
     return run
 
 
-def _chances(known: int, states: dict[int, Sweep], visits: dict[int, int], discount: float, parent_discount: float):
+def _chances(state: Sweep):
     """For each segment the mean predictive probability of the pairs that it asked for."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        pairs = Pairs(next(r["data"] for r in rows if r["kind"] == PAIRS))
-        visited, mean = pairs.totals(pairs.count, visits)[pairs.context], np.zeros(len(pairs.count))
-        for sweep, state in states.items():
-            tables = unpacked(next(r["data"] for r in rows if r["kind"] == TABLES and r["sweep"] == sweep), "<i4")[0]
-            parent = state.parent([r for r in rows if r["kind"] == ANSWER and r["sweep"] == sweep], known, parent_discount)
-            total = pairs.totals(tables, state.split)[pairs.context]
-            chance = np.maximum(pairs.count - discount * tables, 0) + (STRENGTH + discount * total) * parent[pairs.word]
-            mean += chance / (STRENGTH + visited) / len(states)
+        mean = state.added(*state.opened(rows)) / SAMPLES
         asked = [r for r in rows if r["kind"] == ASKED]
         return pa.table({
             "bucket": pa.array([r["bucket"] for r in asked], pa.int32()), "segment": pa.array([r["segment"] for r in asked], pa.int64()),
@@ -408,19 +427,8 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([data], pa.binary())], names=["segment", "ids", "data"])
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def _free_shuffles(spark: SparkSession) -> None:
-    """Spark deletes the shuffles of past sweeps once the driver's heap has let go of them."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def _of(sent: DataFrame, *kinds: int) -> DataFrame:
-    return sent.where(F.col("kind").isin(*kinds)).select("kind", "bucket", "parent", "segment", "sweep", "data")
+    return sent.where(F.col("kind").isin(*kinds)).select("kind", "bucket", "parent", "segment", "data")
 
 
 def _split_tables(sent: DataFrame) -> dict[int, int]:
@@ -429,26 +437,31 @@ def _split_tables(sent: DataFrame) -> dict[int, int]:
     return {int(r.hot) % 2 ** 64: r.t for r in found}
 
 
-def _chance_replies(counted: DataFrame, parents: int, known: int, visits: dict[int, int], hot: np.ndarray, seed: int) -> DataFrame:
+def _chance_replies(
+    scratch: Scratch, counted: DataFrame, parents: int, known: int, visits: dict[int, int], hot: np.ndarray, seed: int,
+) -> DataFrame:
     """bucket, segment, data: the mean predictive probabilities of the pairs of each segment, after all sweeps."""
-    pairs = _stored(counted.groupBy("bucket").applyInArrow(_sum_pairs(parents, hot), SENT), "pairs")
-    places = _stored(_of(pairs, NAMES, SUMS).groupBy("parent").applyInArrow(_place_words, SENT), "places")
+    store = lambda df, label: scratch.store(df, label, compression="none")
+    pairs = store(counted.groupBy("bucket").applyInArrow(_sum_pairs(parents, hot), SENT), "pairs")
+    places = store(_of(pairs, NAMES, SUMS).groupBy("parent").applyInArrow(_place_words, SENT), "places")
     discount, parent_discount = (_discount(*(x or 0 for x in df.agg(F.sum("once"), F.sum("twice")).first())) for df in (pairs, places))
-    seatings, answers, states, before = [pairs], [], {}, known
+    seating, before = pairs, known
     for sweep in range(BURN_IN + SAMPLES + 1):
-        _free_shuffles(counted.sparkSession)
-        answers.append(_stored(_of(places, PLACES).union(_of(seatings[-1], SUMS)).groupBy("parent").applyInArrow(
-            _seat_parent(known, before, sweep, seed), SENT), "parent"))
-        customers, before = (x or 0 for x in answers[-1].agg(F.sum("customers"), F.sum("tables")).first())
-        states[sweep] = Sweep(customers, before, _split_tables(seatings[-1]) if len(hot) else {})
-        if sweep < BURN_IN + SAMPLES:
-            seatings.append(_stored(_of(pairs, PAIRS).union(_of(seatings[-1], TABLES)).union(_of(answers[-1], ANSWER)).groupBy(
-                "bucket").applyInArrow(_seat_pairs(known, states[sweep], sweep, hot, seed), SENT), "seated"))
-    kept = range(BURN_IN + 1, BURN_IN + SAMPLES + 1)
-    gathered = reduce(DataFrame.union, [_of(pairs, PAIRS, ASKED), *(_of(seatings[i], TABLES) for i in kept),
-                                        *(_of(answers[i], ANSWER) for i in kept)])
-    return _stored(gathered.groupBy("bucket").applyInArrow(
-        _chances(known, {i: states[i] for i in kept}, visits, discount, parent_discount), "bucket int, segment long, data binary"), "chances")
+        answer = store(_of(places, PLACES).union(_of(seating, SUMS)).groupBy("parent").applyInArrow(
+            _seat_parent(known, before, parent_discount, sweep, seed), SENT), "parent")
+        customers, before = (x or 0 for x in answer.agg(F.sum("customers"), F.sum("tables")).first())
+        split = _split_tables(seating) if len(hot) else {}
+        state = Sweep(customers, before, split, visits, discount, parent_discount, known)
+        here = _of(seating, TABLES, CHANCES).union(_of(answer, ANSWER))
+        if sweep == BURN_IN + SAMPLES:
+            return store(_of(pairs, PAIRS, ASKED).union(here).groupBy("bucket").applyInArrow(
+                _chances(state), "bucket int, segment long, data binary"), "chances")
+        seats = store(_of(pairs, PAIRS).union(here).groupBy("bucket").applyInArrow(_seat_pairs(state, sweep, hot, seed), SENT), "seated")
+        scratch.drop(answer)
+        if seating is not pairs:
+            scratch.drop(seating)
+        seating = seats
+    raise AssertionError("the last sweep returns")
 
 
 def score(docs: DataFrame, train: Column, *, id_column: str = "doc_id", text_column: str = "text", hot: int = HOT,
@@ -463,20 +476,21 @@ def score(docs: DataFrame, train: Column, *, id_column: str = "doc_id", text_col
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(1, -(-size // bucket_bytes))
     sent = "bucket int, segment long, data binary"
-    bodies = _stored(rows.mapInArrow(_bodies, f"segment long, ids array<{kind}>, data binary"), "segments")
-    segments = bodies.select("segment", "data")
-    words = _stored(segments.mapInArrow(_word_counts(buckets), sent).groupBy("bucket").applyInArrow(
-        _sum_words(hot), WORDS), "words")
-    stats = words.where("segment IS NULL")
-    v, n = (x or 0 for x in stats.agg(F.sum("v"), F.sum("n")).first())
-    known = {int(h) % 2 ** 64: c for r in stats.where(F.size("hot") > 0).select("hot", "hot_n").collect() for h, c in zip(*r)}
-    if int(END) in known:
-        known[int(BEGIN)] = known[int(END)]
-    names = np.array(sorted(known), np.uint64)
-    parts = np.array([-(-known[int(h)] // hot) for h in names], np.uint64)
-
-    counted = segments.mapInArrow(_pair_counts(buckets, names, parts), sent)
-    pairs = _chance_replies(counted, -(-buckets // PER_PARENT), v, known, names, seed)
+    with Scratch(docs.sparkSession) as scratch:
+        bodies = scratch.store(rows.mapInArrow(_bodies, f"segment long, ids array<{kind}>, data binary"), "segments", compression="none")
+        segments = bodies.select("segment", "data")
+        words = scratch.store(segments.mapInArrow(_word_counts(buckets), sent).groupBy("bucket").applyInArrow(
+            _sum_words(hot), WORDS), "words", compression="none")
+        stats = words.where("segment IS NULL")
+        v, n = (x or 0 for x in stats.agg(F.sum("v"), F.sum("n")).first())
+        known = {int(h) % 2 ** 64: c for r in stats.where(F.size("hot") > 0).select("hot", "hot_n").collect() for h, c in zip(*r)}
+        if int(END) in known:
+            known[int(BEGIN)] = known[int(END)]
+        names = np.array(sorted(known), np.uint64)
+        parts = np.array([-(-known[int(h)] // hot) for h in names], np.uint64)
+        counted = segments.mapInArrow(_pair_counts(buckets, names, parts), sent)
+        pairs = _chance_replies(scratch, counted, -(-buckets // PER_PARENT), v, known, names, seed)
+        scratch.keep(bodies, words, pairs)
 
     def gathered(replies: DataFrame, name: str) -> DataFrame:
         return replies.where("segment IS NOT NULL").groupBy("segment").agg(

@@ -169,3 +169,23 @@ def test_tables_are_seated_within_bounds():
         tables = language_model.seated(random_, count, np.full(6, pull), 0.5)
         assert (tables <= count).all() and (tables >= np.minimum(count, 1)).all()
     assert language_model.seated(random_, count, np.full(6, 1e9), 0.5)[-1] > 90_000
+
+
+def test_chances_like_a_loop_from_given_tables():
+    """Predictive probabilities of fixed seatings, one context split over buckets, against the formula pair by pair."""
+    contexts, runs = np.array([5, 9, 12], "<u8"), np.array([2, 1, 3], "<i4")
+    word, count, tables = [0, 2, 1, 0, 1, 3], [4, 1, 7, 2, 0, 3], [2, 1, 3, 1, 0, 2]
+    pairs = language_model.Pairs(language_model.packed(
+        contexts, runs, np.array(word, "<i4"), np.array(count, "<i4"), np.array([0, 4], "<i8")))
+    customers, seats = np.array([4, 6, 1, 2]), np.array([2, 3, 1, 1])
+    answers = [{"parent": p, "data": language_model.packed(customers[a:b].astype("<i8"), seats[a:b].astype("<i8"))}
+               for p, (a, b) in enumerate([(0, 3), (3, 4)])]
+    state = language_model.Sweep(13, 7, {12: 10}, {12: 40}, 0.6, 0.3, 5)
+    parent = state.parent(answers[::-1])
+    found = pairs.chances(np.array(tables), state.split, state.visits, parent, 0.6)
+    owner = [0, 0, 1, 2, 2, 2]
+    for i, mine in enumerate(owner):
+        visits = 40 if mine == 2 else sum(c for c, o in zip(count, owner) if o == mine)
+        total = 10 if mine == 2 else sum(t for t, o in zip(tables, owner) if o == mine)
+        above = (customers[word[i]] - 0.3 * seats[word[i]] + (1 + 0.3 * 7) / 6) / (1 + 13)
+        assert found[i] == pytest.approx((max(count[i] - 0.6 * tables[i], 0) + (1 + 0.6 * total) * above) / (1 + visits))
