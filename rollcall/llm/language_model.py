@@ -60,16 +60,18 @@ def hasher() -> Hasher:
 
 
 def packed(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed string, each behind its size."""
-    parts = [p for a in arrays for p in (np.int64(a.nbytes).tobytes(), a.tobytes())]
+    """Arrays as one compressed string, each behind its size; first bytes of all numbers, then second ones, as these are alike."""
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T for a in arrays)
+    parts = [p for a, plane in zip(arrays, planes) for p in (np.int64(a.nbytes).tobytes(), plane.tobytes())]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
 def unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
     data, at, found = zstandard.ZstdDecompressor().decompress(data), 0, []
-    for kind in kinds:
+    for kind in map(np.dtype, kinds):
         size = int(np.frombuffer(data, "<i8", 1, at)[0])
-        found.append(np.frombuffer(data, kind, size // np.dtype(kind).itemsize, at + 8))
+        planes = np.frombuffer(data, np.uint8, size, at + 8).reshape(kind.itemsize, -1)
+        found.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
         at += 8 + size
     return found
 
@@ -336,7 +338,7 @@ class Sweep:
     def opened(self, rows: list[dict]) -> tuple[Pairs, np.ndarray, np.ndarray, np.ndarray | None]:
         """Pairs, their tables, the parent's probabilities and the sum of chances, if there is one, of a bucket."""
         data = {r["kind"]: r["data"] for r in rows if r["kind"] in (PAIRS, TABLES, CHANCES)}
-        chances = unpacked(data[CHANCES], "<f8")[0] if CHANCES in data else None
+        chances = unpacked(data[CHANCES], "<f4")[0] if CHANCES in data else None
         return Pairs(data[PAIRS]), unpacked(data[TABLES], "<i4")[0], self.parent([r for r in rows if r["kind"] == ANSWER]), chances
 
     def added(self, pairs: Pairs, tables: np.ndarray, parent: np.ndarray, before: np.ndarray | None) -> np.ndarray:
@@ -353,7 +355,7 @@ def _seat_pairs(state: Sweep, sweep: int, hot: np.ndarray, seed: int):
         pairs, tables, parent, chances = state.opened(rows)
         summed = []
         if sweep > BURN_IN:
-            summed = [{"kind": CHANCES, "bucket": bucket, "data": packed(state.added(pairs, tables, parent, chances))}]
+            summed = [{"kind": CHANCES, "bucket": bucket, "data": packed(state.added(pairs, tables, parent, chances).astype("<f4"))}]
         total = pairs.totals(tables, state.split)
         random = np.random.Generator(np.random.PCG64([seed, 1, bucket, sweep]))
         pull = (STRENGTH + state.discount * total[pairs.context]) * parent[pairs.word]
@@ -419,7 +421,12 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = TaskContext.get().partitionId() << 32
     for number, batch in enumerate(bounded(batches, "text", SEGMENT_BYTES)):
         found = hasher().find(*raw(batch.column("text")))
-        words, token = np.unique(found.hashes, return_inverse=True)
+        words, token, often = np.unique(found.hashes, return_inverse=True, return_counts=True)
+        # Frequent words first: small numbers pack well.
+        order = np.argsort(-often, kind="stable")
+        place = np.empty(len(order), "<i4")
+        place[order] = np.arange(len(order))
+        words, token = words[order], place[token]
         train = batch.column("train").fill_null(False).to_numpy(zero_copy_only=False)
         data = packed(words.astype("<u8"), token.astype("<i4"), found.counts.astype("<i8"), train)
         yield pa.RecordBatch.from_arrays(
