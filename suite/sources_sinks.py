@@ -13,6 +13,7 @@ from rollcall.schemas import (
     AD_TABLE, FACT_TOPICS, VIP_TABLE, WEBSITE_TABLE, Dimension,
 )
 from rollcall.session import fresh_dir
+from rollcall.sinks.client_sink import client_sink
 from rollcall.sinks.topic_log import append_facts, write_text_topic
 from rollcall.sinks.upsert_table import UpsertTable
 from rollcall.sources import (
@@ -22,6 +23,7 @@ from rollcall.sources import (
 from rollcall.streaming.event_time import with_event_time
 
 from . import views
+from .folder_client import folder_client, read_folder
 from .joins import JN2, JN6, MERGED, PAIR_ORDER, STORED, WIDE, jn1_sql, last_values_sql
 from .registry import check
 from .views import DAY, names
@@ -231,3 +233,17 @@ def ods_to_wide(spark, sf_dir):
     dimensions = [tables[d.table].read() for d in (AD_TABLE, WEBSITE_TABLE, VIP_TABLE)]
     rows = wide_rows(member, regtype, payment, *dimensions, size=DAY)
     return rows.withColumns({c: F.col(c).cast("int") for c in ("ad_hit", "site_hit", "vip_hit")})
+
+
+@check("udf4_client_sink", "SELECT event_id, user_id, event_type, value FROM events")
+def udf4(spark, sf_dir):
+    """Three batches through a client, one of them written twice and counted once."""
+    root = fresh_dir(spark, "client")
+    spark.dataSource.register(client_sink("folder_client", folder_client(), rows=5_000))
+    rows = views.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
+    cuts = [None, "2024-01-10", "2024-01-20", None]
+    for batch in (0, 1, 1, 2):
+        begin, end = cuts[batch: batch + 2]
+        part = rows.where(" AND ".join([f"ts >= '{begin}'"] * bool(begin) + [f"ts < '{end}'"] * bool(end))).drop("ts")
+        part.write.format("folder_client").option("root", root).option("batch", str(batch)).mode("append").save()
+    return read_folder(spark, root, rows.drop("ts").schema)
