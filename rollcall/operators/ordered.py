@@ -2,7 +2,8 @@
 
 A window over the whole key would put a frequent key into one task. Each of
 these works on slices of time instead: inside a slice row by row, across slices
-on one or two summary rows per key and slice.
+on one or two summary rows per key and slice. ``running_count_in_ranges`` cuts by
+counted rows, for keys that hold too many rows of one time, or of none.
 """
 
 from __future__ import annotations
@@ -10,6 +11,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from ..session import fresh_dir
 
 # The key as one struct: not NULL even where its fields are, so that it can be
 # joined on by plain equality and the join keeps the partitioning of the window.
@@ -52,6 +56,41 @@ def running_count(
     )
 
 
+def running_count_in_ranges(
+    df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], name: str = "n", rows_per_part: int = 1_000_000,
+    path: str | None = None,
+) -> DataFrame:
+    """As ``running_count``, in parts of about ``rows_per_part`` rows wherever a key, a time or rows without a time are frequent.
+
+    The rows are put in order of key, time and tie in ranges cut by their number, and written in that order with their place.
+    A key's rows stand one after the other, so a row's number is its distance from the first one in its range, and the
+    key's rows in the ranges before, of which there is one sum for each key and range. Ranges are cut by a sample: they are written,
+    below the shared folder or at ``path``, so that each later read finds the same ones. Rows that ``tie`` does not tell apart stay in one range.
+    """
+    parts = max(1, -(-df.count() // rows_per_part))
+    order = ["_us", *tie]
+    placed = (
+        df.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+        .repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order).drop("_us")
+        .withColumn("_at", F.monotonically_increasing_id())
+    )
+    path = path or fresh_dir(df.sparkSession, "ranges")
+    placed.write.parquet(path)
+    stored = (
+        df.sparkSession.read.schema(StructType([*df.schema.fields, StructField("_at", LongType())])).parquet(path)
+        # The upper bits of the place are the number of the range.
+        .withColumn(_KEY, F.struct(*keys)).withColumn(_SLICE, F.shiftright("_at", 33))
+    )
+    earlier = Window.partitionBy(_KEY).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        stored.groupBy(_KEY, _SLICE).agg(F.count("*").alias("_rows"), F.min("_at").alias("_first"))
+        .select(_KEY, _SLICE, "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    )
+    return stored.join(offsets, [_KEY, _SLICE]).select(
+        *df.columns, (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias(name)
+    )
+
+
 def previous_time(
     df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], ttl: str = "1 hour",
     name: str = "previous_us", slice_size: str = "10 minutes",

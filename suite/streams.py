@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall.operators.joins import in_window, join_regtype
-from rollcall.operators.windows import tumbling_counts
+from rollcall.operators.windows import flat_window, tumbling_counts
 from rollcall.plans import ods
 from rollcall.plans.member_wide import wide_table
 from rollcall.schemas import DIMENSION_TOPICS, FACT_TOPICS
@@ -14,7 +14,8 @@ from rollcall.session import fresh_dir
 from rollcall.sinks.upsert_table import UpsertTable
 from rollcall.sources import member_records, payment_records, read_lines, read_raw_log, regtype_records
 from rollcall.streaming import jobs
-from rollcall.streaming.early import early_left_join
+from rollcall.streaming.arrival import arrival_sessions
+from rollcall.streaming.early import early_changes, early_table, standing, start_early_table
 from rollcall.streaming.event_time import fact_time, member_time
 from rollcall.streaming.grouped import cogroup_stream
 from rollcall.streaming.running import RunningCount, start_running_count
@@ -24,6 +25,7 @@ from . import views
 from .joins import JN2, JN6, MERGED, PAIR_ORDER, STORED, WIDE, jn1_sql, last_values_sql
 from .registry import check
 from .sources_sinks import _latest_sql
+from .transforms import session_sql
 from .views import DAY, names
 
 _DAY_US = 86_400_000_000
@@ -163,12 +165,61 @@ def agg1_rows(spark, sf_dir):
 
 @check("str8_early_results", f"WITH {jn1_sql(_DAY_US)} SELECT * FROM jn1")
 def str8(spark, sf_dir):
-    """Early rows settled: a row without a match goes once a pair of it is there. No window stays open."""
-    early = _landed(spark, early_left_join(*_timed(spark, sf_dir), size=DAY))
-    pairs = early.where(~F.col("provisional"))
-    matched = pairs.select("uid", "dn", "win_us").distinct()
-    alone = early.where(F.col("provisional")).join(matched, ["uid", "dn", "win_us"], "left_anti")
-    return pairs.unionByName(alone).drop("provisional", "member_tie")
+    """Early results in two runs on one checkpoint, registrations after members. No window stays open."""
+    folder, checkpoint = fresh_dir(spark, "events"), fresh_dir(spark, "cp")
+    rows = views.events(spark, sf_dir)
+    table = None
+    for kind in ("event_type <> 'click'", "event_type = 'click'"):
+        rows.where(kind).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).parquet(folder)
+        member, regtype = (view(stream).drop("ts") for view in (views.member, views.regtype))
+        # The registrations are behind in time, but belong to windows that the members have to wait in.
+        changes = early_changes(member_time(member, lateness="40 days"), fact_time(regtype, lateness="40 days"),
+                                size=DAY, record="event_id")
+        table = table or early_table(spark, fresh_dir(spark, "early"), changes.schema)
+        start_early_table(changes, table, checkpoint).awaitTermination()
+    return standing(table)
+
+
+_TOPIC_SESSIONS = """
+WITH log AS (
+  SELECT CASE event_type WHEN 'signup' THEN 'member' WHEN 'click' THEN 'memberregtype' WHEN 'purchase' THEN 'memberpaymoney'
+         WHEN 'view' THEN 'basewebsite' ELSE 'basead' END AS topic, us FROM ev
+  UNION ALL SELECT 'membervip', epoch_us(o_orderdate) FROM orders UNION ALL SELECT 'member', 0 FROM documents),
+-- One row for each time, since records of one time have no order.
+t AS (SELECT topic, us, count(*) AS rows FROM log GROUP BY topic, us),
+g AS (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY topic ORDER BY us) <= 300000000 THEN 0 ELSE 1 END AS opens FROM t),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY topic ORDER BY us ROWS UNBOUNDED PRECEDING) AS number FROM g)
+SELECT topic, min(us) AS start_us, max(us) + 300000000 AS end_us, CAST(sum(rows) AS BIGINT) AS n FROM s GROUP BY topic, number"""
+
+
+@check("str7_arrival_sessions", _TOPIC_SESSIONS)
+def str7_arrival(spark, sf_dir):
+    """Sessions of the topics by arrival, in two runs on one checkpoint; the second one brings a closing day."""
+    folder, out, checkpoint = fresh_dir(spark, "raw"), fresh_dir(spark, "landed"), fresh_dir(spark, "cp")
+    topics = [*FACT_TOPICS, *DIMENSION_TOPICS]
+    for part in (views.raw_log(spark, sf_dir), _closing_log(spark)):
+        part.write.mode("append").partitionBy("topic").parquet(folder)
+        log = read_raw_log(spark, topics, path=folder, arrival=True)
+        found = flat_window(arrival_sessions(log, ["topic"], "5 minutes"))
+        (found.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+         .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(found.schema).parquet(out)
+
+
+@check("str7_session_window", session_sql(3_600_000_000, "user_id"))
+def str7_window(spark, sf_dir):
+    """Sessions of the users, as a stream."""
+    folder, out, checkpoint = fresh_dir(spark, "events"), fresh_dir(spark, "landed"), fresh_dir(spark, "cp")
+    rows = views.events(spark, sf_dir).select("user_id", F.col("us").alias("arrived"))
+    closing = spark.sql(f"SELECT -1L AS user_id, {_CLOSING_US}L AS arrived")
+    for part in (rows, closing.to(rows.schema)):
+        part.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).parquet(folder)
+        found = flat_window(arrival_sessions(stream, ["user_id"], "1 hour"))
+        (found.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+         .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(found.schema).parquet(out)
 
 
 def _late_half(spark: SparkSession, sf_dir: str, lateness: str) -> DataFrame:

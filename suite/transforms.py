@@ -111,14 +111,24 @@ def agg2(spark, sf_dir):
     return words.sum_pairs(words.with_one(found))
 
 
-@check("agg3_running_count", """
+_RUNNING = """
 SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type ORDER BY ts, event_id
-       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM events""")
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM events"""
+
+
+@check("agg3_running_count", _RUNNING)
 def agg3(spark, sf_dir):
     rows = views.table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
     return ordered.running_count(rows, ["event_type"], "ts", ["event_id"]).drop("ts")
 
 
+@check("agg3_running_count_ranges", _RUNNING)
+def agg3_ranges(spark, sf_dir):
+    """The same with each type cut into ranges by its rows."""
+    rows = views.table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    return ordered.running_count_in_ranges(rows, ["event_type"], "ts", ["event_id"], rows_per_part=2_000).drop("ts")
+
+
 @check("agg4_windowed_count", """
 SELECT us // 5000000 * 5000000 AS start_us, us // 5000000 * 5000000 + 5000000 AS end_us, event_type AS word, count(*) AS n
 FROM ev GROUP BY ALL""")
@@ -171,11 +181,6 @@ def str7_short(spark, sf_dir):
     return ordered.sessions(views.events(spark, sf_dir), ["event_type"], "ts")
 
 
-@check("str7_session_window", session_sql(3_600_000_000, "user_id"))
-def str7_window(spark, sf_dir):
-    return windows.flat_window(windows.session_counts(views.events(spark, sf_dir), ["user_id"], "ts", "1 hour"))
-
-
 @check("str11_previous_login", """
 WITH g AS (SELECT event_id, us, lag(us) OVER (PARTITION BY user_id ORDER BY us, event_id) AS before_us FROM ev)
 SELECT event_id, CASE WHEN us - before_us <= 3600000000 THEN before_us END AS previous_us FROM g""")

@@ -403,6 +403,30 @@ def test_running_count_by_brute_force(spark, slice_size):
     assert {r.id: r.n for r in found.collect()} == expected
 
 
+@pytest.mark.parametrize("rows_per_part", [7, 1_000])
+def test_running_count_in_ranges_by_brute_force(spark, rows_per_part):
+    data, df = timeline(spark)
+    # Half of the rows have no time, and many share one.
+    data = [(i, k, None if i % 2 else t and t // 500_000_000 * 500_000_000) for i, k, t in data]
+    df = spark.createDataFrame(data, "id int, k string, us bigint").selectExpr("id", "k", "timestamp_micros(us) AS ts", "id AS `a-b`")
+    order = {i: (t is not None, t or 0, i) for i, _, t in data}
+    expected = {i: sum(1 for j, k2, _ in data if k2 == k and order[j] <= order[i]) for i, k, _ in data}
+    found = ordered.running_count_in_ranges(df, ["k"], "ts", ["id"], rows_per_part=rows_per_part)
+    assert found.columns == ["id", "k", "ts", "a-b", "n"]
+    assert {r.id: r.n for r in found.collect()} == expected
+    assert ordered.running_count_in_ranges(df.limit(0), ["k"], "ts", ["id"]).count() == 0
+
+
+def test_one_key_is_many_even_ranges(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("id", "'hot' AS k", "IF(id % 2 = 0, NULL, timestamp_seconds(5)) AS ts")
+    path = str(tmp_path / "ranges")
+    found = ordered.running_count_in_ranges(rows, ["k"], "ts", ["id"], rows_per_part=1_000, path=path)
+    sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.shiftright("_at", 33)).count().collect()]
+    assert len(sizes) >= 18 and max(sizes) <= 2_000
+    assert found.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first()[:] == (1, 20_000, 20_000)
+    assert found.where("n <= 10000 AND ts IS NOT NULL").isEmpty()
+
+
 @pytest.mark.parametrize("slice_size", ["1 minute", "1 day"])
 def test_previous_time_by_brute_force(spark, slice_size):
     data, df = timeline(spark)

@@ -21,7 +21,8 @@ from rollcall.sinks.topic_log import topic_stream
 from rollcall.sinks.upsert_table import UpsertTable
 from rollcall.sources import read_lines
 from rollcall.streaming import jobs
-from rollcall.streaming.early import early_left_join
+from rollcall.streaming.arrival import arrival_sessions
+from rollcall.streaming.early import early_changes, early_left_join, early_table, standing, start_early_table
 from rollcall.streaming.event_time import fact_time, member_time
 from rollcall.streaming.grouped import cogroup_stream
 from rollcall.streaming.running import RunningCount
@@ -219,6 +220,57 @@ def test_early_results_settle_to_the_left_join(spark):
     assert settled == Counter((r.uid, r.register, r.appkey) for r in batch.collect())
 
 
+@pytest.mark.parametrize("hot_keys", [HotKeys(), None])
+def test_early_table_stands_as_the_left_join_after_each_step(spark, hot_keys):
+    """A restart before every step; a row without a match is withdrawn by the table itself."""
+    left, right = Feed(spark, MEMBER), Feed(spark, REGTYPE)
+    changes = early_changes(member_time(left.stream(), lateness="1 day"), fact_time(right.stream(), lateness="1 day"), hot_keys=hot_keys)
+    table, checkpoint = early_table(spark, fresh_dir(spark, "early"), changes.schema), fresh_dir(spark, "cp")
+    for members, regtypes, _ in STEPS:
+        left.add([member(*m) for m in members])
+        right.add([regtype(*r) for r in regtypes])
+        start_early_table(changes, table, checkpoint, compact_after=2).awaitTermination()
+        batch = join_regtype(member_time(left.batch()), fact_time(right.batch())).where("member_us IS NOT NULL")
+        expected = Counter((r.uid, r.register, r.appkey) for r in batch.collect())
+        assert Counter((r.uid, r.register, r.appkey) for r in standing(table).collect()) == expected
+
+
+def test_identical_records_are_one_result_unless_told_apart(spark):
+    at = str(START)
+    both = [record(MEMBER, uid=1, dn="webA", register=at)] * 2
+    left = spark.createDataFrame(both, MEMBER).selectExpr("*", "monotonically_increasing_id() AS number")
+    right = spark.createDataFrame([record(REGTYPE, uid=1, dn="webA", createtime=at)], REGTYPE).selectExpr("*", "7L AS number")
+    folders = [fresh_dir(spark, "feed") for _ in range(2)]
+    for side, folder in zip((left, right), folders):
+        side.write.parquet(folder)
+    for number, results in ((None, 1), ("number", 2)):
+        member, regtype = (spark.readStream.schema(side.schema).parquet(folder) for side, folder in zip((left, right), folders))
+        changes = early_changes(member_time(member), fact_time(regtype), record=number)
+        table = early_table(spark, fresh_dir(spark, "early"), changes.schema)
+        start_early_table(changes, table, fresh_dir(spark, "cp")).awaitTermination()
+        assert standing(table).count() == results and standing(table).where("regtype_us IS NULL").isEmpty()
+
+
+def test_sessions_are_merged_before_the_shuffle_and_survive_a_restart(spark):
+    shape = "k string, arrived long"
+    folder, out, checkpoint = (fresh_dir(spark, label) for label in ("feed", "landed", "cp"))
+    seconds = 1_000_000
+    # The second step goes on with the open session of the first one, once exactly a gap later; the last one closes all.
+    for step in ([("a", t * seconds) for t in range(4)] + [(None, 0), ("b", None)], [("a", 7 * seconds), ("a", 12 * seconds), ("a", 18 * seconds)], [("z", 10**15)]):
+        spark.createDataFrame(step, shape).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(shape).parquet(folder)
+        found = arrival_sessions(stream, ["k"], "5 seconds", out_of_order="1 minute")
+        query = (found.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+        plan = query._jsq.explainInternal(False)
+    assert plan.count("MergingSessions") >= 2
+    assert plan.rindex("MergingSessions") > plan.rindex("Exchange hashpartitioning")
+    rows = spark.read.schema(found.schema).parquet(out).select("k", F.unix_micros("win.start"), F.unix_micros("win.end"), "n").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(
+        [("a", 0, 17 * seconds, 6), ("a", 18 * seconds, 23 * seconds, 1), (None, 0, 5 * seconds, 1)], key=str)
+
+
 def test_poison_then_restart(spark):
     folder, checkpoint, topic = fresh_dir(spark, "lines"), fresh_dir(spark, "cp"), fresh_dir(spark, "topic")
     counts = UpsertTable(spark, fresh_dir(spark, "counts"), jobs.WORD_COUNTS, ["word"])
