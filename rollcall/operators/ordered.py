@@ -116,7 +116,9 @@ def previous_time(
 def sessions(
     df: DataFrame, keys: Sequence[str], ts: str, gap: str = "5 seconds", slice_size: str = "10 minutes",
 ) -> DataFrame:
-    """keys, start_us, end_us, n: runs of rows less than ``gap`` apart; the end is the last row plus ``gap``.
+    """keys, start_us, end_us, n: runs of rows no more than ``gap`` apart; the end is the last row plus ``gap``.
+
+    Rows exactly ``gap`` apart are in one session, as with Spark's ``session_window``.
 
     Sessions inside a slice are final. Only the first and last of a slice can
     go on in a neighbour, and only those are looked at across slices.
@@ -124,7 +126,7 @@ def sessions(
     width = micros(gap)
     sliced = _sliced(df.where(F.col(ts).isNotNull()).select(*keys, ts), keys, ts, slice_size)
     inside = Window.partitionBy(_KEY, _SLICE).orderBy("_us")
-    opens = F.when(F.col("_us") - F.lag("_us").over(inside) < width, 0).otherwise(1)
+    opens = F.when(F.col("_us") - F.lag("_us").over(inside) <= width, 0).otherwise(1)
     runs = (
         sliced.withColumn("_opens", opens)
         .withColumn("_number", F.sum("_opens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
@@ -134,7 +136,7 @@ def sessions(
     )
     at_edge = (F.col("_number") == 1) | (F.col("_number") == F.col("_runs"))
     across = Window.partitionBy(_KEY).orderBy("_from")
-    goes_on = F.when(F.col("_from") - F.lag("_to").over(across) < width, 0).otherwise(1)
+    goes_on = F.when(F.col("_from") - F.lag("_to").over(across) <= width, 0).otherwise(1)
     edges = (
         runs.where(at_edge).withColumn("_opens", goes_on)
         .withColumn("_session", F.sum("_opens").over(across.rowsBetween(Window.unboundedPreceding, 0)))

@@ -165,7 +165,7 @@ def str6(spark, sf_dir):
 
 def session_sql(gap_us: int, key: str) -> str:
     return f"""
-WITH g AS (SELECT {key}, us, CASE WHEN us - lag(us) OVER (PARTITION BY {key} ORDER BY us) < {gap_us} THEN 0 ELSE 1 END AS opens FROM ev),
+WITH g AS (SELECT {key}, us, CASE WHEN us - lag(us) OVER (PARTITION BY {key} ORDER BY us) <= {gap_us} THEN 0 ELSE 1 END AS opens FROM ev),
 s AS (SELECT {key}, us, sum(opens) OVER (PARTITION BY {key} ORDER BY us ROWS UNBOUNDED PRECEDING) AS number FROM g)
 SELECT {key}, min(us) AS start_us, max(us) + {gap_us} AS end_us, count(*) AS n FROM s GROUP BY {key}, number"""
 

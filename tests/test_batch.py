@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall import functions as fn
+from rollcall.operators import windows
 from rollcall.operators import joins, latest, lookup, ordered, projection, routing, words
 from rollcall.operators.skew import PART, HotKeys, hot_key_parts, spread
 from rollcall.schemas import MEMBER, PAYMENT, WIDE_MEMBER
@@ -447,7 +448,7 @@ def test_sessions_by_brute_force(spark, slice_size):
         times = sorted(t for _, k, t in data if k == key and t is not None)
         run = [times[0]]
         for t in times[1:]:
-            if t - run[-1] < 20_000_000:
+            if t - run[-1] <= 20_000_000:
                 run.append(t)
             else:
                 expected.append((key, run[0], run[-1] + 20_000_000, len(run)))
@@ -457,6 +458,15 @@ def test_sessions_by_brute_force(spark, slice_size):
     assert values(found, "k", "start_us", "end_us", "n") == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("slice_size", ["10 seconds", "1 day"])
+def test_sessions_are_those_of_session_window(spark, slice_size):
+    """Times with many gaps of exactly twenty seconds, on both sides of a slice's border."""
+    df = spark.range(400).selectExpr("id % 3 AS k", "timestamp_seconds(id * id % 977 * 10) AS ts")
+    found = ordered.sessions(df, ["k"], "ts", gap="20 seconds", slice_size=slice_size)
+    theirs = windows.flat_window(windows.session_counts(df, ["k"], "ts", "20 seconds"))
+    assert values(found, "k", "start_us", "end_us", "n") == values(theirs, "k", "start_us", "end_us", "n")
+
+
 # --- words ------------------------------------------------------------------------------------------------------
 
 def test_words_on_space(spark):
