@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rollcall.operators import latest, ordered, routing, windows, words
@@ -206,16 +207,42 @@ def snk8_values(spark, sf_dir):
     return latest.latest_values(rows, ["uid", "dn"], ["us", "event_id"])
 
 
+def word_pairs(most: int = 20_000, most_chars: int = 1 << 20):
+    """A flatMap, filter and map written by a user: (doc_id, word, 1) in frames of at most so many words, or a little over so many characters.
+
+    The frames don't depend on how many or how long texts a batch has. Spark hands over batches of bounded size.
+    """
+
+    def frame(ids: list, found: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(found, pa.string()), pa.array([1] * len(found), pa.int64())],
+            names=["doc_id", "word", "n"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, found, chars = [], [], 0
+        for batch in batches:
+            for number, line in zip(batch.column("doc_id"), batch.column("line")):
+                if not line.is_valid:
+                    continue
+                number = number.as_py()
+                for match in re.finditer(r"[^ \t\n\x0b\f\r]+", line.as_py()):
+                    ids.append(number)
+                    found.append(match[0])
+                    chars += len(match[0])
+                    if len(found) >= most or chars >= most_chars:
+                        yield frame(ids, found)
+                        ids, found, chars = [], [], 0
+        yield frame(ids, found)
+
+    return pairs
+
+
 @check("udf1_row_functions", r"""
 WITH w AS (SELECT doc_id, unnest(string_split_regex(text, '\s')) AS word FROM documents)
 SELECT doc_id, word, CAST(1 AS BIGINT) AS n FROM w WHERE word <> ''""")
 def udf1(spark, sf_dir):
-    """A user's own flatMap, filter and map, over Arrow batches."""
-
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            pieces = batch.assign(word=batch["line"].str.split(r"[ \t\n\x0b\f\r]", regex=True)).explode("word")
-            kept = pieces[pieces["word"].fillna("") != ""]
-            yield pd.DataFrame({"doc_id": kept["doc_id"], "word": kept["word"], "n": 1})
+    """A user's own flatMap, filter and map, over Arrow batches.
 
-    return views.lines(spark, sf_dir).mapInPandas(pairs, "doc_id bigint, word string, n bigint")
+    Words come in bounded frames, however many or long the texts of a batch are.
+    """
+    return views.lines(spark, sf_dir).mapInArrow(word_pairs(), "doc_id bigint, word string, n bigint")

@@ -6,6 +6,7 @@ import random
 from collections import Counter
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from rollcall.session import fresh_dir, shared_dir
 from rollcall.sinks.row_client import ClientWriter
 from rollcall.sinks.upsert_table import CellTable, UpsertTable
 from rollcall.sources import decode, jdbc_query, kafka_options, read_raw_log, render_sql
+from suite.transforms import word_pairs
 
 MINUTE_MS = 60_000
 
@@ -616,3 +618,14 @@ def test_joins_read_the_keys_once_where_none_is_hot(spark, joined, most):
         assert 1 <= len(tracker.getJobIdsForGroup(group)) <= most
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_frames_of_row_functions_are_bounded():
+    """Frames of words don't grow with the batch or with a text."""
+    texts = ["a b\tc\x0b\xa0d " * 300, None, "", "  ", "x" * 500, "y z" + " w" * 5_000]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, None, 5, 2 ** 60 + 1]), pa.array(texts)], names=["doc_id", "line"])
+    frames = list(word_pairs(most=100, most_chars=400)(iter([batch, batch])))
+    assert max(f.num_rows for f in frames) <= 100 and max(sum(map(len, f.column("word").to_pylist())) for f in frames) < 900
+    found = Counter((r["doc_id"], r["word"], r["n"]) for f in frames for r in f.to_pylist())
+    assert found == Counter(2 * [(1, w, 1) for _ in range(300) for w in ("a", "b", "c", "\xa0d")]
+                            + 2 * [(5, "x" * 500, 1), (2 ** 60 + 1, "y", 1), (2 ** 60 + 1, "z", 1)] + 10_000 * [(2 ** 60 + 1, "w", 1)])
