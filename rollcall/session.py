@@ -28,6 +28,9 @@ SETTINGS = {
 }
 
 
+# Options of the state store are no registered settings: Spark calls them unmodifiable, but each stream reads them at its start.
+_STORE_OPTIONS = "spark.sql.streaming.stateStore.rocksdb."
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -43,7 +46,7 @@ def build_session(app: str = "rollcall", master: str | None = None, **extra: str
 def use_settings(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
     for name, value in SETTINGS.items():
-        if spark.conf.isModifiable(name):
+        if spark.conf.isModifiable(name) or name.startswith(_STORE_OPTIONS):
             spark.conf.set(name, value)
     return spark
 

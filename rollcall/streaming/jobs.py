@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions import json_text
@@ -19,22 +19,16 @@ from ..plans.member_wide import collapsed_streams, enrich, upsert_members, with_
 from ..plans.ods import upsert_dimensions
 from ..sinks.topic_log import topic_stream, write_text_topic
 from ..sinks.upsert_table import CellTable, UpsertTable
+from .starting import start
 
 WORD_COUNTS = StructType([StructField("word", StringType()), StructField("n", LongType())])
 
 
-def _start(writer: DataStreamWriter, every: str | None) -> StreamingQuery:
-    """Run for good with a batch ``every`` so often, or once over what is there."""
-    if every:
-        return writer.trigger(processingTime=every).start()
-    return writer.trigger(availableNow=True).start()
-
-
 def start_fact_stream(
     log: DataFrame, checkpoint: str, *, servers: str | None = None, path: str | None = None, every: str | None = None,
 ) -> StreamingQuery:
     """Fact records of the raw log to the topics of the second layer."""
-    return _start(topic_stream(second_layer(log), checkpoint, servers=servers, path=path), every)
+    return start(topic_stream(second_layer(log), checkpoint, servers=servers, path=path), log.sparkSession, every)
 
 
 def start_dimension_stream(
@@ -56,7 +50,7 @@ def start_dimension_stream(
             table.keep_small(compact_after)
 
     writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _start(writer, every)
+    return start(writer, records.sparkSession, every)
 
 
 def start_member_stream(
@@ -92,7 +86,7 @@ def start_member_stream(
         wide.keep_small(compact_after)
 
     writer = joined.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _start(writer, every)
+    return start(writer, joined.sparkSession, every)
 
 
 def start_collapsed_member_stream(
@@ -124,7 +118,7 @@ def start_collapsed_member_stream(
         wide.keep_small(compact_after)
 
     writer = joined.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _start(writer, every)
+    return start(writer, joined.sparkSession, every)
 
 
 def start_untimed_stream(
@@ -138,7 +132,7 @@ def start_untimed_stream(
     letters = reduce(DataFrame.unionByName, [
         rows.select(F.lit(name).alias("side"), json_text(*rows.columns).alias("value")) for name, rows in zip(sides, untimed)])
     writer = letters.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    return _start(writer, every)
+    return start(writer, letters.sparkSession, every)
 
 
 def start_word_count(
@@ -165,7 +159,7 @@ def start_word_count(
         counts.keep_small(compact_after)
 
     writer = running.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _start(writer, every)
+    return start(writer, running.sparkSession, every)
 
 
 def fan_out(

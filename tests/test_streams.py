@@ -14,7 +14,7 @@ from rollcall.operators.skew import HotKeys
 from rollcall.plans import ods
 from rollcall.plans.member_wide import current_members, wide_rows, wide_table
 from rollcall.schemas import MEMBER, PAYMENT, REGTYPE
-from rollcall.session import fresh_dir
+from rollcall.session import fresh_dir, use_settings
 from rollcall.sinks.console import show_on_console
 from rollcall.sinks.row_client import ClientWriter
 from rollcall.sinks.topic_log import topic_stream
@@ -235,6 +235,40 @@ def test_early_table_stands_as_the_left_join_after_each_step(spark, hot_keys):
         assert Counter((r.uid, r.register, r.appkey) for r in standing(table).collect()) == expected
 
 
+def test_right_rows_meet_the_notices_in_one_join(spark):
+    """The notices stand in state once for every lane, so the join with them is not run a second time for the withdrawals."""
+    left, right = Feed(spark, MEMBER), Feed(spark, REGTYPE)
+    changes = early_changes(member_time(left.stream()), fact_time(right.stream()))
+    assert changes._jdf.queryExecution().analyzed().toString().count("Generate explode(sequence") == 1
+
+
+def test_state_follows_the_cores_and_settings_come_back(spark):
+    """A stream of many shuffle partitions keeps few stores, and early results need no batch without rows."""
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        left, right, pay = Feed(spark, MEMBER), Feed(spark, REGTYPE), Feed(spark, PAYMENT)
+        left.add([member(1, 1)])
+        right.add([regtype(1, 1)])
+        changes = early_changes(member_time(left.stream()), fact_time(right.stream()))
+        checkpoint = fresh_dir(spark, "cp")
+        start_early_table(changes, early_table(spark, fresh_dir(spark, "early"), changes.schema), checkpoint).awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+        assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+        stores = spark.read.format("state-metadata").load(checkpoint)
+        assert {r.numPartitions for r in stores.collect()} == {max(12, spark.sparkContext.defaultParallelism)}
+        assert len({p.name for p in Path(checkpoint, "offsets").glob("[0-9]*")}) == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+
+
+def test_options_of_the_state_store_reach_a_session_of_somebody_else(spark):
+    option = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    other = spark.newSession()
+    other.conf.set(option, "false")
+    assert use_settings(other).conf.get(option) == "true"
+
+
 def test_identical_records_are_one_result_unless_told_apart(spark):
     at = str(START)
     both = [record(MEMBER, uid=1, dn="webA", register=at)] * 2
