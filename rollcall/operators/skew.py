@@ -152,6 +152,23 @@ def spread(
     return result
 
 
+def _whole(keys: Sequence[str]) -> str:
+    return " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+
+
+def _notices(dealt: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stream: each whole key and part of the left rows once, as soon as it is in use."""
+    return dealt.where(_whole(keys)).select(*keys, PART).dropDuplicates([*keys, PART])
+
+
+def parts_met(dealt: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stream: keys and part, once for each part in use of a key that has a right row.
+
+    Both sides come once for each key, so this takes no lanes.
+    """
+    return _notices(dealt, keys).join(right.select(*keys).dropDuplicates(list(keys)), list(keys))
+
+
 def deal_streams(
     left: DataFrame, rights: Sequence[DataFrame], keys: Sequence[str], policy: HotKeys, event_time: str = "win",
 ) -> list[DataFrame]:
@@ -163,11 +180,9 @@ def deal_streams(
     with few left rows has few parts, so there are no more copies than pairs. Notices stand once in every
     right lane, and right rows are dealt over these, so a frequent key is spread on the way as well.
     """
-    whole_key = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
-    part = f"CAST(IF({whole_key}, pmod(xxhash64({', '.join(_quoted(left.columns))}), {policy.lanes}), 0) AS int) AS {PART}"
+    part = f"CAST(IF({_whole(keys)}, pmod(xxhash64({', '.join(_quoted(left.columns))}), {policy.lanes}), 0) AS int) AS {PART}"
     dealt = left.selectExpr("*", part)
-    notices = dealt.where(whole_key).select(*keys, PART).dropDuplicates([*keys, PART])
-    lanes = notices.selectExpr("*", f"explode(sequence(0, {policy.right_lanes - 1})) AS _lane")
+    lanes = _notices(dealt, keys).selectExpr("*", f"explode(sequence(0, {policy.right_lanes - 1})) AS _lane")
     result = [dealt]
     for right in rights:
         lane = f"CAST(pmod(xxhash64({', '.join(_quoted(right.columns))}), {policy.right_lanes}) AS int) AS _lane"

@@ -8,9 +8,10 @@ from pyspark.sql.types import StructType
 
 from ..operators.joins import WINDOW, member_side, regtype_side
 from ..operators.projection import REGTYPE_COLUMNS
-from ..operators.skew import PART, HotKeys, deal_streams
+from ..operators.skew import PART, HotKeys, deal_streams, parts_met
 from ..schemas import MEMBER_KEY
 from ..sinks.upsert_table import UpsertTable
+from .starting import start
 
 _ADDED = [*REGTYPE_COLUMNS, "regtype_us"]
 _RESULT = [*MEMBER_KEY, "win_us", "member_no", "regtype_no"]
@@ -47,7 +48,7 @@ def early_changes(
 
     Both sides wait in state until the watermark passes their window. What withdraws is one more row on the right side,
     the first one of a key in state, so that one join gives pairs and withdrawals alike; hot keys are dealt out as in the
-    other stream joins. A member row too late for its window comes without a match, and stays so.
+    other stream joins, and the first right row of a key goes to each part in use by a small join of its own. A member row too late for its window comes without a match, and stays so.
     """
     keys = [*MEMBER_KEY, "win"]
     left = member_side(member, ts, size)
@@ -61,7 +62,8 @@ def early_changes(
 
     on = keys if hot_keys is None else [*keys, PART]
     dealt, met = (left, right) if hot_keys is None else deal_streams(left, [right], keys, hot_keys)
-    first = met.select(*on).dropDuplicates(on).select(*on, *none, F.lit(True).alias("withdrawn"))
+    any_met = right.select(*keys).dropDuplicates(keys) if hot_keys is None else parts_met(dealt, right, keys)
+    first = any_met.select(*on, *none, F.lit(True).alias("withdrawn"))
     either = met.select(*on, *_ADDED, "regtype_no", F.lit(False).alias("withdrawn")).unionByName(first)
     joined = dealt.join(either, on).select(*own, win_us, *_ADDED, "regtype_no", "withdrawn")
     return left.select(*own, win_us, *none, F.lit(False).alias("withdrawn")).unionByName(joined)
@@ -81,8 +83,8 @@ def start_early_table(
         table.upsert(batch, batch_id, ["withdrawn"])
 
     writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    # Rows come out when they meet, never for the watermark alone.
+    return start(writer, changes.sparkSession, every, empty_batches=False)
 
 
 def standing(table: UpsertTable) -> DataFrame:
