@@ -8,8 +8,10 @@ enumerating costs no more than scanning, given how long the lists are on average
 Lists are kept for the first shingles of a set only, in an order from rare to frequent that comes from counts of hashed
 shingles in a table of fixed size: a linked pair shares one of them, early enough in both sets. Sets are merged before
 pairs are looked at: equal sets are one set; then each set is compared with the most central set of its lists. What is
-linked by then needs no further pair, and only pairs of sets in different classes are compared. Links are decided on
-the whole texts, and classes are the connected components of links.
+linked by then needs no further pair, and only pairs of sets in different classes are compared. Each set has a sketch, a
+bit for each residue of its hashes that says whether an odd number of them has it: two sketches differ in no more bits than
+their sets differ in shingles, so that pairs whose sketches differ in too many are dropped without their texts. Links are
+decided on the whole texts, and classes are the connected components of links.
 
 ASCII letters are folded to lower case, words are runs of anything but ASCII white space, and shingles are 64-bit hashes.
 A text with fewer words than a shingle has its whole sequence as its one shingle; NULL, empty and blank texts have
@@ -76,8 +78,18 @@ def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return text[new], value[new]
 
 
+def sketches(text: np.ndarray, value: np.ndarray, n: np.ndarray) -> pa.Array:
+    """The parities of the hashes of each set by their lowest bits, in a power of two of bits, as many as it has shingles at least."""
+    width = np.where(n > 0, 1 << np.ceil(np.log2(np.maximum(n, 64))).astype(np.int64), 0)
+    ends = np.cumsum(width)
+    at = (ends - width)[text] + (value.view(np.int64) & (width[text] - 1))
+    odd = np.packbits(np.bincount(at, minlength=int(width.sum())) & 1, bitorder="little")
+    offsets = np.concatenate([np.zeros(1, np.int64), ends // 8]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(odd)])
+
+
 def _described(size: int):
-    """For each row the size and a 128-bit name of its set; at the end of the task the counts of hashed shingles."""
+    """For each row the size, a 128-bit name and the sketch of its set; at the end of the task the counts of hashed shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, np.int64)
@@ -91,13 +103,13 @@ def _described(size: int):
                 names.append(pa.array((sums[edges[1:]] - sums[edges[:-1]]).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("id"), pa.array(np.diff(edges), pa.int64()), *names,
-                 pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())],
-                names=["row", "id", "n", "name_a", "name_b", "slice", "cells"])
+                 sketches(text, value, np.diff(edges)), pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())],
+                names=["row", "id", "n", "name_a", "name_b", "sketch", "slice", "cells"])
         parts = [p.astype("<i8").tobytes() for p in np.split(cells, SLICES)]
         nothing = [pa.nulls(SLICES, pa.int64()) for _ in range(5)]
         yield pa.RecordBatch.from_arrays(
-            [*nothing, pa.array(np.arange(SLICES), pa.int32()), pa.array(parts, pa.binary())],
-            names=["row", "id", "n", "name_a", "name_b", "slice", "cells"])
+            [*nothing, pa.nulls(SLICES, pa.binary()), pa.array(np.arange(SLICES), pa.int32()), pa.array(parts, pa.binary())],
+            names=["row", "id", "n", "name_a", "name_b", "sketch", "slice", "cells"])
 
     return run
 
@@ -183,10 +195,37 @@ def _light_links(listed: DataFrame) -> DataFrame:
         F.col("low")).alias("b")).where("a <> b").distinct()
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
+def differing(one: list[bytes], other: list[bytes]) -> np.ndarray:
+    """In how many bits sketches differ, pair by pair; the longer one of a pair is folded to the width of the other."""
+    found = np.zeros(len(one), np.int64)
+    sizes = np.array([[len(x), len(y)] for x, y in zip(one, other)]).reshape(-1, 2)
+    for size in np.unique(sizes, axis=0):
+        at, least = np.flatnonzero((sizes == size).all(axis=1)), int(size.min()) // 8
+        x, y = (np.bitwise_xor.reduce(np.frombuffer(b"".join(side[i] for i in at), "<u8").reshape(len(at), -1, least), axis=1)
+                for side in (one, other))
+        found[at] = np.bitwise_count(x ^ y).sum(axis=1)
+    return found
+
+
+def _close(percent: int):
+    """Of pairs with sizes and sketches those that may link: sets that do differ in few shingles, sketches in no more bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = differing(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist())
+            both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array(bits * (100 + percent) <= (100 - percent) * both))
+
+    return run
+
+
+def _verified(pairs: DataFrame, sketched: DataFrame, texts: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) that link. The texts of b travel to a; a set with many partners is dealt out with its text."""
+    a, b = (sketched.select(*[F.col(c).alias(name) for c, name in (("row", s), ("n", f"n_{s}"), ("sketch", f"sketch_{s}"))]) for s in "ab")
+    pairs = scratch.store(pairs.join(a, "a").join(b, "b").mapInArrow(_close(percent), "a long, b long"), "close-pairs")
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_PART).alias("parts"))
     dealt = scratch.store(pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part")), "pairs")
+    scratch.drop(pairs)
     members = dealt.select("a", "part", F.col("b").alias("row")).union(
         dealt.select("a", "part", F.col("a").alias("row")).distinct())
     wanted = bitmap(members, "row")
@@ -229,7 +268,7 @@ def links(rows: DataFrame, scratch: Scratch, size: int = SHINGLE, percent: int =
     """
     small_batches(rows.sparkSession)
     described = scratch.store(rows.mapInArrow(
-        _described(size), "row long, id long, n long, name_a long, name_b long, slice int, cells binary"), "sets")
+        _described(size), "row long, id long, n long, name_a long, name_b long, sketch binary, slice int, cells binary"), "sets")
     counted = described.where("cells IS NOT NULL").select("slice", "cells").groupBy("slice").applyInArrow(
         _summed, "slice int, cells binary").orderBy("slice").toArrow()
     cells = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(c, "<i8") for c in counted.column("cells").to_pylist())])
@@ -239,7 +278,8 @@ def links(rows: DataFrame, scratch: Scratch, size: int = SHINGLE, percent: int =
     light = boundary(float((cells * excess).sum() / max(1, cells.sum())), percent)
     order = np.minimum(cells, 2 ** 31 - 1).astype(np.int32)
 
-    described = described.where("row IS NOT NULL").drop("slice", "cells")
+    sketched = described.where("n > 0").select("row", "n", "sketch")
+    described = described.where("row IS NOT NULL").drop("sketch", "slice", "cells")
     name = ["n", "name_a", "name_b"]
     sets = scratch.store(described.where("n > 0").groupBy(*name).agg(F.min("row").alias("set")), "distinct-sets")
     texts = rows.where("text IS NOT NULL").select("row", "text")
@@ -259,7 +299,7 @@ def links(rows: DataFrame, scratch: Scratch, size: int = SHINGLE, percent: int =
     met = sized.join(centres, ["shingle", "bucket"]).where("a <> row").groupBy("row", "a").count()
     nearest = met.groupBy("row").agg(F.max(F.struct("count", -F.col("a"))).alias("best")).select(
         (-F.col("best.col2")).alias("a"), F.col("row").alias("b"))
-    near = _verified(nearest, texts, size, percent, scratch)
+    near = _verified(nearest, sketched, texts, size, percent, scratch)
     light_links = scratch.store(_light_links(listed), "light-links")
     scratch.drop(listed)
     first = components(light_links.union(near), scratch)
@@ -280,7 +320,7 @@ def links(rows: DataFrame, scratch: Scratch, size: int = SHINGLE, percent: int =
         & ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("row_a") < F.col("row_b"))))
         & (F.col("n_a") - F.col("place_a") >= needed) & (F.col("n_b") - F.col("place_b") >= needed))
     pairs = pairs.select(F.col("row_a").alias("a"), F.col("row_b").alias("b")).distinct()
-    more = _verified(pairs, texts, size, percent, scratch)
+    more = _verified(pairs, sketched, texts, size, percent, scratch)
     scratch.drop(stored_places)
     classes = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more), scratch)
     scratch.drop(first, more)

@@ -3,6 +3,8 @@ from __future__ import annotations
 import itertools
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +124,46 @@ def test_jaccard_classes_by_brute_force(spark, size, percent):
     assert sorted(repr((r.id, r.n, r.component)) for r in found.collect()) == classes_by_hand(rows, size, percent)
 
 
+def test_sketches_differ_no_more_than_sets():
+    """Sets of 0 to 3,000 hashes, of one width and of others; a link is never dropped."""
+    chosen = random.Random(5)
+    for n in (0, 1, 2, 63, 64, 65, 130, 700, 3_000):
+        one = {chosen.randrange(2 ** 64) for _ in range(n)}
+        for changed in (0, 1, n // 20, n // 10, n):
+            other = set(sorted(one)[: n - changed]) | {chosen.randrange(2 ** 64) for _ in range(chosen.randrange(changed + 1))}
+            sets = [sorted(one), sorted(other)]
+            sizes = np.array([len(s) for s in sets])
+            sketched = jaccard.sketches(np.repeat([0, 1], sizes), np.array([v for s in sets for v in s], np.uint64), sizes).to_pylist()
+            assert [bool(s) for s in sketched] == [bool(s) for s in sets]
+            if all(sets):
+                bits = int(jaccard.differing(sketched[:1], sketched[1:])[0])
+                assert bits == int(jaccard.differing(sketched[1:], sketched[:1])[0])
+                assert bits <= len(one ^ other) and bits % 2 == len(one ^ other) % 2
+                batch = pa.RecordBatch.from_pydict({"a": [1], "b": [2], "n_a": sizes[:1], "n_b": sizes[1:],
+                                                    "sketch_a": sketched[:1], "sketch_b": sketched[1:]})
+                kept, = jaccard._close(85)(iter([batch]))
+                assert kept.num_rows or 100 * len(one & other) < 85 * len(one | other)
+
+
+def test_texts_travel_only_where_sets_are_close(spark, monkeypatch):
+    """Texts of three passages of eight, which meet in lists but link only with their copies, are not compared as texts."""
+    passages = [prose(1_000 + i, 60, 10 ** 6) for i in range(8)]
+    rows = [(i, " ".join(some)) for i, some in enumerate(itertools.combinations(passages, 3))]
+    rows += [(100 + i, text + " end") for i, text in rows[:5]]
+    compared, store = [], Scratch.store
+
+    def counted(self, df, label, *given, **named):
+        found = store(self, df, label, *given, **named)
+        if label == "pairs":
+            compared.append(found.count())
+        return found
+
+    monkeypatch.setattr(Scratch, "store", counted)
+    found = jaccard.join(stored(spark, docs(spark, rows)))
+    assert sorted(repr((r.id, r.n, r.component)) for r in found.collect()) == classes_by_hand(rows, 4, 85)
+    assert 0 < sum(compared) <= 5
+
+
 def test_one_row_of_each_class(spark):
     rows = awkward() + near_copies(4, 80)
     given = stored(spark, docs(spark, rows))

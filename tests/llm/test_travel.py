@@ -37,6 +37,18 @@ def test_functions_load_without_the_package(tmp_path):
     assert found.returncode == 0 and found.stdout.strip() == "2", found.stderr
 
 
+def test_pairs_are_dropped_without_the_package(tmp_path):
+    (tmp_path / "close").write_bytes(cloudpickle.dumps(jaccard._close(85)))
+    code = ("import pickle, sys; sys.path = [p for p in sys.path if 'repo' not in p]\n"
+            "import pyarrow as pa\n"
+            "b = pa.RecordBatch.from_pydict({'a': [1, 2], 'b': [3, 4], 'n_a': [9, 9], 'n_b': [9, 9],\n"
+            "    'sketch_a': [b'a' * 8] * 2, 'sketch_b': [b'a' * 16, b'z' * 7 + b'a' * 9]})\n"
+            "print([x.to_pydict() for x in pickle.load(open('close', 'rb'))(iter([b]))])\n"
+            "assert not any(m.startswith('rollcall') for m in sys.modules)")
+    found = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin"}, capture_output=True, text=True)
+    assert found.returncode == 0 and found.stdout.strip() == "[{'a': [], 'b': []}]", found.stderr
+
+
 def test_long_words_over_two_letters_have_their_own_hashes():
     """A word and its complement, which polynomials modulo a power of two cannot tell apart from some length on."""
     word = "a"
